@@ -1 +1,167 @@
-"""To be filled."""
+"""Coefficient sparsity queries.
+
+The coefficients are class means of the vectors against the overall mean, cut
+towards zero at two levels, which stand for two sparse models.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from quillstat.catalog.fixtures import DIMS, WIDE_LONG, rounded, wide_long
+from quillstat.catalog.registry import query
+from quillstat.operators import sparsity as sp
+
+LEVELS = {"dense": 0.02, "sparse": 0.035}
+_CLASSES = [str(i) for i in range(10)]
+
+
+def coefficients(spark, sf) -> DataFrame:
+    means = wide_long(spark, sf).groupBy("feature", F.col("label").alias("class")).agg(
+        F.sum("value").alias("s"), F.count(F.lit(1)).alias("n"))
+    each = W.partitionBy("feature")  # one row per class
+    gap = F.col("s") / F.col("n") - F.sum("s").over(each) / F.sum("n").over(each)
+    raw = means.select("feature", "class", F.round(gap, 9).alias("g"))
+    models = [
+        raw.select(F.lit(m).alias("model"), "class", "feature", F.round(
+            F.signum("g") * F.greatest(F.abs("g") - F.lit(t), F.lit(0.0)), 9).alias("coefficient"))
+        for m, t in LEVELS.items()
+    ]
+    return sp.with_flags(reduce(DataFrame.unionByName, models))
+
+
+COEFS = WIDE_LONG + """,
+cm AS (SELECT feature, label AS class, avg(value) AS m FROM wl GROUP BY 1, 2),
+gm AS (SELECT feature, avg(value) AS m FROM wl GROUP BY 1),
+raw AS (SELECT cm.feature, class, round(cm.m - gm.m, 9) AS g FROM cm JOIN gm ON cm.feature = gm.feature),
+co0 AS (
+  """ + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, class, feature, round(sign(g) * greatest(abs(g) - CAST({t} AS DOUBLE), 0), 9) AS coefficient FROM raw"
+    for m, t in LEVELS.items()) + """),
+co AS (SELECT *, abs(coefficient) AS abs_coefficient, abs(coefficient) > 1e-8 AS is_nonzero FROM co0),
+bf AS (SELECT model, feature, bool_or(is_nonzero) AS selected, count(*) FILTER (is_nonzero) AS n_active_classes,
+              max(abs_coefficient) AS max_abs_coefficient, sum(abs_coefficient) AS sum_abs_coefficient FROM co GROUP BY 1, 2)"""
+
+
+@query(f"WITH {COEFS} SELECT * FROM co")
+def coefficient_table(spark, sf):
+    return coefficients(spark, sf)
+
+
+@query(f"""WITH {COEFS}
+SELECT model, feature, selected, n_active_classes, max_abs_coefficient, round(sum_abs_coefficient, 7) AS sum_abs_coefficient FROM bf""")
+def active_features_by_model(spark, sf):
+    return rounded(sp.by_feature(coefficients(spark, sf)), 7, "sum_abs_coefficient")
+
+
+@query(f"""WITH {COEFS},
+c AS (SELECT model, count(*) AS total_coefficients, count(*) FILTER (NOT is_nonzero) AS zero_coefficients,
+             count(*) FILTER (is_nonzero) AS nonzero_coefficients FROM co GROUP BY 1),
+f AS (SELECT model, count(*) AS total_features, count(*) FILTER (selected) AS active_features,
+             count(*) FILTER (NOT selected) AS inactive_features FROM bf GROUP BY 1)
+SELECT c.*, f.* EXCLUDE (model), round(zero_coefficients / CAST(total_coefficients AS DOUBLE), 8) AS zero_share,
+       round(nonzero_coefficients / CAST(total_coefficients AS DOUBLE), 8) AS nonzero_share,
+       round(active_features / CAST(total_features AS DOUBLE), 8) AS active_feature_share
+FROM c JOIN f ON c.model = f.model""")
+def sparsity_by_model(spark, sf):
+    return rounded(sp.by_model(coefficients(spark, sf)), 8, "zero_share", "nonzero_share", "active_feature_share")
+
+
+@query(f"""WITH {COEFS}
+SELECT model, class, count(*) AS total_coefficients, count(*) FILTER (NOT is_nonzero) AS zero_coefficients,
+       count(*) FILTER (is_nonzero) AS nonzero_coefficients,
+       round(count(*) FILTER (NOT is_nonzero) / CAST(count(*) AS DOUBLE), 8) AS zero_share,
+       round(count(*) FILTER (is_nonzero) / CAST(count(*) AS DOUBLE), 8) AS nonzero_share,
+       max(abs_coefficient) AS max_abs_coefficient FROM co GROUP BY 1, 2""")
+def sparsity_by_class(spark, sf):
+    return rounded(sp.by_class(coefficients(spark, sf)), 8, "zero_share", "nonzero_share")
+
+
+@query(f"""WITH {COEFS},
+f AS (SELECT model, count(*) AS p, count(*) FILTER (selected) AS q FROM bf GROUP BY 1)
+SELECT co.model, any_value(p) AS n_features_input_after_screening, count(DISTINCT class) AS n_classes,
+       count(*) AS n_coefficients_total, count(*) FILTER (is_nonzero) AS n_nonzero_coefficients,
+       round(100.0 * (1 - count(*) FILTER (is_nonzero) / CAST(count(*) AS DOUBLE)), 6) AS coefficient_sparsity_pct,
+       any_value(q) AS n_active_features, round(100.0 * (1 - any_value(q) / CAST(any_value(p) AS DOUBLE)), 6) AS feature_sparsity_pct
+FROM co JOIN f ON co.model = f.model GROUP BY 1""")
+def sparsity_wide(spark, sf):
+    return rounded(sp.wide_summary(coefficients(spark, sf)), 6, "coefficient_sparsity_pct", "feature_sparsity_pct")
+
+
+@query(f"WITH {COEFS} SELECT model, class, feature, coefficient, abs_coefficient FROM co WHERE is_nonzero")
+def active_features_by_class(spark, sf):
+    return sp.active_by_class(coefficients(spark, sf))
+
+
+_STATUS = COEFS + """,
+a AS (SELECT feature, selected FROM bf WHERE model = 'dense'), b AS (SELECT feature, selected FROM bf WHERE model = 'sparse'),
+st AS (SELECT coalesce(a.feature, b.feature) AS feature, coalesce(a.selected, false) AS selected_dense,
+              coalesce(b.selected, false) AS selected_sparse,
+              CASE WHEN coalesce(a.selected, false) AND coalesce(b.selected, false) THEN 'shared'
+                   WHEN coalesce(a.selected, false) THEN 'dense_only' WHEN coalesce(b.selected, false) THEN 'sparse_only'
+                   ELSE 'inactive_in_both' END AS selection_status
+       FROM a FULL JOIN b ON a.feature = b.feature)"""
+
+
+@query(f"WITH {_STATUS} SELECT * FROM st")
+def shared_and_specific_features(spark, sf):
+    return sp.selection_table(coefficients(spark, sf), "dense", "sparse")
+
+
+@query(f"""WITH {_STATUS}
+SELECT selection_status, count(*) AS n_features, array_to_string(list_sort(list(feature)), '|') AS features FROM st GROUP BY 1""")
+def selection_counts(spark, sf):
+    out = sp.selection_counts(sp.selection_table(coefficients(spark, sf), "dense", "sparse"))
+    return out.withColumn("features", F.array_join("features", "|"))
+
+
+_PIVOT = ", ".join(f"""coalesce(max(coefficient) FILTER (class = '{c}'), 0) AS "{c}\"""" for c in _CLASSES)
+
+
+@query(f"""WITH {COEFS} SELECT model, feature, {_PIVOT}, max(abs_coefficient) AS max_abs_coefficient FROM co GROUP BY 1, 2""")
+def coefficient_matrix(spark, sf):
+    return sp.coefficient_matrix(coefficients(spark, sf), _CLASSES)
+
+
+@query(f"""WITH {COEFS} SELECT model, feature, {_PIVOT}, max(abs_coefficient) AS max_abs_coefficient FROM co GROUP BY 1, 2
+HAVING max(abs_coefficient) > 1e-8""")
+def coefficient_matrix_active(spark, sf):
+    return sp.coefficient_matrix(coefficients(spark, sf), _CLASSES, active_only=True)
+
+
+@query(f"""WITH {COEFS} SELECT * FROM co ORDER BY abs_coefficient DESC, model, class, feature LIMIT 30""")
+def top_coefficients(spark, sf):
+    return sp.top_coefficients(coefficients(spark, sf))
+
+
+@query(f"""WITH {COEFS}
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, class ORDER BY abs_coefficient DESC, feature) AS rank FROM co)
+WHERE rank <= 8""")
+def top_coefficients_by_class(spark, sf):
+    return sp.top_by_class(coefficients(spark, sf), 8)
+
+
+@query(f"""WITH {COEFS}
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, class ORDER BY coefficient DESC, feature) AS rank,
+               'positive' AS direction FROM co) WHERE rank <= 10
+UNION ALL
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, class ORDER BY coefficient, feature) AS rank,
+               'negative' AS direction FROM co) WHERE rank <= 10""")
+def extreme_coefficients_by_class(spark, sf):
+    return sp.extremes_by_class(coefficients(spark, sf))
+
+
+@query(f"WITH {COEFS} SELECT feature FROM bf WHERE model = 'sparse' AND selected")
+def active_feature_names(spark, sf):
+    return sp.active_features(coefficients(spark, sf), "sparse")
+
+
+@query(f"""WITH {COEFS}
+SELECT feature, CAST(substr(feature, 2) AS INTEGER) AS position FROM bf GROUP BY 1 HAVING bool_or(selected)""")
+def selected_union(spark, sf):
+    order = spark.createDataFrame([(f, i) for i, f in enumerate(DIMS)], "feature string, position int")
+    return sp.selected_union(coefficients(spark, sf), order)
