@@ -1 +1,167 @@
-"""To be filled."""
+"""Classifier queries. Optimisers differ in the last digits, so these have no SQL."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quillstat.catalog.fixtures import DIMS, FEATURES, FLAG, KEYS, prepared, wide, wide_columns
+from quillstat.catalog.registry import query
+from quillstat.operators import evaluation as ev
+from quillstat.operators import models as mo
+from quillstat.operators import prep, sampling, sparsity, structure
+from quillstat.session import keep
+
+
+def _tall(spark, sf):
+    """(labels, train, test) of the prepared lineitem features."""
+    df = prepared(spark, sf)
+    labels = mo.Labels(("A", "N", "R"))
+    table = keep(mo.model_table(df, FLAG, FEATURES, labels, [*KEYS, "split"]))
+    return labels, table.filter("split = 'train'"), table.filter("split = 'test'")
+
+
+def _wide(spark, sf, folds: int = 0):
+    """(labels, train, test) of the vectors, with balanced weights and folds."""
+    df = sampling.with_split(wide(spark, sf), "label", ["vec_id"])
+    labels = mo.fit_labels(df, "label")
+    train = df.filter("split = 'train'")
+    weights = sampling.class_weights(train, "label")
+    if folds:
+        train = sampling.with_folds(train, "label", ["vec_id"], folds)
+        df = train.unionByName(df.filter("split = 'test'").withColumn("fold", F.lit(-1)))
+    table = mo.model_table(df, "label", "x", labels, ["vec_id", "split", *(["fold"] if folds else [])])
+    table = keep(mo.with_balance(table, weights))
+    return labels, table.filter("split = 'train'"), table.filter("split = 'test'")
+
+
+def _both_metrics(name: str, model, labels, train, test) -> DataFrame:
+    parts = [
+        mo.predictions(model, side, labels).select(F.lit(name).alias("model"), F.lit(s).alias("split"), "y", "pred")
+        for s, side in (("train", train), ("test", test))
+    ]
+    return ev.metrics(reduce(DataFrame.unionByName, parts), "y", "pred", ["model", "split"])
+
+
+@query()
+def baseline_metrics(spark, sf):
+    labels, train, test = _tall(spark, sf)
+    model, kind = mo.fit_baseline(train, train.count())
+    return _both_metrics(kind, model, labels, train, test)
+
+
+@query()
+def baseline_predictions(spark, sf):
+    labels, train, test = _tall(spark, sf)
+    model, _ = mo.fit_baseline(train, train.count())
+    return mo.predictions(model, test, labels, KEYS)
+
+
+@query()
+def baseline_coefficients(spark, sf):
+    labels, train, _ = _tall(spark, sf)
+    model, kind = mo.fit_baseline(train, train.count())
+    return sparsity.extremes_by_class(mo.coefficients(model, spark, kind, FEATURES, labels))
+
+
+@query()
+def baseline_cross_validation(spark, sf):
+    df = prepared(spark, sf).filter("split = 'train'")
+    folded = sampling.with_folds(df, FLAG, KEYS, mo.FOLDS)
+    labels = mo.Labels(("A", "N", "R"))
+    table = keep(mo.model_table(folded, FLAG, FEATURES, labels, ["fold"]))
+    return mo.cross_validate(table, lambda n: mo.logistic(n, None), labels, mo.FOLDS)
+
+
+@query()
+def ridge_on_expansion(spark, sf):
+    """All 2144 second-degree terms, standardised on train, balanced ridge."""
+    df = sampling.with_split(wide(spark, sf), "label", ["vec_id"])
+    names = prep.expanded_names(DIMS)
+    grown = df.withColumn("x", prep.expand_array(F.col("x")))
+    labels = mo.fit_labels(df, "label")
+    weights = sampling.class_weights(df.filter("split = 'train'"), "label")
+    table = mo.model_table(grown, "label", "x", labels, ["split"])
+    scaled = keep(mo.with_balance(mo.standardised(table, table.filter("split = 'train'")), weights))
+    train, test = scaled.filter("split = 'train'"), scaled.filter("split = 'test'")
+    model = mo.logistic(train.count(), mo.RIDGE_C, weighted=True, tol=1e-6).fit(train)
+    assert model.numFeatures == len(names)
+    return _both_metrics("ridge", model, labels, train, test)
+
+
+@query()
+def lasso_cross_validation(spark, sf):
+    df = prepared(spark, sf).filter("split = 'train'")
+    folded = sampling.with_folds(df, FLAG, KEYS, mo.FOLDS)
+    table = keep(mo.model_table(folded, FLAG, FEATURES, mo.Labels(("A", "N", "R")), ["fold"]))
+    found = mo.search(table, mo.lasso_grid(), mo.FOLDS, parallelism=8, refit=False)
+    return mo.score_table(found.folds(spark, "LASSO"))
+
+
+@query()
+def elastic_net_cross_validation(spark, sf):
+    _, train, _ = _wide(spark, sf, mo.WIDE_FOLDS)
+    grid = mo.elastic_net_grid(mo.WIDE_C_GRID, mo.WIDE_L1_RATIOS, weighted=True)
+    found = mo.search(train, grid, mo.WIDE_FOLDS, parallelism=8, refit=False)
+    return mo.score_table(found.folds(spark, "Elastic Net"))
+
+
+@query()
+def lasso_sparsity(spark, sf):
+    labels, train, _ = _wide(spark, sf, mo.WIDE_FOLDS)
+    found = mo.search(train, mo.lasso_grid(mo.WIDE_C_GRID, weighted=True), mo.WIDE_FOLDS, parallelism=8)
+    return sparsity.by_model(mo.coefficients(found.model, spark, "LASSO", DIMS, labels))
+
+
+@query()
+def post_selection_metrics(spark, sf):
+    """LASSO at one penalty picks the features; a plain logistic model is fitted on them."""
+    labels, train, test = _wide(spark, sf)
+    n = train.count()
+    lasso = mo.logistic(n, 0.5, 1.0, weighted=True, tol=1e-6).fit(train)
+    coefs = mo.coefficients(lasso, spark, "LASSO", DIMS, labels)
+    active = [r["feature"] for r in sparsity.active_features(coefs, "LASSO").collect()]
+    model = mo.fit_post_selection(train, DIMS, active, n, weighted=True)
+    return _both_metrics("post_selection", model, labels, train, test)
+
+
+@query()
+def linear_svm_metrics(spark, sf):
+    labels, train, test = _wide(spark, sf)
+    return _both_metrics("linear_svm", mo.linear_svm(train.count()).fit(train), labels, train, test)
+
+
+@query()
+def kernel_svm_metrics(spark, sf):
+    labels, train, test = _wide(spark, sf)
+    gamma = mo.fourier_scale(train)
+    near, far = keep(mo.with_fourier(train, gamma)), mo.with_fourier(test, gamma)
+    return _both_metrics("rbf_svm", mo.linear_svm(train.count()).fit(near), labels, near, far)
+
+
+@query()
+def random_forest_metrics(spark, sf):
+    labels, train, test = _wide(spark, sf)
+    return _both_metrics("random_forest", mo.random_forest().fit(train), labels, train, test)
+
+
+@query()
+def classifier_comparison(spark, sf):
+    from quillstat.plans.alternatives import compare_classifiers
+
+    df = sampling.with_split(wide_columns(spark, sf), "label", ["vec_id"])
+    return compare_classifiers(df, "vec_id", "label", DIMS)["test_comparison"]
+
+
+@query()
+def cluster_target_metrics(spark, sf):
+    """k-means labels as the class to predict."""
+    df = sampling.with_split(wide(spark, sf), "label", ["vec_id"])
+    fit = structure.kmeans_sweep(df.filter("split = 'train'"), "x", [structure.CLASS_COUNT])[structure.CLASS_COUNT]
+    marked = df.withColumn("cluster", structure.nearest_centre(F.col("x"), fit.centres).cast("string"))
+    labels = mo.Labels(tuple(str(i) for i in range(structure.CLASS_COUNT)))
+    table = keep(mo.model_table(marked, "cluster", "x", labels, ["split"]))
+    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
+    return _both_metrics("cluster_target", mo.logistic(train.count()).fit(train), labels, train, test)

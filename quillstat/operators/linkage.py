@@ -31,23 +31,33 @@ def complete_linkage(pairs: DataFrame, n: int) -> DataFrame:
     if n > MAX_NODES:
         raise ValueError(f"{n} nodes exceed the bound of {MAX_NODES}")
     spark = pairs.sparkSession
-    live = cut_lineage(pairs.select("i", "j", "d"))
+    base = cut_lineage(pairs.select("i", "j", "d"))
+    cluster = list(range(n))
     sizes = dict.fromkeys(range(n), 1)
     merges: list[tuple] = []
     while len(merges) < n - 1:
-        found = _mutual_nearest(live)
+        found = _mutual_nearest(_between_clusters(base, cluster) if merges else base)
         if not found:
             raise ValueError("the pair table does not join all nodes")
+        joined = {b: a for a, b, _ in found}
+        cluster = [joined.get(c, c) for c in cluster]
         for a, b, d in sorted(found, key=lambda m: (m[2], m[0], m[1])):
             sizes[a] += sizes.pop(b)
             merges.append((a, b, float(d), sizes[a]))
-        if len(merges) < n - 1:
-            live = cut_lineage(_relabelled(live, spark.createDataFrame([(b, a) for a, b, _ in found], "old int, new int")))
     merges.sort(key=lambda m: m[2])  # stable: a merge never precedes its parts
     rows = [(s, *m) for s, m in enumerate(merges)]
     return spark.createDataFrame(rows, _MERGES)
 
 
+def _between_clusters(base: DataFrame, cluster: list[int]) -> DataFrame:
+    """Largest node distance between every two current clusters."""
+    table = pd.DataFrame({"node": range(len(cluster)), "c": cluster})
+    names = base.sparkSession.createDataFrame(table, "node int, c int")
+    of = lambda end, name: F.broadcast(names.select(F.col("node").alias(end), F.col("c").alias(name)))
+    moved = base.join(of("i", "p"), "i").join(of("j", "q"), "j").filter("p <> q")
+    return moved.groupBy(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j")).agg(F.max("d").alias("d"))
+
+
 def _mutual_nearest(live: DataFrame) -> list[tuple]:
     """Pairs of clusters that are each other's nearest; ties by smaller members."""
     ends = live.select(F.explode(F.array(
@@ -55,20 +65,11 @@ def _mutual_nearest(live: DataFrame) -> list[tuple]:
         F.struct(F.col("j").alias("node"), F.col("d"), F.col("i"), F.col("j")),
     )).alias("e")).select("e.*")
     nearest = ends.groupBy("node").agg(F.min(F.struct("d", "i", "j")).alias("m"))
-    both = nearest.groupBy("m").agg(F.count(F.lit(1)).alias("votes")).filter("votes = 2")
-    return [(r["i"], r["j"], r["d"]) for r in both.select("m.i", "m.j", "m.d").collect()]
-
-
-def _relabelled(live: DataFrame, renamed: DataFrame) -> DataFrame:
-    as_i = F.broadcast(renamed.select(F.col("old").alias("i"), F.col("new").alias("ni")))
-    as_j = F.broadcast(renamed.select(F.col("old").alias("j"), F.col("new").alias("nj")))
-    moved = live.join(as_i, "i", "left").join(as_j, "j", "left").select(
-        F.coalesce("ni", "i").alias("p"), F.coalesce("nj", "j").alias("q"), "d")
-    return (
-        moved.filter("p <> q")
-        .groupBy(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
-        .agg(F.max("d").alias("d"))
-    )
+    votes: dict[tuple, int] = {}
+    for r in nearest.select("m.i", "m.j", "m.d").collect():  # one row per cluster
+        pair = (r["i"], r["j"], r["d"])
+        votes[pair] = votes.get(pair, 0) + 1
+    return [pair for pair, n in votes.items() if n == 2]
 
 
 def cut_tree(

@@ -18,8 +18,9 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,19 @@ def model_table(
     return out.select(*keep, F.col(y).cast("string").alias("y"), labels.index(F.col(y)).alias("label"), "features")
 
 
+def standardised(table: DataFrame, train: DataFrame) -> DataFrame:
+    """Put a vector column on train mean 0 and population deviation 1.
+
+    For tables too wide for one column per feature. The fitted scaler divides by the
+    sample deviation, so its output is stretched by sqrt(n / (n - 1)).
+    """
+    n = train.count()
+    fitted = StandardScaler(inputCol="features", outputCol="_z", withMean=True, withStd=True).fit(train)
+    stretch = ElementwiseProduct(
+        inputCol="_z", outputCol="_s", scalingVec=Vectors.dense([float(np.sqrt(n / max(n - 1, 1)))] * fitted.mean.size))
+    return stretch.transform(fitted.transform(table)).drop("features", "_z").withColumnRenamed("_s", "features")
+
+
 def with_balance(table: DataFrame, weights: dict) -> DataFrame:
     return with_class_weight(table, "y", weights)
 

@@ -164,11 +164,11 @@ def _assign_round(rows: DataFrame, fits: dict) -> tuple[dict, dict]:
                 square = (x**2).sum(axis=1)
                 gap = np.maximum(square[:, None] - 2.0 * x @ centres.T + (centres**2).sum(axis=1)[None, :], 0.0)
                 for a, z in zip(starts[:-1], starts[1:]):
-                    pick = a + gap[:, a:z].argmin(axis=1)
-                    np.add.at(count, pick, 1.0)
-                    np.add.at(total, pick, x)
-                    np.add.at(cost, pick, gap[np.arange(len(x)), pick])
-        hit = np.flatnonzero(count)
+                    member = gap[:, a:z].argmin(axis=1)[None, :] == np.arange(z - a)[:, None]
+                    count[a:z] += member.sum(axis=1)
+                    total[a:z] += member @ x
+                    cost[a] += gap[:, a:z].min(axis=1).sum()
+        hit = np.flatnonzero((count > 0) | (cost > 0))
         yield pd.DataFrame({"c": hit, "n": count[hit], "cost": cost[hit], "s": list(total[hit])})
 
     sums = rows.mapInPandas(partial, "c int, n double, cost double, s array<double>")
@@ -176,7 +176,8 @@ def _assign_round(rows: DataFrame, fits: dict) -> tuple[dict, dict]:
         F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("s")).alias("s")).collect()
     new, cost = centres.copy(), np.zeros(len(centres))
     for r in merged:
-        new[r["c"]] = r["s"].toArray() / r["n"]
+        if r["n"] > 0:
+            new[r["c"]] = r["s"].toArray() / r["n"]
         cost[r["c"]] = r["cost"]
     moved = {k: new[a:z] for k, a, z in zip(keys, starts[:-1], starts[1:])}
     return moved, {k: float(cost[a:z].sum()) for k, a, z in zip(keys, starts[:-1], starts[1:])}
@@ -243,10 +244,12 @@ def _place(points: DataFrame, key: str, centres: np.ndarray) -> DataFrame:
 
 def leaf_distances(leaves: DataFrame) -> DataFrame:
     """(i, j, d) for i < j over a bounded leaf table."""
-    a = leaves.select(F.col("node").alias("i"), F.col("x").alias("u"))
+    last = leaves.agg(F.max("node")).first()[0]
+    a = leaves.filter(F.col("node") < last).select(
+        F.col("node").alias("i"), F.col("x").alias("u"), F.explode(F.sequence(F.col("node") + 1, F.lit(last))).alias("j"))
     b = leaves.select(F.col("node").alias("j"), F.col("x").alias("v"))
     square = F.aggregate(F.zip_with("u", "v", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, t: s + t)
-    return a.join(F.broadcast(b), F.col("i") < F.col("j")).select("i", "j", F.sqrt(square).alias("d"))
+    return a.join(F.broadcast(b), "j").select("i", "j", F.sqrt(square).alias("d"))
 
 
 # --- agreement of two labelings ------------------------------------------------------
