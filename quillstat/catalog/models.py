@@ -30,8 +30,7 @@ def _wide(spark, sf, folds: int = 0):
     train = df.filter("split = 'train'")
     weights = sampling.class_weights(train, "label")
     if folds:
-        train = sampling.with_folds(train, "label", ["vec_id"], folds)
-        df = train.unionByName(df.filter("split = 'test'").withColumn("fold", F.lit(-1)))
+        df = sampling.with_folds(df, "label", ["vec_id"], folds, only=F.col("split") == "train")
     table = mo.model_table(df, "label", "x", labels, ["vec_id", "split", *(["fold"] if folds else [])])
     table = keep(mo.with_balance(table, weights))
     return labels, table.filter("split = 'train'"), table.filter("split = 'test'")

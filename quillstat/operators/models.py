@@ -110,10 +110,11 @@ def logistic(
     return model.setWeightCol("weight") if weighted else model
 
 
-def linear_svm(n: int, c: float = 1.0, max_iter: int = 200) -> OneVsRest:
-    """One linear margin per class on balanced weights."""
-    margin = LinearSVC(regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, weightCol="weight")
-    return OneVsRest(classifier=margin, weightCol="weight")
+def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-3, parallelism: int = 8) -> OneVsRest:
+    """One linear margin per class on balanced weights, the classes side by side."""
+    margin = LinearSVC(
+        regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=tol, weightCol="weight")
+    return OneVsRest(classifier=margin, weightCol="weight", parallelism=parallelism)
 
 
 def random_forest(trees: int = TREES, depth: int = MAX_DEPTH, weighted: bool = True) -> RandomForestClassifier:

@@ -116,16 +116,17 @@ def silhouette_rows(
     blocks = _blocks(df, block_rows)
     rows = df.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("x"), F.col(cluster).alias("c"))
     left = rows.select("*", _block("q", blocks).alias("row"), _every(blocks).alias("column"))
-    right = rows.select("x", "c", _every(blocks).alias("row"), _block("q", blocks).alias("column"))
+    right = rows.select(
+        F.col("x").alias("v"), F.col("c").alias("other"), _every(blocks).alias("row"), _block("q", blocks).alias("column"))
     q_type, c_type = df.schema[key].dataType.simpleString(), df.schema[cluster].dataType.simpleString()
 
     def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"q": [], "c": [], "other": [], "s": []})
-        names, code = np.unique(b["c"].to_numpy(), return_inverse=True)
+        names, code = np.unique(b["other"].to_numpy(), return_inverse=True)
         member = np.eye(len(names))[code]
         out = []
-        for at, d in _distances(np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy())):
+        for at, d in _distances(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy())):
             part = a.iloc[at : at + len(d)]
             out.append(pd.DataFrame({
                 "q": np.repeat(part["q"].to_numpy(), len(names)), "c": np.repeat(part["c"].to_numpy(), len(names)),

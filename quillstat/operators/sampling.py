@@ -71,11 +71,16 @@ def with_split(
 
 
 def with_folds(
-    df: DataFrame, y: str, keys: Sequence[str], k: int, seed: int = SEED, name: str = "fold"
+    df: DataFrame, y: str, keys: Sequence[str], k: int, seed: int = SEED, name: str = "fold",
+    only: Column | None = None,
 ) -> DataFrame:
-    """Mark every row with a fold 0..k-1; fold sizes differ by at most 1 per class."""
-    sizes = class_sizes(df, y)
-    cuts = _cuts(df, y, keys, seed, [(c, f, f * n // k) for c, n in sizes.items() for f in range(1, k)])
+    """Mark every row with a fold 0..k-1; fold sizes differ by at most 1 per class.
+
+    With ``only`` (say, the training rows) the other rows get fold -1.
+    """
+    pool = df if only is None else df.filter(only)
+    sizes = class_sizes(pool, y)
+    cuts = _cuts(pool, y, keys, seed, [(c, f, f * n // k) for c, n in sizes.items() for f in range(1, k)])
     h = key_hash(keys, seed)
     fold = F.lit(0)
     for f in range(1, k):
@@ -86,7 +91,7 @@ def with_folds(
             fold = fold + passed.cast("int")
         else:
             fold = fold + F.lit(1)
-    return df.withColumn(name, fold)
+    return df.withColumn(name, fold if only is None else F.when(only, fold).otherwise(F.lit(-1)))
 
 
 def class_weights(df: DataFrame, y: str) -> dict:

@@ -19,7 +19,8 @@ DUMMY, LOGISTIC, LINEAR, KERNEL, FOREST, KNN = (
 
 
 def compare_classifiers(
-    df: DataFrame, key: str, y: str, features: Sequence[str], folds: int = mo.WIDE_FOLDS, parallelism: int = 4
+    df: DataFrame, key: str, y: str, features: Sequence[str], folds: int = mo.WIDE_FOLDS, parallelism: int = 4,
+    trees: int = mo.TREES, svm_rounds: int = 100,
 ) -> dict[str, DataFrame]:
     """Tables ``predictions``, ``metrics``, ``best_params``, ``cv_scores``, ``reports`` and
     ``test_comparison`` from a table with a ``split`` column."""
@@ -29,7 +30,7 @@ def compare_classifiers(
     require_numeric(df, features)
     labels = mo.fit_labels(df, y)
     weights = sampling.class_weights(train_rows, y)
-    marked = sampling.with_folds(train_rows, y, [key], folds).unionByName(test_rows.withColumn("fold", F.lit(-1)))
+    marked = sampling.with_folds(df, y, [key], folds, only=F.col("split") == "train")
     table = keep(mo.with_balance(
         mo.model_table(marked, y, list(features), labels, [key, "split", "fold"]), {str(c): w for c, w in weights.items()}))
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
@@ -37,10 +38,10 @@ def compare_classifiers(
     curved = keep(mo.with_fourier(table, gamma))
     runs = {
         LOGISTIC: (train, test, [mo.Candidate({"C": 1.0}, lambda n: mo.logistic(n, 1.0, weighted=True, tol=1e-6))]),
-        LINEAR: (train, test, [mo.Candidate({"C": 1.0}, lambda n: mo.linear_svm(n, 1.0))]),
+        LINEAR: (train, test, [mo.Candidate({"C": 1.0}, lambda n: mo.linear_svm(n, 1.0, svm_rounds))]),
         KERNEL: (curved.filter("split = 'train'"), curved.filter("split = 'test'"),
-                 [mo.Candidate({"C": 1.0, "gamma": "scale"}, lambda n: mo.linear_svm(n, 1.0))]),
-        FOREST: (train, test, [mo.Candidate({"n_estimators": mo.TREES, "max_depth": None}, lambda n: mo.random_forest())]),
+                 [mo.Candidate({"C": 1.0, "gamma": "scale"}, lambda n: mo.linear_svm(n, 1.0, svm_rounds))]),
+        FOREST: (train, test, [mo.Candidate({"n_estimators": trees, "max_depth": None}, lambda n: mo.random_forest(trees))]),
     }
     found: dict[str, mo.Search | None] = {DUMMY: None}
     parts = []
