@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillstat.operators.prep import apply_imputation, apply_scaling, fit_medians, fit_scaling
 from quillstat.operators.sampling import with_split
+from quillstat.session import keep
 from quillstat.sources.tables import read_table
 
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -23,9 +24,9 @@ N_DIMS = 64
 DIMS = [f"e{i:02d}" for i in range(N_DIMS)]
 
 
-def tall(spark: SparkSession, sf: str) -> DataFrame:
+def tall(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     """lineitem features with made gaps in discount and tax."""
-    df = read_table(spark, sf, "lineitem", [*KEYS, FLAG, *FEATURES])
+    df = read_table(spark, sf, "lineitem", [*KEYS, FLAG, *FEATURES], spread)
     return df.withColumns({
         "l_discount": F.when(F.col("l_linenumber") != 3, F.col("l_discount")),
         "l_tax": F.when(F.col("l_linenumber") != 7, F.col("l_tax")),
@@ -61,7 +62,7 @@ def split_sql(source: str, target: str, y: str, keys: list[str], seed: int = 42,
 
 
 def tall_split(spark: SparkSession, sf: str) -> DataFrame:
-    return with_split(tall(spark, sf), FLAG, KEYS)
+    return keep(with_split(tall(spark, sf, spread=True), FLAG, KEYS))
 
 
 TALL_SPLIT = TALL + "," + split_sql("t", "ts", FLAG, KEYS)
@@ -92,9 +93,9 @@ PREPARED = IMPUTED + f""",
 tp AS (SELECT {", ".join(KEYS)}, {FLAG}, split, {", ".join(map(_scaled, FEATURES))} FROM ti)"""
 
 
-def six(spark: SparkSession, sf: str) -> DataFrame:
+def six(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     """Six lineitem features with two derived ones, for collinearity work."""
-    df = read_table(spark, sf, "lineitem", [*KEYS, FLAG, *FEATURES])
+    df = read_table(spark, sf, "lineitem", [*KEYS, FLAG, *FEATURES], spread)
     return df.withColumns({
         "l_net": F.col("l_extendedprice") * (1 - F.col("l_discount")),
         "l_unit": F.col("l_extendedprice") / F.col("l_quantity"),
@@ -115,7 +116,7 @@ def long_sql(source: str, target: str, features: list[str], keep: str) -> str:
 
 def wide(spark: SparkSession, sf: str) -> DataFrame:
     """embeddings with the vector as an array of doubles and a text label."""
-    return read_table(spark, sf, "embeddings").select(
+    return read_table(spark, sf, "embeddings", spread=True).select(
         "vec_id", F.col("embedding").cast("array<double>").alias("x"), F.col("label").cast("string").alias("label")
     )
 

@@ -28,7 +28,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        + CAST(rn > 3 * nc // 5 AS INTEGER) + CAST(rn > 4 * nc // 5 AS INTEGER) AS fold
 FROM r""")
 def stratified_folds(spark, sf):
-    return sampling.with_folds(tall(spark, sf), FLAG, KEYS, 5).select(*KEYS, "fold")
+    return sampling.with_folds(tall(spark, sf, spread=True), FLAG, KEYS, 5).select(*KEYS, "fold")
 
 
 @query("""

@@ -14,7 +14,7 @@ from quillstat.session import keep
 
 
 def _six_long(spark, sf):
-    return to_long(six(spark, sf), [FLAG], SIX)
+    return to_long(six(spark, sf, spread=True), [FLAG], SIX)
 
 
 def _anova_sql(source: str, target: str) -> str:
@@ -86,7 +86,7 @@ def mutual_information_wide(spark, sf):
 
 def _logistic(spark, sf):
     """Features are put in units near 1, as after standardisation."""
-    df = six(spark, sf)
+    df = six(spark, sf, spread=True)
     scaled = df.withColumns({"l_quantity": F.col("l_quantity") / 25, "l_extendedprice": F.col("l_extendedprice") / 40000,
                              "l_net": F.col("l_net") / 40000, "l_unit": F.col("l_unit") / 1500})
     return screening.univariate_logistic(to_long(scaled, [FLAG], SIX), FLAG)

@@ -1,9 +1,9 @@
 """Order statistics over data rows that never sort a whole group in one task.
 
 Hash-ordered cut points: rows of a class are put in the order of a salted md5 of
-their key. A hash prefix splits every class into even buckets, so bucket counts
+their key. A short hash prefix splits every class into even buckets, so bucket counts
 alone locate the bucket that holds a wanted rank, and only that bucket's rows are
-ordered. One class may hold any share of the table.
+looked at again. One class may hold any share of the table.
 
 Exact quantiles: a bracket around the wanted rank shrinks by approximate quantiles
 until the values left inside are few enough to order exactly.
@@ -18,44 +18,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 4
-MAX_CUT_ROWS = 100_000
+PREFIX_DIGITS = 2  # 256 buckets per class and pass
+MAX_BUCKETS = 1_000_000
 
 
 def key_hash(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def hash_cut_points(
-    df: DataFrame, group: str, keys: Sequence[str], seed: int, wanted: DataFrame, digits: int = PREFIX_DIGITS
-) -> list[tuple]:
-    """Hash value at each wanted rank, as (group, cut, hash) rows.
+def hash_histogram(df: DataFrame, group: str, keys: Sequence[str], seed: int) -> dict:
+    """Rows per class and hash prefix, {class: {prefix: rows}}: one small aggregate.
 
-    ``wanted`` has columns (group, cut, cut_rank), one row per class and cut, so the
-    result is as small as the class list.
+    Every task adds at most 256 rows per class to the shuffle, so the cost does not
+    grow with the data beyond the scan.
     """
-    hashed = df.select(F.col(group).alias("g"), key_hash(keys, seed).alias("h"))
-    hashed = hashed.withColumn("b", F.substring("h", 1, digits))
-    sizes = hashed.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy("g").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    placed = sizes.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    want = wanted.select(F.col(group).alias("g"), "cut", "cut_rank")
-    edge = (
-        placed.join(want, "g")
-        .filter((F.col("cut_rank") > F.col("start")) & (F.col("cut_rank") <= F.col("start") + F.col("n")))
-        .select("g", "b", "cut", (F.col("cut_rank") - F.col("start")).alias("r"))
-    )
-    edge_rows = edge.limit(MAX_CUT_ROWS + 1).collect()
-    if len(edge_rows) > MAX_CUT_ROWS:
+    prefix = F.substring(key_hash(keys, seed), 1, PREFIX_DIGITS)
+    counts = df.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("g"), prefix.alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return _bucket_counts(counts, ["g"])
+
+
+def _bucket_counts(counts: DataFrame, by: Sequence[str]) -> dict:
+    rows = counts.limit(MAX_BUCKETS + 1).collect()
+    if len(rows) > MAX_BUCKETS:
         raise ValueError("too many classes for exact cut points")
-    if not edge_rows:
-        return []
-    edge = df.sparkSession.createDataFrame(edge_rows, edge.schema)
-    inside = hashed.join(F.broadcast(edge), ["g", "b"])
-    ranked = inside.withColumn("k", F.row_number().over(W.partitionBy("g", "b", "cut").orderBy("h")))
-    return [
-        (r["g"], r["cut"], r["h"]) for r in ranked.filter(F.col("k") == F.col("r")).select("g", "cut", "h").collect()
-    ]
+    out: dict = {}
+    for r in rows:
+        key = r[by[0]] if len(by) == 1 else tuple(r[b] for b in by)
+        out.setdefault(key, {})[r["b"]] = r["n"]
+    return out
+
+
+def hash_cut_points(
+    df: DataFrame, group: str, keys: Sequence[str], seed: int, histogram: dict, wanted: dict, order_rows: int = 1_000_000
+) -> dict:
+    """The hash at each wanted rank, {(class, cut): hash}, for ``wanted`` ranks from 1.
+
+    The bucket that holds a rank is split by two more hash digits per pass until it
+    is small enough to be ordered; only its rows are read on.
+    """
+    spans = {(g, cut): _enter(histogram[g], rank) for (g, cut), rank in wanted.items()}
+    if not spans:
+        return {}
+    rows = df.select(F.col(group).alias("g"), key_hash(keys, seed).alias("h"))
+    g_type = df.schema[group].dataType.simpleString()
+    digits = PREFIX_DIGITS
+    while any(n > order_rows for _, _, n in spans.values()) and digits < 32:
+        held = _in_buckets(rows, spans, digits, g_type)
+        digits += PREFIX_DIGITS
+        finer = held.groupBy("g", "cut", F.substring("h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        parts = _bucket_counts(finer, ["g", "cut"])
+        spans = {key: _enter(parts[key], span[1]) for key, span in spans.items()}
+    ranked = _in_buckets(rows, spans, digits, g_type).withColumn(
+        "k", F.row_number().over(W.partitionBy("g", "cut").orderBy("h")))
+    return {(r["g"], r["cut"]): r["h"] for r in ranked.filter(F.col("k") == F.col("r")).collect()}
+
+
+def _enter(buckets: dict, rank: int) -> tuple[str, int, int]:
+    """(prefix, rank inside it, its rows) of the bucket that holds a rank."""
+    for prefix in sorted(buckets):
+        if rank <= buckets[prefix]:
+            return prefix, rank, buckets[prefix]
+        rank -= buckets[prefix]
+    raise ValueError("the rank exceeds the class size")
+
+
+def _in_buckets(rows: DataFrame, spans: dict, digits: int, g_type: str) -> DataFrame:
+    table = rows.sparkSession.createDataFrame(
+        [(g, cut, prefix, r) for (g, cut), (prefix, r, _) in spans.items()], f"g {g_type}, cut int, b string, r long")
+    return rows.withColumn("b", F.substring("h", 1, digits)).join(F.broadcast(table), ["g", "b"])
 
 
 def exact_quantiles(
@@ -175,14 +206,20 @@ def with_value_bins(df: DataFrame, cuts: DataFrame | None, by: str, value: str,
     return joined.withColumn(name, F.col("_c") * F.col("width") + fine).drop("coarse", "fine", "width", "_c")
 
 
-def value_cuts(df: DataFrame, by: str, value: str, rows_per_bin: int) -> DataFrame | None:
+WORTH_SPLITTING = 1_000_000  # rows that are worth a task of their own
+
+
+def value_cuts(df: DataFrame, by: str, value: str, sizes: DataFrame, rows_per_bin: int) -> DataFrame | None:
     """Cut values per group that put about ``rows_per_bin`` rows in a bin; None for one bin.
 
+    ``sizes`` holds the rows ``n`` of each group.
+
     Cuts are read once into literals, so every later stage bins alike even when a
     task is run again. They only balance the work: results do not depend on them.
     """
-    sizes = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
-    bins = max((math.ceil(n / rows_per_bin) for n in sizes.values()), default=1)
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    bins = max(math.ceil(largest / rows_per_bin), min(slots, math.ceil(largest / WORTH_SPLITTING)))
     if bins <= 1:
         return None
     width = math.ceil(math.sqrt(bins))

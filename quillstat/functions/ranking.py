@@ -48,7 +48,7 @@ def first_reaching(df: DataFrame, order: str, cumulative: str, threshold: float,
 def hartigan(inertia: Column, k: Column, n: Column) -> Column:
     """(W_k / W_{k+1} - 1)(n - k - 1); missing for the last k."""
     following = F.lead(inertia).over(W.orderBy(k))
-    return (inertia / following - 1) * (n - k - 1)
+    return (F.try_divide(inertia, following) - 1) * (n - k - 1)
 
 
 def best_k(df: DataFrame, k: str, score: str, name: str = "best_k") -> DataFrame:

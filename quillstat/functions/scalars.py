@@ -78,6 +78,14 @@ def unit_range(c: Column, lo: Column, hi: Column) -> Column:
     return F.when(close, F.lit(1.0)).otherwise((c - lo) / (hi - lo))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Aggregate: Pearson correlation over rows with both values; missing when a
+    column is constant (the built-in one raises an error there)."""
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def selection_status(in_a: Column, in_b: Column, a: str, b: str) -> Column:
     return (
         F.when(in_a & in_b, "shared")
@@ -105,7 +113,7 @@ def with_size_guides(df: DataFrame, n: str, p: str) -> DataFrame:
     nn, pp = F.col(n).cast("double"), F.col(p)
     return df.select(
         "*",
-        (nn / F.log(nn)).alias("n_over_log_n"),
+        F.try_divide(nn, F.log(nn)).alias("n_over_log_n"),
         (F.col(n) - 1).alias("n_minus_1"),
         F.least(F.col(n), pp).alias("max_possible_rank"),
         (pp - F.least(F.col(n), pp)).alias("rank_deficiency"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillstat.functions.scalars import VIF_STRONG, VIF_WARNING, finite_or, is_finite, partial_r2, vif_flag, vif_from_r2
+from quillstat.functions.scalars import VIF_STRONG, VIF_WARNING, correlation, finite_or, is_finite, partial_r2, vif_flag, vif_from_r2
 
 # Fixed values.
 PAIR_THRESHOLDS = (0.5, 0.7, 0.8, 0.9, 0.95)
@@ -43,7 +43,7 @@ def pair_correlations(df: DataFrame, features: Sequence[str], undefined: float |
     """
     if len(features) <= SQL_FEATURES:
         spots = [(i, j) for i in range(len(features)) for j in range(i + 1, len(features))]
-        row = df.agg(*[F.corr(features[i], features[j]).alias(f"r{i}_{j}") for i, j in spots])
+        row = df.agg(*[correlation(features[i], features[j]).alias(f"r{i}_{j}") for i, j in spots])
         cells = [
             F.struct(F.lit(features[i]).alias("feature_1"), F.lit(features[j]).alias("feature_2"),
                      finite_or(F.col(f"r{i}_{j}"), undefined).alias("correlation"))
@@ -102,7 +102,7 @@ def threshold_counts(pairs: DataFrame, thresholds: Sequence[float] = PAIR_THRESH
     hits = [F.count(F.when(F.col("abs_correlation") >= t, 1)).alias(f"t{i}") for i, t in enumerate(thresholds)]
     cells = [
         F.struct(F.lit(float(t)).alias("abs_correlation_threshold"), F.col(f"t{i}").alias("n_pairs"),
-                 (F.col(f"t{i}") / F.col("n")).alias("pct_pairs"))
+                 F.try_divide(F.col(f"t{i}"), F.col("n")).alias("pct_pairs"))
         for i, t in enumerate(thresholds)
     ]
     return pairs.agg(F.count(F.lit(1)).alias("n"), *hits).select(_inline(cells))
@@ -136,7 +136,7 @@ def vif_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
     explained and do not take part in the others' regressions.
     """
     r = correlation_matrix(df, list(features))
-    constant = np.isnan(np.where(np.eye(len(features)) > 0, 0.0, r)).all(axis=1) if len(features) > 1 else np.zeros(1, bool)
+    constant = (np.isnan(r) | np.eye(len(features), dtype=bool)).all(axis=1) & (len(features) > 1)
     inflation = np.full(len(features), np.inf)
     live = np.flatnonzero(~constant)
     values, vectors = np.linalg.eigh(r[np.ix_(live, live)])

@@ -119,7 +119,7 @@ def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-3, p
 
 def random_forest(trees: int = TREES, depth: int = MAX_DEPTH, weighted: bool = True) -> RandomForestClassifier:
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, cacheNodeIds=True, maxMemoryInMB=512)
+        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=256)
     return forest.setWeightCol("weight") if weighted else forest
 
 
@@ -272,7 +272,7 @@ def search(
 
     tasks = [(at, fold) for at in range(len(candidates)) for fold in range(folds)]
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        rows = pool.map(inheritable_thread_target(run), tasks)
+        rows = pool.map(inheritable_thread_target(table.sparkSession)(run), tasks)
     out = Search(rows=rows)
     means = [float(np.mean([r["test"] for r in rows if r["at"] == at])) for at in range(len(candidates))]
     first = int(np.argmax(means))

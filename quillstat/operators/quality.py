@@ -177,7 +177,7 @@ def missing_by_feature(df: DataFrame, features: Sequence[str], split: str | None
     counted = df.groupBy(*keys).agg(n, *[F.count(F.when(_missing(df, f), 1)).alias(f) for f in features])
     long = counted.unpivot([*keys, "_n"], list(features), "feature", "missing_count")
     return long.select(
-        *keys, "feature", "missing_count", (F.lit(100.0) * F.col("missing_count") / F.col("_n")).alias("missing_percent")
+        *keys, "feature", "missing_count", F.try_divide(F.lit(100.0) * F.col("missing_count"), F.col("_n")).alias("missing_percent")
     )
 
 
@@ -245,7 +245,7 @@ def class_shape_wide(
     cells = []
     for c in classes:
         hits = F.count(F.when(F.col(y) == c, 1))
-        cells += [hits.alias(f"n_{c}"), (hits / n).alias(f"pct_{c}")]
+        cells += [hits.alias(f"n_{c}"), F.try_divide(hits, n).alias(f"pct_{c}")]
     return df.rollup(F.col(split).alias("split")).agg(
         n.alias("n_observations"), F.lit(len(features)).alias("n_features"),
         missing_cells(df, features).alias("n_missing_values"), *cells,

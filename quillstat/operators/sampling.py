@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.functions.ordering import hash_cut_points, key_hash
+from quillstat.functions.ordering import hash_cut_points, hash_histogram, key_hash
 
 # Fixed values.
 SEED = 42
@@ -42,15 +42,6 @@ def split_quotas(sizes: dict, share: float = TEST_SHARE) -> dict:
     return quota
 
 
-def _cuts(df: DataFrame, y: str, keys: Sequence[str], seed: int, wanted: list[tuple]) -> dict:
-    wanted = [w for w in wanted if w[2] > 0]
-    if not wanted:
-        return {}
-    y_type = df.schema[y].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(wanted, f"`{y}` {y_type}, cut int, cut_rank long")
-    return {(g, c): h for g, c, h in hash_cut_points(df, y, keys, seed, table)}
-
-
 def _lookup(y: str, table: dict) -> Column:
     """Literal map from class to value; one entry per class."""
     cells = [F.lit(x) for pair in table.items() for x in pair]
@@ -61,8 +52,9 @@ def with_split(
     df: DataFrame, y: str, keys: Sequence[str], share: float = TEST_SHARE, seed: int = SEED, name: str = "split"
 ) -> DataFrame:
     """Mark every row "train" or "test" with exact class quotas."""
-    quota = split_quotas(class_sizes(df, y), share)
-    cuts = _cuts(df, y, keys, seed, [(c, 0, q) for c, q in quota.items()])
+    histogram = hash_histogram(df, y, keys, seed)
+    quota = split_quotas({c: sum(b.values()) for c, b in histogram.items()}, share)
+    cuts = hash_cut_points(df, y, keys, seed, histogram, {(c, 0): q for c, q in quota.items() if q > 0})
     if not cuts:
         return df.withColumn(name, F.lit("train"))
     edge = _lookup(y, {g: h for (g, _), h in cuts.items()})
@@ -79,8 +71,10 @@ def with_folds(
     With ``only`` (say, the training rows) the other rows get fold -1.
     """
     pool = df if only is None else df.filter(only)
-    sizes = class_sizes(pool, y)
-    cuts = _cuts(pool, y, keys, seed, [(c, f, f * n // k) for c, n in sizes.items() for f in range(1, k)])
+    histogram = hash_histogram(pool, y, keys, seed)
+    sizes = {c: sum(b.values()) for c, b in histogram.items()}
+    wanted = {(c, f): f * n // k for c, n in sizes.items() for f in range(1, k) if f * n // k > 0}
+    cuts = hash_cut_points(pool, y, keys, seed, histogram, wanted)
     h = key_hash(keys, seed)
     fold = F.lit(0)
     for f in range(1, k):

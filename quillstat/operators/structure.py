@@ -277,7 +277,7 @@ def agreement_of(cells: DataFrame) -> DataFrame:
         F.sum(n / t * F.log(n * t / (na * nb))).alias("mi"),
         F.sum(-n / t * F.log(na / t)).alias("ha"), F.sum(-n / t * F.log(nb / t)).alias("hb"),
     )
-    expected = F.col("in_a") * F.col("in_b") / F.col("all")
+    expected = F.try_divide(F.col("in_a") * F.col("in_b"), F.col("all"))
     top = (F.col("in_a") + F.col("in_b")) / 2
     return sums.select(
         F.coalesce(F.try_divide(F.col("both") - expected, top - expected), F.lit(1.0)).alias("adjusted_rand_index"),

@@ -18,9 +18,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
-def read_table(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None, spread: bool = False
+) -> DataFrame:
+    """A parquet table; ``spread`` deals a table of few pieces out over all slots."""
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_out(df) if spread else df
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Deal out a small scan that would leave slots idle in the work that follows.
+
+    A parquet file is read by at most one task per row group. Only a table in fewer
+    files than slots is shuffled, once; a large one is left as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
 
 
 def read_labelled_matrix(spark: SparkSession, path: str, label: str = "class") -> DataFrame:

@@ -143,3 +143,12 @@ def test_models_are_saved_and_missing_ones_skipped(spark, tmp_path):
     tables.save_model(logistic(30, 1.0).fit(df), str(tmp_path / "m"))
     found = tables.load_models({"there": str(tmp_path / "m"), "gone": str(tmp_path / "nothing")})
     assert list(found) == ["there"] and found["there"].transform(df).count() == 30
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "split string, y string, f double, g double")
+    assert [r["missing_percent"] for r in quality.missing_by_feature(df, ["f", "g"]).collect()] == [None, None]
+    assert summaries.class_distribution(df, "y").count() == 0
+    assert quality.class_shape_wide(df, "split", "y", ["f"], ["a"]).count() <= 1
+    assert duplicates.repeated_keys(df, ["f"], ["y"]).count() == 0
+    assert prep.fit_medians(df, ["f"]) == {}
