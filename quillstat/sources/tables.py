@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from quillstat.functions.scalars import finite_or
 
+PIECE_BYTES = 1024 * 1024
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Headed CSV. Give a schema for large files: inferring one costs an extra pass."""
@@ -28,13 +31,19 @@ def read_table(
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """Deal out a small scan that would leave slots idle in the work that follows.
+    """Deal out a scan of few files that would leave slots idle in the work that follows.
 
     A parquet file is read by at most one task per row group. Only a table in fewer
-    files than slots is shuffled, once; a large one is left as it is.
+    files than slots is shuffled, once, into pieces worth a task; a large table is
+    left as it is.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+    spark = df.sparkSession
+    slots, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or len(files) >= slots:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    pieces = min(slots, math.ceil(size / PIECE_BYTES))
+    return df.repartition(pieces) if pieces > len(files) else df
 
 
 def read_labelled_matrix(spark: SparkSession, path: str, label: str = "class") -> DataFrame:
