@@ -143,7 +143,7 @@ def kernel_svm_metrics(spark, sf):
 @query()
 def random_forest_metrics(spark, sf):
     labels, train, test = _wide(spark, sf)
-    return _both_metrics("random_forest", mo.random_forest().fit(train), labels, train, test)
+    return _both_metrics("random_forest", mo.random_forest().fit(train.repartition(spark.sparkContext.defaultParallelism)), labels, train, test)
 
 
 @query()

@@ -78,9 +78,14 @@ def unit_range(c: Column, lo: Column, hi: Column) -> Column:
     return F.when(close, F.lit(1.0)).otherwise((c - lo) / (hi - lo))
 
 
-def correlation(a: str, b: str) -> Column:
+def correlation(a: str, b: str, complete: bool = False) -> Column:
     """Aggregate: Pearson correlation over rows with both values; missing when a
-    column is constant (the built-in one raises an error there)."""
+    column is constant (the built-in one raises an error there).
+
+    ``complete`` columns have no missing values, so pairs share their deviations.
+    """
+    if complete:
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     x = F.when(F.col(b).isNotNull(), F.col(a))
     y = F.when(F.col(a).isNotNull(), F.col(b))
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))

@@ -43,7 +43,10 @@ def pair_correlations(df: DataFrame, features: Sequence[str], undefined: float |
     """
     if len(features) <= SQL_FEATURES:
         spots = [(i, j) for i in range(len(features)) for j in range(i + 1, len(features))]
-        row = df.agg(*[correlation(features[i], features[j]).alias(f"r{i}_{j}") for i, j in spots])
+        full = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f).alias(f) for f in features]).first()
+        whole = [full[f] == full["_n"] for f in features]
+        row = df.agg(*[
+            correlation(features[i], features[j], whole[i] and whole[j]).alias(f"r{i}_{j}") for i, j in spots])
         cells = [
             F.struct(F.lit(features[i]).alias("feature_1"), F.lit(features[j]).alias("feature_2"),
                      finite_or(F.col(f"r{i}_{j}"), undefined).alias("correlation"))
