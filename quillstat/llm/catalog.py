@@ -6,10 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstat.llm import exact_dedup, sharding
+import public_tokenizers
+
+from quillstat.llm import (
+    decontaminate, exact_dedup, license_scan, order_minhash, piece_codec, quality_model, sharding, token_files, toxic_crf,
+)
 from quillstat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_summary(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     public_tokenizers.path(WORD_VOCABULARY))
+
+
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                       table(spark, sf_dir, "labels", "doc_id", "quality"), quality_model.held_out_rows())
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +45,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_crf.score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    table(spark, sf_dir, "labels", "doc_id", "toxic"), toxic_crf.held_out_rows())
+
+
+def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.round_trips(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(PIECE_MODEL))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_notices(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op6_sharding": op6_sharding, "op7_exact_dedup": op7_exact_dedup}
+    runs = (op1_token_files, op3_quality_model, op4_decontamination, op5_order_minhash, op6_sharding, op7_exact_dedup,
+            op8_toxicity, op9_piece_codec, op10_license_scan)
+    return {run.__name__: run for run in runs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_sharding": sharding.SQL, "op7_exact_dedup": exact_dedup.SQL}
+    return {"op4_decontamination": decontaminate.SQL, "op6_sharding": sharding.SQL, "op7_exact_dedup": exact_dedup.SQL}

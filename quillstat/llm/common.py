@@ -75,5 +75,53 @@ def bounded_rows(df: DataFrame, key: str, rows: int, seed: int = 17) -> DataFram
     return df.filter(mark < F.lit(int(share * (1 << 30)))).orderBy(mark, F.col(key)).limit(rows)
 
 
+def labelled_sample(documents: DataFrame, labels: DataFrame, learn: Column, label: str, key: str, text: str, rows: int,
+                    characters: int) -> DataFrame:
+    """_id, _y, _text of labelled rows to learn from: at most ``rows`` of them, chosen by a hash
+    of their id, and in that order no more than ``characters`` characters together.
+
+    Null ids and null labels are left out; an id that repeats counts once, with its least label
+    and least text.
+    """
+    known = labels.filter(learn & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(
+        F.col(key).alias("_id")).agg(F.min(F.col(label).cast("int")).alias("_y"))
+    chosen = cut(bounded_rows(known, "_id", rows))
+    texts = documents.select(F.col(key).alias("_id"), text_or_empty(text).alias("_text"))
+    sizes = texts.select("_id", F.length("_text").alias("_n")).join(F.broadcast(chosen), "_id").groupBy("_id").agg(
+        F.max("_n").alias("_n"), F.xxhash64(F.lit(17), F.col("_id")).alias("_mark")).orderBy("_mark", "_id").collect()
+    total, ids = 0, []
+    for row in sizes:
+        total += row["_n"]
+        if total > characters and ids:
+            break
+        ids.append(row["_id"])
+    wanted = documents.sparkSession.createDataFrame([(i,) for i in ids], "_id long")
+    taken = F.broadcast(chosen.join(F.broadcast(wanted), "_id"))
+    return texts.join(taken, "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+class Memo(dict):
+    """Values made on first use, kept for at most twice ``size`` short keys.
+
+    Two generations: when the young one is full it becomes the old one, so frequent keys
+    stay and memory is bounded. ``memo[key]`` is always right, whether kept or made anew.
+    """
+
+    def __init__(self, make, size: int, longest: int = 64):
+        super().__init__()
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
