@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from quillstat.llm import (
-    decontaminate, exact_dedup, license_scan, order_minhash, piece_codec, quality_model, sharding, token_files, toxic_crf,
+    decontaminate, exact_dedup, license_scan, main_text, order_minhash, piece_codec, quality_model, sharding, token_files, toxic_crf,
 )
 from quillstat.llm.common import table
 
@@ -23,6 +23,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
                                        table(spark, sf_dir, "labels", "doc_id", "quality"), quality_model.held_out_rows())
@@ -59,7 +63,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    runs = (op1_token_files, op3_quality_model, op4_decontamination, op5_order_minhash, op6_sharding, op7_exact_dedup,
+    runs = (op1_token_files, op2_main_text, op3_quality_model, op4_decontamination, op5_order_minhash, op6_sharding, op7_exact_dedup,
             op8_toxicity, op9_piece_codec, op10_license_scan)
     return {run.__name__: run for run in runs}
 

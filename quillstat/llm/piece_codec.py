@@ -229,17 +229,22 @@ def decode_documents(df: DataFrame, model: str, key: str = "doc_id", ids: str =
     return rows.mapInPandas(run, f"`{key}` long, text string")
 
 
-def round_trips(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_ids, ids_crc32, n_chars, round_trip: what encoding each whole text gives, and whether decoding restores it."""
+def round_trips(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """key, n_ids, ids_crc32, n_chars, round_trip (and ids): what encoding each whole text gives,
+    and whether decoding the ids restores the text."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         use = codec(model)
         for batch in batches:
             ids = [use.encode(x) for x in batch[text]]
-            yield pd.DataFrame({
+            out = pd.DataFrame({
                 key: batch[key].astype("Int64"), "n_ids": [len(x) // 4 for x in ids], "ids_crc32": [crc32(x) for x in ids],
                 "n_chars": [len(x) for x in batch[text]], "round_trip": [use.decode(x) == t for x, t in zip(ids, batch[text])]})
+            if with_ids:
+                out["ids"] = [np.frombuffer(x, "<u4").astype(np.int32) for x in ids]
+            yield out
 
     rows = df.select(F.col(key).cast("long").alias(key), text_or_empty(text).alias(text))
-    return rows.mapInPandas(run, f"`{key}` long, n_ids long, ids_crc32 long, n_chars long, round_trip boolean")
+    schema = f"`{key}` long, n_ids long, ids_crc32 long, n_chars long, round_trip boolean"
+    return rows.mapInPandas(run, schema + ", ids array<int>" if with_ids else schema)

@@ -41,8 +41,9 @@ from quillstat.llm.common import Memo, labelled_sample, remainder, small_batches
 TRAIN_ROWS = 4000
 TRAIN_CHARACTERS = 16_000_000
 BUCKETS = 1 << 18
-PREFIXES = (4, 5, 6)
-ROUNDS = 60
+PREFIXES = (4, 5, 6, 7)
+LEAST_SHARE = 0.5
+ROUNDS = 40
 RATE = 0.25
 RIDGE = 1e-4
 BLOCK = 256
@@ -57,7 +58,7 @@ def tokens(text: str) -> list[str]:
 
 def features(word: str) -> list[str]:
     """The word, its beginnings where they are shorter than it, and its ending."""
-    return ["w" + word, *("p" + word[:n] for n in PREFIXES if len(word) >= n), "s" + word[-3:]]
+    return ["w" + word, *("p" + word[:n] for n in PREFIXES if len(word) > n), "s" + word[-3:]]
 
 
 def buckets(word: str) -> np.ndarray:
@@ -75,7 +76,7 @@ def toxic_marks(documents: list[list[str]], labels: np.ndarray) -> set[str]:
     for feature, hits in seen[1].items():
         n = hits + seen[0][feature]
         share = hits / n
-        if hits < 3 or share < 0.8 or share <= base:
+        if hits < 3 or share < LEAST_SHARE or share <= base:
             continue
         surprise = hits * np.log(share / base) + ((n - hits) * np.log((1 - share) / (1 - base)) if hits < n else 0)
         if surprise > np.log(tested):
