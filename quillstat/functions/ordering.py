@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PREFIX_DIGITS = 2  # 256 buckets per class and pass
-MAX_BUCKETS = 1_000_000
+MAX_BUCKETS = 10_000 * 16**PREFIX_DIGITS  # all buckets of as many classes as a label may have
 
 
 def key_hash(keys: Sequence[str], seed: int) -> Column:

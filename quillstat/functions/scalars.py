@@ -109,10 +109,6 @@ def first_names(names: Column, n: int = 5) -> Column:
     return F.array_join(F.slice(names, 1, n), "|")
 
 
-def top_probability(probabilities: Column) -> Column:
-    return F.array_max(probabilities)
-
-
 def with_size_guides(df: DataFrame, n: str, p: str) -> DataFrame:
     """Reference sizes for screening and rank bounds from counts ``n`` and ``p``."""
     nn, pp = F.col(n).cast("double"), F.col(p)

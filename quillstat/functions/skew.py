@@ -5,31 +5,43 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+from quillstat.session import cut_lineage
 
+def _hash_key(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the key; minus zero hashes like zero."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    parts = [F.col(f"`{k}`") + F.lit(0.0) if k in floats else F.col(f"`{k}`") for k in keys]
+    gaps = [c.isNull() for c in parts]
+    return [F.xxhash64(F.lit(seed), *parts, *gaps).alias(name) for seed, name in ((1, "_h1"), (2, "_h2"))]
 
-def members_of(df: DataFrame, keys: Sequence[str], at_least: int = 2, hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def members_of(df: DataFrame, keys: Sequence[str], at_least: int = 2) -> DataFrame:
     """All rows whose key occurs at least ``at_least`` times; missing equals missing.
 
-    Counting is combined before the shuffle. Keys with ``hot_rows`` or more rows are
-    broadcast, and there can be no more than rows/hot_rows of them, so the rows of a
-    hot key are matched where they lie and never meet in one task. The others are
-    matched by an ordinary join.
+    Keys are counted by a 128-bit hash, combined before the shuffle, and the repeated hashes
+    are written once. Rows meet them in a join of two tables read from storage, whose hot
+    keys adaptive execution can split. Only rows with a repeated hash go on; should two
+    different keys share a hash, those rows are counted again by the key itself.
     """
+    on = ["_h1", "_h2"]
+    marked = df.select("*", *_hash_key(df, keys))
+    counts = marked.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= at_least)
+    held = cut_lineage(marked.join(cut_lineage(counts.select(*on)), on, "left_semi"))
+    whole = F.struct(*[F.col(f"`{k}`") for k in keys])
+    mixed = cut_lineage(held.groupBy(*on).agg(F.min(whole).alias("_a"), F.max(whole).alias("_b")).filter(
+        ~F.col("_a").eqNullSafe(F.col("_b"))).select(*on))
+    if mixed.isEmpty():
+        return held.drop(*on)
     names = [f"_k{i}" for i in range(len(keys))]
-    counts = (
-        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= at_least)
-    )
-    hot = F.broadcast(counts.filter(F.col("_n") >= hot_rows))
-    cold = counts.filter(F.col("_n") < hot_rows)
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    rest = df.join(hot, same, "left_anti").join(cold, same, "left_semi")
-    return df.join(hot, same, "left_semi").unionByName(rest)
+    unsure = held.join(mixed, on, "left_semi")
+    again = unsure.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]).agg(
+        F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= at_least)
+    same = reduce(lambda a, b: a & b, [unsure[f"`{k}`"].eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    sure = held.join(mixed, on, "left_anti")
+    return sure.unionByName(unsure.join(cut_lineage(again), same, "left_semi")).drop(*on)
 
 
 def excess_rows(df: DataFrame, keys: Sequence[str], split: str, name: str) -> DataFrame:

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ WIDE_HIGH_PAIR = 0.90
 CLUSTER_DISTANCE = 0.2
 TOP_PAIRS = 200
 
-SQL_FEATURES = 24  # up to here all pairs fit in one generated aggregate
-MAX_FEATURES = 5_000  # a p x p matrix of this size takes 200 MB on the driver
+SQL_FEATURES = 8  # up to here all pairs fit in one generated aggregate
+BLOCK_FEATURES = 128
+CHUNK = 200  # expressions per aggregate
+MAX_FEATURES = 5_000  # for VIF alone: the inverse of a p x p matrix is taken on the driver
 
 
 def _inline(rows: list[Column]) -> Column:
@@ -37,16 +40,18 @@ def _inline(rows: list[Column]) -> Column:
 def pair_correlations(df: DataFrame, features: Sequence[str], undefined: float | None = None) -> DataFrame:
     """(feature_1, feature_2, correlation, abs_correlation) for features in order i < j.
 
-    A few features use one SQL aggregate, which pairs up the present values; more
-    use the distributed covariance of ``pyspark.ml`` and need complete rows. An
-    undefined correlation becomes ``undefined``.
+    Each pair is taken over the rows where both values are present (not null, not NaN), for
+    any number of features. Up to ``SQL_FEATURES`` one generated aggregate does it; more are
+    read in blocks of features, which gives the same numbers. An undefined correlation becomes
+    ``undefined``.
     """
+    doubles = df.select(*[F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")).alias(f) for f in features])
     if len(features) <= SQL_FEATURES:
         spots = [(i, j) for i in range(len(features)) for j in range(i + 1, len(features))]
-        full = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f).alias(f) for f in features]).first()
+        full = doubles.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f"`{f}`").alias(f) for f in features]).first()
         whole = [full[f] == full["_n"] for f in features]
-        row = df.agg(*[
-            correlation(features[i], features[j], whole[i] and whole[j]).alias(f"r{i}_{j}") for i, j in spots])
+        row = doubles.agg(*[
+            correlation(f"`{features[i]}`", f"`{features[j]}`", whole[i] and whole[j]).alias(f"r{i}_{j}") for i, j in spots])
         cells = [
             F.struct(F.lit(features[i]).alias("feature_1"), F.lit(features[j]).alias("feature_2"),
                      finite_or(F.col(f"r{i}_{j}"), undefined).alias("correlation"))
@@ -54,16 +59,65 @@ def pair_correlations(df: DataFrame, features: Sequence[str], undefined: float |
         ]
         pairs = row.select(_inline(cells))
     else:
-        r = correlation_matrix(df, features)
-        i, j = np.triu_indices(len(features), 1)
-        names = np.asarray(features, dtype=object)
-        table = pd.DataFrame({"feature_1": names[i], "feature_2": names[j], "correlation": r[i, j]})
-        schema = "feature_1 string, feature_2 string, correlation double"
-        pairs = df.sparkSession.createDataFrame(table, schema).withColumn(
-            "correlation", finite_or(F.col("correlation"), undefined))
+        dim = df.sparkSession.createDataFrame(list(enumerate(features)), "p int, f string")
+        name = lambda end, column: F.broadcast(dim.select(F.col("p").alias(end), F.col("f").alias(column)))
+        pairs = _block_correlations(doubles, features).join(name("i", "feature_1"), "i").join(name("j", "feature_2"), "j").select(
+            "feature_1", "feature_2", finite_or(F.col("correlation"), undefined).alias("correlation"))
     return pairs.withColumn("abs_correlation", F.abs("correlation"))
 
 
+def _block_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(i, j, correlation), i < j, from sums over rows kept per pair of feature blocks.
+
+    A task hands on one array of sums per block pair, whatever its rows; the sums of a block
+    pair meet in one aggregate buffer and never leave the executors.
+    """
+    mean: list[float] = []
+    for k in range(0, len(features), CHUNK):
+        mean += [v or 0.0 for v in df.agg(*[F.avg(f"`{f}`") for f in features[k:k + CHUNK]]).first()]
+    centre, p = np.array(mean), len(features)
+    spans = [(k, min(k + BLOCK_FEATURES, p)) for k in range(0, p, BLOCK_FEATURES)]
+
+    def partial(batches):
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            rows = np.array(batch["_x"].tolist(), dtype=float).reshape(len(batch), p)
+            here = ~np.isnan(rows)
+            x = np.where(here, rows - centre, 0.0)
+            m, square = here.astype(float), x * x
+            for bi, (a, b) in enumerate(spans):
+                for bj, (c, d) in enumerate(spans[bi:], bi):
+                    part = np.stack([
+                        m[:, a:b].T @ m[:, c:d], x[:, a:b].T @ m[:, c:d], m[:, a:b].T @ x[:, c:d],
+                        square[:, a:b].T @ m[:, c:d], m[:, a:b].T @ square[:, c:d], x[:, a:b].T @ x[:, c:d]])
+                    if (bi, bj) in sums:
+                        sums[bi, bj] += part
+                    else:
+                        sums[bi, bj] = part
+        for (bi, bj), part in sums.items():
+            yield pd.DataFrame({"bi": [bi], "bj": [bj], "s": [part.ravel()]})
+
+    def finish(batches):
+        for batch in batches:
+            for bi, bj, s in zip(batch["bi"], batch["bj"], batch["s"]):
+                (a, b), (c, d) = spans[bi], spans[bj]
+                n, sx, sy, xx, yy, xy = np.asarray(s).reshape(6, b - a, d - c)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    vx, vy = xx - sx * sx / n, yy - sy * sy / n
+                    # What rounding leaves of a constant column is no spread.
+                    flat = (vx <= 1e-13 * xx) | (vy <= 1e-13 * yy)
+                    r = np.where(flat, np.nan, (xy - sx * sy / n) / np.sqrt(vx * vy))
+                i, j = np.meshgrid(np.arange(a, b), np.arange(c, d), indexing="ij")
+                keep = i < j
+                yield pd.DataFrame({"i": i[keep], "j": j[keep], "correlation": r[keep]})
+
+    rows = df.select(F.array(*[F.col(f"`{f}`") for f in features]).alias("_x")).mapInPandas(
+        partial, "bi int, bj int, s array<double>")
+    whole = rows.groupBy("bi", "bj").agg(Summarizer.sum(array_to_vector("s")).alias("s")).select(
+        "bi", "bj", vector_to_array("s").alias("s"))
+    return whole.mapInPandas(finish, "i int, j int, correlation double")
+
+
 def correlation_matrix(df: DataFrame, features: Sequence[str] | str) -> np.ndarray:
     """p x p matrix of complete rows, from named columns or one vector column."""
     if isinstance(features, str):

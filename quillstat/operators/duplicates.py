@@ -24,14 +24,14 @@ def without_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def repeated_keys(df: DataFrame, key: Sequence[str], keep: Sequence[str | Column], **skew: int) -> DataFrame:
+def repeated_keys(df: DataFrame, key: Sequence[str], keep: Sequence[str | Column]) -> DataFrame:
     """Every row whose key occurs more than once; nothing is removed from the data."""
-    return members_of(df, key, **skew).select(*keep)
+    return members_of(df, key).select(*keep)
 
 
 def repeated_across_splits(
-    train: DataFrame, test: DataFrame, key: Sequence[str], keep: Sequence[str | Column], **skew: int
+    train: DataFrame, test: DataFrame, key: Sequence[str], keep: Sequence[str | Column],
 ) -> DataFrame:
     """Repeats over the union of two splits; the split tag is not part of the key."""
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    return members_of(both, key, **skew).select(*keep)
+    return members_of(both, key).select(*keep)

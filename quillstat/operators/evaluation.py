@@ -30,13 +30,17 @@ def confusion_cells(df: DataFrame, y: str, pred: str, keys: Sequence[str] = ())
 def class_scores(cells: DataFrame, keys: Sequence[str] = (), classes: Sequence[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class; 0 where undefined.
 
-    The classes are those in truth or prediction, or a fixed list if one is given.
+    The classes are those in truth or prediction, or a fixed list if one is given. A missing
+    label is one class like any other, on both sides.
     """
-    hit = F.when(F.col("y") == F.col("pred"), F.col("n")).otherwise(0)
-    truth = cells.groupBy(*keys, F.col("y").alias("label")).agg(F.sum("n").alias("support"), F.sum(hit).alias("hits"))
-    guessed = cells.groupBy(*keys, F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
+    none = F.lit(0).cast("long")
+    hit = F.when(F.col("y").eqNullSafe(F.col("pred")), F.col("n")).otherwise(none)
+    sides = F.inline(F.array(
+        F.struct(F.col("y").alias("label"), F.col("n").alias("support"), hit.alias("hits"), none.alias("predicted")),
+        F.struct(F.col("pred").alias("label"), none.alias("support"), none.alias("hits"), F.col("n").alias("predicted"))))
     on = [*keys, "label"]
-    both = truth.join(guessed, on, "full_outer").na.fill(0, ["support", "hits", "predicted"])
+    both = cells.select(*keys, sides).groupBy(*on).agg(
+        *[F.sum(c).alias(c) for c in ("support", "hits", "predicted")])
     if classes is not None:
         spark = cells.sparkSession
         dim = spark.createDataFrame([(c,) for c in classes], "label string")

@@ -1,7 +1,7 @@
 """Complete-linkage clustering of a bounded set of nodes.
 
-Nodes are features, or the centres of a k-means over the rows: never more than a few
-thousand. The pair table lives in Spark. Each round merges every pair of clusters
+Nodes are features, or as many centres of a k-means over the rows as the caller asks for.
+The driver holds one entry per node. The pair table lives in Spark. Each round merges every pair of clusters
 that are each other's nearest, which for complete linkage gives the same tree as
 merging one pair at a time, in about log(n) rounds; the distance of a merged cluster
 is the largest distance between its parts.
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from quillstat.operators.collinearity import CLUSTER_DISTANCE, with_cluster_size
 from quillstat.session import cut_lineage
 
-MAX_NODES = 5_000
 _MERGES = "step int, a int, b int, height double, size int"
 
 
@@ -28,8 +27,6 @@ def complete_linkage(pairs: DataFrame, n: int) -> DataFrame:
     ``a`` < ``b`` are the smallest members of the merged clusters; the new cluster
     is known by ``a`` from then on.
     """
-    if n > MAX_NODES:
-        raise ValueError(f"{n} nodes exceed the bound of {MAX_NODES}")
     spark = pairs.sparkSession
     base = cut_lineage(pairs.select("i", "j", "d"))
     cluster = list(range(n))

@@ -38,7 +38,8 @@ WEAK_L2_C = 1e6
 FOLDS = 5
 WIDE_FOLDS = 3
 TREES = 100
-MAX_DEPTH = 30  # the deepest tree the estimator grows
+MAX_DEPTH = 12  # a tree level is a pass over the rows; deeper ones only memorise single rows
+LEAF_ROWS = 2
 FOURIER_FEATURES = 512
 SEED = 42
 
@@ -117,9 +118,11 @@ def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-3, p
     return OneVsRest(classifier=margin, weightCol="weight", parallelism=parallelism)
 
 
-def random_forest(trees: int = TREES, depth: int = MAX_DEPTH, weighted: bool = True) -> RandomForestClassifier:
+def random_forest(
+    trees: int = TREES, depth: int = MAX_DEPTH, weighted: bool = True, leaf_rows: int = LEAF_ROWS
+) -> RandomForestClassifier:
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=256)
+        numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf_rows, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=256)
     return forest.setWeightCol("weight") if weighted else forest
 
 

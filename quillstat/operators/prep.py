@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.ordering import exact_quantiles
 from quillstat.functions.scalars import to_number
+from quillstat.operators.quality import is_missing
 
 CHUNK = 200  # expressions per aggregate, to stay within one generated method
 
@@ -25,11 +26,6 @@ def to_long(df: DataFrame, ids: Sequence[str], features: Sequence[str]) -> DataF
     return doubles.unpivot(list(ids), list(features), "feature", "value")
 
 
-def spread_array(df: DataFrame, column: str, names: Sequence[str]) -> list[Column]:
-    """Columns of a fixed-length array as doubles."""
-    return [F.col(column)[i].cast("double").alias(n) for i, n in enumerate(names)]
-
-
 def coerce_numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f: to_number(F.col(f)) for f in features})
 
@@ -53,7 +49,7 @@ def imputation_report(df: DataFrame, split: str, medians: dict[str, float | None
     spark = df.sparkSession
     features = list(medians)
     gaps = [
-        F.count(F.when((F.col(split) == s) & F.col(f).isNull(), 1)).alias(f"{s}:{f}")
+        F.count(F.when((F.col(split) == s) & is_missing(f, df.schema[f].dataType), 1)).alias(f"{s}:{f}")
         for s in ("train", "test") for f in features
     ]
     row = df.agg(*gaps).first()
@@ -89,7 +85,7 @@ def fit_scaling(train: DataFrame, features: Sequence[str]) -> Scaling:
 
 def apply_scaling(df: DataFrame, scaling: Scaling) -> DataFrame:
     return df.withColumns({
-        f: (F.col(f) - F.lit(m)) / F.lit(scaling.std[f] or 1.0) for f, m in scaling.mean.items()
+        f: (F.col(f"`{f}`") - F.lit(m)) / F.lit(scaling.std[f] or 1.0) for f, m in scaling.mean.items()
     })
 
 
@@ -138,13 +134,14 @@ def expand_array(values: Column) -> Column:
 
 def sparse_columns(df: DataFrame, features: Sequence[str], most: float) -> list[str]:
     """Features whose share of missing values exceeds ``most``."""
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f).alias(f) for f in features]).first()
+    gaps = [F.count(F.when(is_missing(f, df.schema[f].dataType), 1)).alias(f) for f in features]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *gaps).first()
     n = row["_n"] or 1
-    return [f for f in features if 1 - row[f] / n > most]
+    return [f for f in features if row[f] / n > most]
 
 
 def drop_sparse_rows(df: DataFrame, features: Sequence[str], most: float) -> DataFrame:
-    gaps = sum((F.col(f).isNull().cast("int") for f in features), F.lit(0))
+    gaps = sum((is_missing(f, df.schema[f].dataType).cast("int") for f in features), F.lit(0))
     return df.filter(gaps <= F.lit(most * len(features)))
 
 

@@ -79,18 +79,22 @@ def alignment_report(
 
 def matrix_report(train: DataFrame, test: DataFrame, names: Sequence[str], ids: Sequence[str]) -> DataFrame:
     """Width, order, metadata and type checks with the values seen on both sides."""
-    spark = train.sparkSession
-    a, b = feature_columns(train, ids), feature_columns(test, ids)
-    bad_a, bad_b = non_numeric_features(train, a), non_numeric_features(test, b)
-    head = lambda xs: "|".join(xs[:5]) + ("..." if len(xs) > 5 else "")
-    rows = [
-        ("same_number_of_features", len(a) == len(b), str(len(a)), str(len(b))),
-        ("same_feature_order", a == b, head(a), head(b)),
-        ("same_as_metadata", a == list(names), str(len(a)), str(len(names))),
-        ("train_all_numeric", not bad_a, str(len(bad_a)), ""),
-        ("test_all_numeric", not bad_b, "", str(len(bad_b))),
-    ]
-    return spark.createDataFrame(rows, "check string, passed boolean, train_value string, test_value string")
+    left, right = feature_columns(train, ids), feature_columns(test, ids)
+    texts_left, texts_right = non_numeric_features(train, left), non_numeric_features(test, right)
+    rules = train.sparkSession.createDataFrame([
+        ("same_number_of_features", len(left) == len(right), left, right, False),
+        ("same_feature_order", left == right, left, right, True),
+        ("same_as_metadata", left == list(names), left, list(names), False),
+        ("train_all_numeric", not texts_left, texts_left, None, False),
+        ("test_all_numeric", not texts_right, None, texts_right, False),
+    ], "check string, passed boolean, a array<string>, b array<string>, by_name boolean")
+
+    def shown(side: str, name: str) -> Column:
+        cut = F.when(F.size(side) > 5, "...").otherwise("")
+        value = F.when(F.col("by_name"), F.concat(first_names(F.col(side)), cut)).otherwise(F.size(side).cast("string"))
+        return F.when(F.col(side).isNull(), "").otherwise(value).alias(name)
+
+    return rules.select("check", "passed", shown("a", "train_value"), shown("b", "test_value"))
 
 
 # --- labels --------------------------------------------------------------------------
@@ -276,7 +280,3 @@ def standardisation_report(df: DataFrame, split: str, features: Sequence[str], z
         F.avg("s").alias("mean_feature_std"),
         F.count(F.when(F.abs("s") <= zero, 1)).alias("n_zero_variance_features"),
     )
-
-
-def name_preview(names: Column) -> Column:
-    return first_names(names)

@@ -20,7 +20,7 @@ from quillstat.functions.ordering import hash_cut_points, hash_histogram, key_ha
 SEED = 42
 TEST_SHARE = 0.20
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 10_000  # a column with more values is no class label; split and folds share this bound
 
 
 def class_sizes(df: DataFrame, y: str) -> dict:
@@ -68,7 +68,8 @@ def with_folds(
 ) -> DataFrame:
     """Mark every row with a fold 0..k-1; fold sizes differ by at most 1 per class.
 
-    With ``only`` (say, the training rows) the other rows get fold -1.
+    With ``only`` (say, the training rows) the other rows get fold -1. A row without a class
+    has no fold (null).
     """
     pool = df if only is None else df.filter(only)
     histogram = hash_histogram(pool, y, keys, seed)
@@ -85,6 +86,7 @@ def with_folds(
             fold = fold + passed.cast("int")
         else:
             fold = fold + F.lit(1)
+    fold = F.when(F.col(y).isNotNull(), fold)
     return df.withColumn(name, fold if only is None else F.when(only, fold).otherwise(F.lit(-1)))
 
 

@@ -26,7 +26,6 @@ SEED = 42
 CLASS_COUNT = 3
 
 SEED_ROWS = 10_000
-MAX_LEAVES = 1_000
 
 
 # --- principal components ------------------------------------------------------------
@@ -105,13 +104,15 @@ def kmeans_sweep(
 
     All (k, restart) fits advance together: one pass over the rows per round gives
     the new centres of every fit that still moves, instead of one pass per fit and
-    round. Starting centres are spread out over a bounded sample of the rows.
+    round. Starting centres are spread out over at most ``SEED_ROWS`` rows, those with the
+    least hashes of their vector: the same rows, in the same order, for any partitioning.
     """
     rows = keep(df.select(F.col(vector).cast("array<double>").alias("x")))
     n = rows.count()
-    share = min(1.0, 1.5 * SEED_ROWS / max(n, 1))
-    start = rows if share >= 1.0 else rows.sample(share, seed)
-    sample = np.array([r["x"] for r in start.limit(SEED_ROWS).collect()], dtype=float)
+    mark = F.pmod(F.xxhash64(F.lit(seed), "x"), F.lit(1 << 30))
+    share = min(1.0, (1.2 * SEED_ROWS + 100) / max(n, 1))
+    start = rows.select("x", mark.alias("m")).filter(F.col("m") < int(share * (1 << 30))).orderBy("m", "x").limit(SEED_ROWS)
+    sample = np.array([r["x"] for r in start.collect()], dtype=float)
     spread = rows.select(Summarizer.variance(array_to_vector("x")).alias("v")).first()["v"].toArray().mean()
     rng = np.random.default_rng(seed)
     open_fits = {(k, r): _spread_centres(sample, k, rng) for k in ks for r in range(restarts)}
@@ -201,25 +202,28 @@ def inertia_table(spark, fits: dict[int, KMeansFit], n: int) -> DataFrame:
 
 # --- hierarchical clustering of rows -------------------------------------------------
 
-def row_clusters(df: DataFrame, key: str, vector: str, clusters: Sequence[int], max_leaves: int = MAX_LEAVES) -> DataFrame:
-    """Complete-linkage clusters of all rows, one column ``k<n>`` per wanted count.
+def exact_row_clusters(df: DataFrame, key: str, vector: str, clusters: Sequence[int]) -> DataFrame:
+    """Complete-linkage clusters with every row a leaf, one column ``k<n>`` per wanted count.
 
-    With up to ``max_leaves`` rows every row is a leaf and the tree is exact. Beyond
-    that the leaves are the centres of a k-means over all rows, and each row takes
-    the cluster of its centre: no row is left out.
+    All pairs of rows are compared, so this is for a table the caller knows to be small; the
+    form for any table is ``centroid_row_clusters``.
     """
-    n = df.count()
     points = df.select(key, F.col(vector).cast("array<double>").alias("x"))
-    if n <= max_leaves:
-        order = W.orderBy(key)  # bounded by max_leaves
-        leaves = points.withColumn("node", F.row_number().over(order) - 1)
-        placed = leaves.select(key, "node")
-    else:
-        centres = kmeans_sweep(points, "x", [max_leaves], 1, rounds=20)[max_leaves].centres
-        table = pd.DataFrame({"node": range(len(centres)), "x": list(centres)})
-        leaves = df.sparkSession.createDataFrame(table, "node int, x array<double>")
-        placed = _place(points, key, centres)
-        n = max_leaves
+    leaves = points.withColumn("node", F.row_number().over(W.orderBy(key)) - 1)
+    return _cut_columns(leaves, leaves.select(key, "node"), leaves.count(), clusters)
+
+
+def centroid_row_clusters(df: DataFrame, key: str, vector: str, clusters: Sequence[int], leaves: int) -> DataFrame:
+    """Complete-linkage clusters over ``leaves`` k-means centres of all rows; each row takes
+    the cluster of its centre. The same way at every size; no row is left out."""
+    points = df.select(key, F.col(vector).cast("array<double>").alias("x"))
+    centres = kmeans_sweep(points, "x", [leaves], 1)[leaves].centres
+    table = pd.DataFrame({"node": range(len(centres)), "x": list(centres)})
+    nodes = df.sparkSession.createDataFrame(table, "node int, x array<double>")
+    return _cut_columns(nodes, _place(points, key, centres), len(centres), clusters)
+
+
+def _cut_columns(leaves: DataFrame, placed: DataFrame, n: int, clusters: Sequence[int]) -> DataFrame:
     merges = complete_linkage(leaf_distances(leaves), n)
     out = placed
     for k in clusters:

@@ -64,7 +64,7 @@ def expanded_chain(
     tables = {
         "correlation_threshold_counts": co.threshold_counts(pairs, co.WIDE_PAIR_THRESHOLDS),
         "top_correlation_pairs": co.top_pairs(pairs),
-        "high_correlation_pairs": co.high_pairs(co.top_pairs(pairs), co.WIDE_HIGH_PAIR),
+        "high_correlation_pairs": co.high_pairs(pairs, co.WIDE_HIGH_PAIR),
         "vif_status": with_size_guides(sizes, "n_observations_train", "n_features_before_screening").withColumn(
             "vif_status", co.vif_status(F.col("n_observations_train"), F.col("n_features_before_screening"))),
         "selected_features": chosen, "coefficients": coefs, "sparsity": sparsity.wide_summary(coefs),

@@ -29,8 +29,10 @@ def prepare(
     """Clean labels, drop exact duplicates, split, impute, expand on request, standardise.
 
     Repeated words are reported and kept. Everything fitted is fitted on training
-    rows. Expansion works on imputed raw values, before standardising. The two
-    filters by missing share and skew are off by default.
+    rows: the split comes first, so sparse columns and skewed features are chosen on
+    training rows too. Expansion works on imputed raw values, before standardising. The
+    two filters by missing share and skew are off by default; the features they touch
+    are listed in the tables.
     """
     ids = [key, word, y]
     classes = list(display)
@@ -40,14 +42,16 @@ def prepare(
     valid = quality.with_valid_labels(typed, y, classes)
     clean = duplicates.without_duplicates(valid)
     quality.require_class_size(clean, y)
+    split = keep(sampling.with_split(keep(clean), y, [key], share, seed))
+    gone: list[str] = []
+    logged: list[str] = []
     if max_missing is not None:
-        gone = set(prep.sparse_columns(clean, features, max_missing))
+        gone = prep.sparse_columns(split.filter("split = 'train'"), features, max_missing)
         features = [f for f in features if f not in gone]
-        clean = prep.drop_sparse_rows(clean.drop(*gone), features, max_missing)
+        split = prep.drop_sparse_rows(split.drop(*gone), features, max_missing)
     if log_skewed:
-        clean = prep.log_transform(clean, prep.skewed_features(clean, features))
-    clean = keep(clean)
-    split = sampling.with_split(clean, y, [key], share, seed)
+        logged = prep.skewed_features(split.filter("split = 'train'"), features)
+        split = prep.log_transform(split, logged)
     train = split.filter("split = 'train'")
     medians = prep.fit_medians(train, features)
     filled = prep.apply_imputation(split, medians)
@@ -71,6 +75,8 @@ def prepare(
         "imputation_values": prep.imputation_report(split, "split", medians),
         "scaling_parameters": prep.scaling_report(df.sparkSession, scaling),
         "standardisation_check": quality.standardisation_report(scaled, "split", names),
+        "column_filters": df.sparkSession.createDataFrame(
+            [*[(f, "left_out_as_sparse") for f in gone], *[(f, "log_transformed") for f in logged]], "feature string, change string"),
         "prepared": scaled,
     }
     return Prepared(scaled, names, classes, tables)

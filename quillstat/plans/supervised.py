@@ -20,20 +20,18 @@ from quillstat.session import keep
 def collinearity_tables(train: DataFrame, features: Sequence[str]) -> Tables:
     """Pairs, thresholds, VIF, clusters and candidates for removal.
 
-    VIF is left out when there are more features than rows.
+    VIF is infinite where the other features explain one fully, as always with more features
+    than rows; ``vif_status`` says so.
     """
     pairs = keep(co.pair_correlations(train, features))
     summary = co.correlation_summary(pairs)
     clusters = linkage.feature_clusters(pairs, features)
-    tables = {
+    vif = co.vif_table(train, features).withColumn("vif_status", co.vif_status(F.lit(train.count()), F.lit(len(features))))
+    return {
         "high_correlation_pairs": co.high_pairs(pairs), "correlation_threshold_counts": co.threshold_counts(pairs),
         "correlation_summary": summary, "correlation_overview": co.correlation_overview(pairs), "feature_clusters": clusters,
+        "vif": vif, "high_vif": co.high_vif(vif), "redundant_candidates": co.redundancy_candidates(summary, vif, clusters),
     }
-    if len(features) < train.count():
-        vif = co.vif_table(train, features)
-        tables |= {"vif": vif, "high_vif": co.high_vif(vif),
-                   "redundant_candidates": co.redundancy_candidates(summary, vif, clusters)}
-    return tables
 
 
 def screening_tables(train: DataFrame, y: str, features: Sequence[str], limit: int = screening.MAX_SCREENED) -> tuple[Tables, list[str]]:

@@ -17,10 +17,12 @@ from quillstat.session import keep
 
 def unsupervised(
     df: DataFrame, key: str, y: str, features: Sequence[str], ks: Sequence[int] = structure.K_RANGE,
-    restarts: int = structure.RESTARTS, share: float = structure.VARIANCE_SHARE, exact_silhouette: bool = True,
+    restarts: int = structure.RESTARTS, share: float = structure.VARIANCE_SHARE, exact_silhouette: bool = False,
+    leaves: int = 200,
 ) -> Tables:
-    """Explore standardised rows. The exact silhouette costs rows squared; switch it off
-    for a large table to compare k by the squared-distance one, which is linear."""
+    """Explore standardised rows. Counts of clusters are compared by the silhouette of squared
+    distances, which is linear in the rows; the exact one costs rows squared and is for small
+    tables. The tree stands on ``leaves`` k-means centres of all rows."""
     spark = df.sparkSession
     rows = df.select(key, y, F.array(*features).alias("x"))
     parts = structure.fit_pca(rows, "x", features)
@@ -31,7 +33,7 @@ def unsupervised(
     fits = structure.kmeans_sweep(scored, "scores", ks, restarts)
     marked = scored.select("*", *[
         structure.nearest_centre(F.col("scores"), f.centres).alias(f"kmeans_k{k}") for k, f in fits.items()])
-    trees = structure.row_clusters(scored, key, "scores", ks)
+    trees = structure.centroid_row_clusters(scored, key, "scores", ks, min(leaves, scored.count()))
     labelled = keep(marked.join(trees.withColumnsRenamed({f"k{k}": f"tree_k{k}" for k in ks}), key))
     curves, agreements, tables = [], [], {}
     for method in ("kmeans", "tree"):

@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_CUTS: list[str] = []
 
 
 def build_session(app: str = "quillstat", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,9 +53,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_cuts(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` has written in this driver; call it when no
+    result that reads them is needed any more. Returns how many there were."""
+    context = spark.sparkContext
+    gone = 0
+    while _CUTS:
+        path = context._jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        gone += bool(path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cache a table that several jobs read; lost blocks are recomputed from lineage."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

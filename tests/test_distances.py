@@ -133,8 +133,8 @@ def test_kmeans_sweep_finds_separate_groups(spark):
 def test_row_clusters_cover_every_row(spark):
     rng = np.random.default_rng(12)
     df = _points(spark, np.concatenate([rng.normal(size=(30, 2)), rng.normal(size=(30, 2)) + 30]))
-    exact = structure.row_clusters(df, "id", "x", [2])
-    coarse = structure.row_clusters(df, "id", "x", [2], max_leaves=10)
+    exact = structure.exact_row_clusters(df, "id", "x", [2])
+    coarse = structure.centroid_row_clusters(df, "id", "x", [2], 10)
     for out in (exact, coarse):
         sizes = sorted(r["count"] for r in out.groupBy("k2").count().collect())
         assert sizes == [30, 30]

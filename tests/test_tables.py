@@ -1,12 +1,14 @@
 import json
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quillstat.functions import scalars
+from quillstat.functions import scalars, skew
 from quillstat.functions.skew import members_of
-from quillstat.operators import duplicates, prep, quality, summaries
+from quillstat.operators import collinearity, duplicates, evaluation, prep, quality, sampling, structure, summaries
 from quillstat.operators.models import logistic
 from quillstat.sources import tables
 
@@ -31,13 +33,14 @@ def test_scaling_expressions(spark):
     assert flags[2][1] == "ok" and flags[2][2] == pytest.approx(0.5)
 
 
-def test_repeated_keys_with_hot_keys_split_off(spark):
+def test_repeated_keys_with_a_hot_key_and_clashing_hashes(spark, monkeypatch):
     rows = [("hot", i) for i in range(200)] + [("two", 1), ("two", 2), ("one", 1), (None, 1), (None, 2)]
     df = spark.createDataFrame(rows, "word string, n int").repartition(4)
     expected = sorted((str(w), n) for w, n in rows if w != "one")
-    for hot_rows in (50, 10_000):
-        got = sorted((str(r["word"]), r["n"]) for r in members_of(df, ["word"], hot_rows=hot_rows).collect())
-        assert got == expected
+    found = lambda: sorted((str(r["word"]), r["n"]) for r in members_of(df, ["word"]).collect())
+    assert found() == expected
+    monkeypatch.setattr(skew, "_hash_key", lambda df, keys: [F.lit(1).alias("_h1"), F.lit(2).alias("_h2")])
+    assert found() == expected
 
 
 def test_duplicates_treat_missing_as_equal(spark):
@@ -152,3 +155,46 @@ def test_empty_tables(spark):
     assert quality.class_shape_wide(df, "split", "y", ["f"], ["a"]).count() <= 1
     assert duplicates.repeated_keys(df, ["f"], ["y"]).count() == 0
     assert prep.fit_medians(df, ["f"]) == {}
+
+
+def test_missing_labels_are_one_class(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), (None, "a"), (None, None), ("b", "b")], "y string, pred string")
+    rows = {r["label"]: r for r in evaluation.class_scores(evaluation.confusion_cells(df, "y", "pred")).collect()}
+    assert set(rows) == {"a", "b", None} and rows[None]["support"] == 2 and rows[None]["f1"] == pytest.approx(0.5)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([("train", 1.0, 1.0), ("train", float("nan"), 2.0), ("test", None, 3.0)], "split string, x double, z double")
+    report = {r["feature"]: r for r in prep.imputation_report(df, "split", {"x": 1.0, "z": 2.0}).collect()}
+    assert report["x"]["train_missing_count_before"] == 1 and report["x"]["test_missing_count_before"] == 1
+    assert prep.sparse_columns(df, ["x", "z"], 0.5) == ["x"]
+    assert prep.drop_sparse_rows(df, ["x", "z"], 0.0).count() == 1
+
+
+def test_rows_without_a_class_have_no_fold(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else "c") for i in range(30)], "id int, y string")
+    folds = [(r["y"], r["fold"]) for r in sampling.with_folds(df, "y", ["id"], 5).collect()]
+    assert all(f is None for y, f in folds if y is None) and {f for y, f in folds if y} == set(range(5))
+
+
+def test_correlations_with_gaps_agree_at_any_width(spark):
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(60, 25)) + rng.normal(size=(60, 1))
+    table[rng.random(table.shape) < 0.2] = np.nan
+    table[:, 24] = 3.0
+    names = [f"f{k:02}" for k in range(25)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and k % 2 else float(v) for k, v in enumerate(r)) for r in table], names).repartition(5)
+    want = pd.DataFrame(table, columns=names).corr()
+    for width in (8, 9, 25):
+        got = collinearity.pair_correlations(df, names[:width], undefined=0.0).collect()
+        assert len(got) == width * (width - 1) // 2
+        for r in got:
+            value = want.loc[r["feature_1"], r["feature_2"]]
+            assert r["correlation"] == pytest.approx(0.0 if np.isnan(value) or "f24" in (r["feature_1"], r["feature_2"]) else value, abs=1e-9)
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(400)], "id int, x array<double>")
+    one, seven = (structure.kmeans_sweep(df.repartition(n), "x", [3], 2)[3] for n in (1, 7))
+    assert one.inertia == pytest.approx(seven.inertia) and np.allclose(one.centres, seven.centres)
