@@ -284,9 +284,23 @@ class Reader:
 
 def train_toxicity(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", key: str = "doc_id",
                    text: str = "text", rows: int = TRAIN_ROWS) -> ToxicModel:
-    """Train on at most ``rows`` rows of ``labels`` for which ``learn`` holds."""
-    got = labelled_sample(documents, labels, learn, label, key, text, rows, TRAIN_CHARACTERS).toPandas().sort_values("_id")
-    return ToxicModel.train(got["_text"].tolist(), got["_y"].to_numpy())
+    """Train on at most ``rows`` rows of ``labels`` for which ``learn`` holds. The bounded sample
+    is fitted in one task, which hands on the parameters; texts do not pass the driver."""
+    small_batches(documents.sparkSession)
+    sample = labelled_sample(documents, labels, learn, label, key, text, rows, TRAIN_CHARACTERS)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = sorted((i, y, body) for batch in batches for i, y, body in zip(batch["_id"], batch["_y"], batch["_text"]))
+        model = ToxicModel.train([r[2] for r in known], np.array([r[1] for r in known]))
+        yield pd.DataFrame({"weights": [model.weights], "bias": [model.bias], "start": [model.start],
+                            "moves": [model.moves.ravel()], "curve": [model.curve]})
+
+    schema = "weights array<float>, bias double, start array<double>, moves array<double>, curve array<double>"
+    got = sample.coalesce(1).mapInPandas(fit, schema).first()
+    if got is None:
+        return ToxicModel.train([], np.zeros(0))
+    return ToxicModel(np.array(got["weights"], dtype=np.float32), got["bias"], np.array(got["start"]),
+                      np.array(got["moves"]).reshape(2, 2), np.array(got["curve"]))
 
 
 def score_column(model: ToxicModel, text: Column) -> Column:
