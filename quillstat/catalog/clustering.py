@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillstat.catalog.fixtures import DIMS, WIDE, rounded, split_sql, wide
-from quillstat.catalog.registry import query
+from quillstat.catalog.registry import REGISTRY, query
 from quillstat.functions import ranking
 from quillstat.operators import neighbours, structure, summaries
 from quillstat.operators.prep import apply_scaling, fit_scaling
@@ -221,3 +221,30 @@ SELECT round((both_ - ia * ib / al) / ((ia + ib) / 2 - ia * ib / al), 8) AS adju
 def label_agreement(spark, sf):
     df = read_table(spark, sf, "documents", ["lang", "source"])
     return rounded(structure.agreement(df, "lang", "source"), 8, "adjusted_rand_index", "normalized_mutual_information")
+
+
+# --- many blocks of rows, as for a large table -----------------------------------------------
+
+@query(REGISTRY["silhouette_rows"].sql)
+def silhouette_rows_small_blocks(spark, sf):
+    return rounded(neighbours.silhouette_rows(wide(spark, sf), "vec_id", "x", "label", block_rows=64), 8, "silhouette")
+
+
+@query(REGISTRY["nearest_neighbours"].sql)
+def nearest_neighbours_small_blocks(spark, sf):
+    test, train = _knn_sides(spark, sf)
+    return rounded(neighbours.nearest_neighbours(test, train, "vec_id", "x", "label", block_rows=64), 8, "distance")
+
+
+@query(f"""
+WITH {WIDE},
+d AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.x, b.x) ** 2) AS s, count(*) AS n
+      FROM w a CROSS JOIN w b GROUP BY 1, 2, 3),
+p AS (SELECT vec_id, label, max(n) FILTER (label = other) AS n,
+             max(s / CAST(nullif(n - 1, 0) AS DOUBLE)) FILTER (label = other) AS a, min(s / n) FILTER (label <> other) AS b FROM d GROUP BY 1, 2)
+SELECT round(avg(CASE WHEN n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 8) AS silhouette FROM p""")
+def squared_silhouette(spark, sf):
+    """The linear form: it needs sums per cluster only."""
+    value = neighbours.squared_silhouette(wide(spark, sf), "x", "label")
+    rows = read_table(spark, sf, "embeddings", ["vec_id"]).limit(1)
+    return rounded(rows.select(F.lit(value).alias("silhouette")), 8, "silhouette")

@@ -8,7 +8,7 @@ from quillstat.catalog.fixtures import (
     CLASSES, DIMS, FEATURES, FLAG, IMPUTED, KEYS, PREPARED, TALL, TALL_SPLIT, WIDE, prepared, rounded, tall,
     tall_split, wide, long_sql,
 )
-from quillstat.catalog.registry import query
+from quillstat.catalog.registry import REGISTRY, query
 from quillstat.operators import prep, sampling, screening
 from quillstat.sources.tables import read_table
 
@@ -151,3 +151,22 @@ def dense_part(spark, sf):
     sparse = set(prep.sparse_columns(df, FEATURES, 0.5))
     kept = [f for f in FEATURES if f not in sparse]
     return prep.drop_sparse_rows(df.select(*KEYS, *kept), kept, 0.25)
+
+
+# --- the same results with parameters that reach the branches for large tables ---------------
+
+@query(REGISTRY["stratified_split"].sql)
+def stratified_split_small_buckets(spark, sf):
+    return sampling.with_split(tall(spark, sf), FLAG, KEYS, order_rows=20).select(*KEYS, "split")
+
+
+@query(REGISTRY["stratified_folds"].sql)
+def stratified_folds_small_buckets(spark, sf):
+    return sampling.with_folds(tall(spark, sf), FLAG, KEYS, 5, order_rows=20).select(*KEYS, "fold")
+
+
+@query(REGISTRY["imputation_values"].sql)
+def imputation_values_narrowed(spark, sf):
+    df = tall_split(spark, sf)
+    medians = prep.fit_medians(df.filter("split = 'train'"), FEATURES, order_rows=1000)
+    return rounded(prep.imputation_report(df, "split", medians), 8, "imputation_value_fitted_on_train")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillstat.catalog.fixtures import (
     FEATURES, FLAG, SIX, SIX_SQL, WIDE_LONG, rounded, six, wide_long, long_sql,
 )
-from quillstat.catalog.registry import query
+from quillstat.catalog.registry import REGISTRY, query
 from quillstat.operators import screening
 from quillstat.operators.prep import to_long
 from quillstat.session import keep
@@ -214,3 +214,10 @@ def tied_ranks(spark, sf):
     s = F.col("score")
     return rounded(means.select("feature", "score", competition_rank(s).alias("competition"), average_rank(s).alias("average"),
                                 percentile_rank(s).alias("percentile")), 8, "percentile")
+
+
+@query(REGISTRY["mutual_information"].sql)
+def mutual_information_small_bins(spark, sf):
+    """Many value ranges per feature, as for a large table."""
+    out = screening.mutual_information(_six_long(spark, sf), FLAG, rows_per_bin=2000)
+    return rounded(out, 6, "mutual_information")

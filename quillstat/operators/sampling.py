@@ -20,6 +20,8 @@ from quillstat.functions.ordering import hash_cut_points, hash_histogram, key_ha
 SEED = 42
 TEST_SHARE = 0.20
 
+ORDER_ROWS = 1_000_000
+
 MAX_CLASSES = 10_000  # a column with more values is no class label; split and folds share this bound
 
 
@@ -49,12 +51,16 @@ def _lookup(y: str, table: dict) -> Column:
 
 
 def with_split(
-    df: DataFrame, y: str, keys: Sequence[str], share: float = TEST_SHARE, seed: int = SEED, name: str = "split"
+    df: DataFrame, y: str, keys: Sequence[str], share: float = TEST_SHARE, seed: int = SEED, name: str = "split",
+    order_rows: int = ORDER_ROWS,
 ) -> DataFrame:
-    """Mark every row "train" or "test" with exact class quotas."""
+    """Mark every row "train" or "test" with exact class quotas.
+
+    A bucket of more than ``order_rows`` rows is split further before it is ordered.
+    """
     histogram = hash_histogram(df, y, keys, seed)
     quota = split_quotas({c: sum(b.values()) for c, b in histogram.items()}, share)
-    cuts = hash_cut_points(df, y, keys, seed, histogram, {(c, 0): q for c, q in quota.items() if q > 0})
+    cuts = hash_cut_points(df, y, keys, seed, histogram, {(c, 0): q for c, q in quota.items() if q > 0}, order_rows)
     if not cuts:
         return df.withColumn(name, F.lit("train"))
     edge = _lookup(y, {g: h for (g, _), h in cuts.items()})
@@ -64,7 +70,7 @@ def with_split(
 
 def with_folds(
     df: DataFrame, y: str, keys: Sequence[str], k: int, seed: int = SEED, name: str = "fold",
-    only: Column | None = None,
+    only: Column | None = None, order_rows: int = ORDER_ROWS,
 ) -> DataFrame:
     """Mark every row with a fold 0..k-1; fold sizes differ by at most 1 per class.
 
@@ -75,7 +81,7 @@ def with_folds(
     histogram = hash_histogram(pool, y, keys, seed)
     sizes = {c: sum(b.values()) for c, b in histogram.items()}
     wanted = {(c, f): f * n // k for c, n in sizes.items() for f in range(1, k) if f * n // k > 0}
-    cuts = hash_cut_points(pool, y, keys, seed, histogram, wanted)
+    cuts = hash_cut_points(pool, y, keys, seed, histogram, wanted, order_rows)
     h = key_hash(keys, seed)
     fold = F.lit(0)
     for f in range(1, k):
