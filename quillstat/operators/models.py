@@ -286,13 +286,16 @@ def search(
 
 
 def score_table(folds: DataFrame) -> DataFrame:
-    """Mean, population std and rank per grid point."""
+    """Mean, population std and rank per grid point, with its penalty ``C`` and ``l1_ratio`` (null where a
+    candidate has none)."""
     from quillstat.functions.ranking import competition_rank
 
     per = folds.groupBy("model", "params").agg(
         F.avg("test_score").alias("mean_test_score"), F.stddev_pop("test_score").alias("std_test_score"),
         F.avg("train_score").alias("mean_train_score"), F.stddev_pop("train_score").alias("std_train_score"),
     )
+    per = per.withColumns({
+        name: F.get_json_object("params", f"$.{name}").cast("double") for name in ("C", "l1_ratio")})
     return per.withColumn("rank_test_score", competition_rank(F.col("mean_test_score"), [F.col("model")]))
 
 
@@ -317,11 +320,11 @@ def cross_validate(table: DataFrame, build: Callable[[int], Estimator], labels:
 
     from quillstat.operators.evaluation import confusion_cells, class_scores, metrics_of
 
-    n = table.count()
+    sizes = {r["fold"]: r["count"] for r in table.groupBy("fold").count().collect()}
     parts = []
     for fold in range(folds):
         train, held = table.filter(F.col("fold") != fold), table.filter(F.col("fold") == fold)
-        model = build(n * (folds - 1) // folds).fit(train)
+        model = build(sum(sizes.values()) - sizes.get(fold, 0)).fit(train)
         parts.append(confusion_cells(predictions(model, held, labels), "y", "pred").withColumn("fold", F.lit(fold + 1)))
     cells = reduce(DataFrame.unionByName, parts)
     return metrics_of(class_scores(cells, ["fold"], labels.names), ["fold"])
