@@ -52,6 +52,7 @@ PICKED = 4
 CENTRES = 8
 WORDS_KEPT = 250_000
 TEXTS_KEPT = 64
+CELLS = 1 << 20  # hashes held at once for one text
 WORD = re.compile(r"\w+")
 _U = np.uint64
 
@@ -102,17 +103,18 @@ def shingles(words: list[str]) -> np.ndarray:
 
 def sketch(kmers: np.ndarray) -> np.ndarray:
     """One key per hash function: the picked shingles in text order, hashed together."""
-    keys = np.empty(SKETCHES, np.uint64)
     picked = min(PICKED, len(kmers))
-    for f, seed in enumerate(_SEEDS):
+    keys = _SEEDS.copy()
+    at_once = max(1, CELLS // max(1, len(kmers)))
+    for first in range(0, SKETCHES, at_once):
+        part = slice(first, first + at_once)
+        hashes = _mixed(kmers[None, :] * _SEEDS[part, None])
         if picked < len(kmers):
-            at = np.sort(np.argpartition(_mixed(kmers * seed), picked - 1)[:picked])
+            at = np.sort(np.argpartition(hashes, picked - 1, axis=1)[:, :picked], axis=1)
         else:
-            at = np.arange(picked)
-        key = seed
-        for value in kmers[at]:
-            key = _mixed(np.asarray([key ^ value]))[0]
-        keys[f] = key
+            at = np.broadcast_to(np.arange(picked), hashes.shape)
+        for k in range(picked):
+            keys[part] = _mixed(keys[part] ^ kmers[at[:, k]])
     return keys.view(np.int64)
 
 
@@ -187,6 +189,18 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("centre", "member", "_ctext", "_mtext").mapInPandas(run, "centre string, member string")
 
 
+def _with_links(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root after more links: only the components that the links touch are joined anew."""
+    root_of = lambda end: groups.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+    between = links.join(root_of("centre"), "centre", "left").join(root_of("member"), "member", "left").select(
+        F.coalesce("_centre", "centre").alias("a"), F.coalesce("_member", "member").alias("b"))
+    joined = components(between, "a", "b")
+    moved = groups.join(joined.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
+    moved = moved.select("node", F.coalesce("_to", "root").alias("root"))
+    alone = joined.join(groups.select("node"), "node", "left_anti")
+    return cut(moved.unionByName(alone))
+
+
 def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows have _id, _print, node; groups have node, root for classes that have a link."""
     small_batches(df.sparkSession)
@@ -209,9 +223,9 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     tried = cut(members.join(centres, "bucket").filter("node != centre").select(
         "centre", F.col("node").alias("member")).distinct())
     links = cut(_verified(tried, texts))
+    groups = components(links, "centre", "member")
     round_ = 0
     while True:
-        groups = components(links, "centre", "member")
         labelled = members.join(groups.withColumnRenamed("root", "label"), "node", "left").withColumn(
             "label", F.coalesce("label", "node"))
         labelled = cut(labelled)
@@ -228,7 +242,8 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
         found = cut(_verified(pairs, texts))
         if found.isEmpty():
             return rows.drop("keys"), groups
-        links, tried, round_ = cut(links.unionByName(found)), cut(tried.unionByName(pairs)), round_ + 1
+        groups = _with_links(groups, found)
+        tried, round_ = cut(tried.unionByName(pairs)), round_ + 1
 
 
 def _marked(rows: DataFrame, groups: DataFrame) -> DataFrame:
