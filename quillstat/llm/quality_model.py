@@ -154,20 +154,26 @@ class Scorer:
 
 def train_quality(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", key: str = "doc_id",
                   text: str = "text", rows: int = TRAIN_ROWS) -> SubwordModel:
-    """Train on at most ``rows`` rows of ``labels`` for which ``learn`` holds. Tasks hand the driver features, not texts."""
+    """Train on at most ``rows`` rows of ``labels`` for which ``learn`` holds. The bounded sample
+    is fitted in one task, which hands on the table of numbers; texts do not pass the driver."""
     small_batches(documents.sparkSession)
     texts = labelled_sample(documents, labels, learn, label, key, text, rows, TRAIN_CHARACTERS)
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = []
         for batch in batches:
-            pairs = [document_features(x) for x in batch["_text"]]
-            yield pd.DataFrame({"id": batch["_id"], "y": batch["_y"], "b": [p[0].astype(np.int32) for p in pairs],
-                                "c": [p[1] for p in pairs]})
-
-    got = texts.mapInPandas(features, "id long, y int, b array<int>, c array<float>").toPandas()
-    got = got.sort_values("id")
-    pairs = [(np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float32)) for b, c in zip(got["b"], got["c"])]
-    return SubwordModel.train(pairs, got["y"].to_numpy())
+            for i, y, body in zip(batch["_id"], batch["_y"], batch["_text"]):
+                buckets, counts = document_features(body)
+                known.append((i, y, buckets.astype(np.int32), counts))
+        known.sort(key=lambda r: r[0])
+        model = SubwordModel.train([r[2:] for r in known], np.array([r[1] for r in known]))
+        yield pd.DataFrame({"bias": [model.bias], "values": [model.values]})
+
+    # Partitions without rows give no model; coalescing leaves one partition, or none at all.
+    got = texts.coalesce(1).mapInPandas(fit, "bias double, values array<float>").first()
+    if got is None:
+        return SubwordModel.train([], np.zeros(0))
+    return SubwordModel(np.array(got["values"], dtype=np.float32), got["bias"])
 
 
 def score_column(model: SubwordModel, text: Column) -> Column:
