@@ -31,10 +31,15 @@ from pyspark.sql import functions as F
 from quillstat.llm.common import Memo, crc32, small_batches, text_or_empty
 
 MARK = "▁"
-WORDS_KEPT = 300_000
+WORDS_KEPT = 600_000
+PORTION = 256
 PAIRS_KEPT = 500_000
 
 
+#: A stretch that ends in marks; its parts are encoded apart if no piece spans the place between them.
+CLOSED = re.compile(r"^(.*[^\W\d_])([^\w\s]+)\Z", re.S)
+
+
 class Pieces:
     """The pieces of a byte-pair SentencePiece model, and which pairs of them may stand together."""
 
@@ -54,6 +59,14 @@ class Pieces:
         self.silent = {i for i in range(count) if model.is_control(i)}
         self.unknown = model.unk_id()
         self.longest = max(map(len, self.id_of))
+        #: Every beginning of a piece; True where it is a piece itself.
+        self.beginnings: dict[str, bool] = {}
+        for piece in self.id_of:
+            for k in range(1, len(piece)):
+                self.beginnings.setdefault(piece[:k], False)
+            self.beginnings[piece] = True
+        #: Neighbouring characters inside a piece; between any others no piece stands.
+        self.inside = {p[k:k + 2] for p in self.id_of for k in range(len(p) - 1)}
         if any(MARK in p.lstrip(MARK) for p in self.id_of):
             raise ValueError("pieces must hold word marks at their start only")
         self.alone = Memo(lambda p: self.merged(p) == [p], PAIRS_KEPT)
@@ -91,9 +104,10 @@ class StreamingViterbi:
     def push(self, portion: str) -> list[int]:
         """Take more text; the ids that have become final."""
         out: list[int] = []
-        for start in range(0, len(portion), 256):
-            out += self._advance(portion[start:start + 256])
-            out += self._settle(self._meeting())
+        for start in range(0, len(portion), PORTION):
+            self._advance(portion[start:start + PORTION])
+            if len(self.text) > self.pieces.longest:
+                out += self._settle(self._meeting())
         return out
 
     def finish(self) -> list[int]:
@@ -102,21 +116,35 @@ class StreamingViterbi:
         self.text, self.last, self.left = "", [None], None
         return out
 
-    def _advance(self, portion: str) -> list[int]:
-        known, alone, pair, longest = self.pieces.id_of, self.pieces.alone, self.pieces.pair, self.pieces.longest
+    def _advance(self, portion: str) -> None:
+        """Survivors of the boundaries that the portion adds."""
+        beginnings, alone, pair = self.pieces.beginnings, self.pieces.alone, self.pieces.pair
+        old = len(self.text)
         self.text += portion
         text, last = self.text, self.last
-        for end in range(len(last), len(text) + 1):
-            for start in range(max(0, end - longest), end):
+        size = len(text)
+        # Pieces by the boundary they end at, in the order of their starts.
+        ending: list[list[tuple[int, str]]] = [[] for _ in range(size - old)]
+        for start in range(max(0, old - self.pieces.longest + 1), size):
+            if start > old:
+                last.append(self._survivor(ending[start - old - 1], alone, pair))
+            for end in range(start + 1, size + 1):
                 piece = text[start:end]
-                if piece in known and (end - start == 1 or alone[piece]):
-                    before = last[start] if start else self.left
-                    if before is None or pair[before, piece]:
-                        last.append(piece)
-                        break
-            else:
-                raise ValueError("no path reaches a boundary of the text")
-        return []
+                whole = beginnings.get(piece)
+                if whole is None:
+                    break
+                if whole and end > old:
+                    ending[end - old - 1].append((start, piece))
+        if size > old:
+            last.append(self._survivor(ending[-1], alone, pair))
+
+    def _survivor(self, candidates: list[tuple[int, str]], alone: Memo, pair: Memo) -> str:
+        for start, piece in candidates:
+            if len(piece) == 1 or alone[piece]:
+                before = self.last[start] if start else self.left
+                if before is None or pair[before, piece]:
+                    return piece
+        raise ValueError("no path reaches a boundary of the text")
 
     def _meeting(self) -> int:
         """The last boundary that the paths of all boundaries still in reach have in common."""
@@ -153,6 +181,9 @@ class Codec:
 
     def _word(self, word: str) -> bytes:
         """Ids of a stretch between boundaries that no piece spans."""
+        closed = CLOSED.match(word)
+        if closed and closed[1][-1] + closed[2][0] not in self.pieces.inside:
+            return self.words[closed[1]] + self.words[closed[2]]
         out: list[int] = []
         for k, part in enumerate(self.outside.split(word)):
             if k % 2:
