@@ -52,14 +52,14 @@ LEVEL = 3
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCUMENTS = 4096
 BLOCKS_PER_FILE = 16
-WORDS_KEPT = 150_000
-STEMS_KEPT = 300_000
+WORDS_KEPT = 400_000
+STEMS_KEPT = 600_000
 
 HEADER = struct.Struct("<4sB16sIQQQ")
 MAGIC = b"QTK1"
 #: White space to Python's split but not to the vocabulary's splitter.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-CLOSED_WORD = re.compile(r"^(.*[A-Za-z])([.,;:!?]+)$", re.S)
+CLOSED_WORD = re.compile(r"^(.*[A-Za-z])([.,;:!?]+)\Z", re.S)
 
 
 class WordEncoder:
