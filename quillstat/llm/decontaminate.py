@@ -5,6 +5,11 @@ sentence) and units after a number become typed placeholders, so a question with
 or names has the same template. Windows of ``WINDOW`` template words of the benchmark are
 joined with those of all documents by hash.
 
+Capitals show no names in a copy of other letter case, and a name may follow a line break. So
+every window is also searched by its plain words (one letter case, no marks), and windows with
+placeholders by the template that the text has with normal white space. A pair that the marked
+form alone accepts reports that form's figures; any other pair reports those of all forms.
+
 A window with more placeholders than words would match any table of numbers, so it is searched
 by its literal words. An item shorter than the window is searched as one window of its length;
 items under ``LEAST_WORDS`` words cannot be told from ordinary prose and are not searched.
@@ -46,6 +51,10 @@ UNITS = (
 ).split()
 
 NAME, UNIT, NUMBER = "¤", "§", "#"
+#: A line break counts as a space; a blank line ends the sentence.
+SPACES = ((r"\n[\s\p{Z}]*\n", " . "), (r"[\s\p{Z}]+", " "))
+#: Texts in which a capital after other white space than one space may begin a name.
+SPACED = r"[\p{L}\p{N},;](?: [\s\p{Z}]|[\t\n\x0B\f\r\p{Z}&&[^ ]])[\s\p{Z}]*\p{Lu}"
 #: (pattern, replacement) steps from a text to its marked words; group references are $1 here and \1 in SQL.
 MARKED = (
     (r"[¤§#]+", ""),
@@ -70,6 +79,11 @@ def marked_text(text: Column) -> Column:
     return _steps(F.trim(F.lower(_steps(text, MARKED))), [UNIT_STEP])
 
 
+def plain_text(marked: Column) -> Column:
+    """The same words without marks."""
+    return F.translate(marked, NAME + UNIT, "")
+
+
 def _words(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
@@ -89,20 +103,28 @@ def _hashes(words: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """_item, _at, _length, _kind, _key, _slots (places of placeholders), _values, _of (windows of the item)."""
     marked = marked_text(text_or_empty(text))
-    items = benchmark.select(F.col(item).alias("_item"), _words(marked).alias("_raw"),
-                             _words(_steps(marked, TEMPLATE)).alias("_template"))
+    spaced = marked_text(_steps(text_or_empty(text), SPACES))
+    items = benchmark.select(F.col(item).alias("_item"), _words(marked).alias("_raw"), _words(plain_text(marked)).alias("_plain"),
+                             _words(_steps(marked, TEMPLATE)).alias("_template"), _words(_steps(spaced, TEMPLATE)).alias("_spaced"))
     length = F.least(F.size("_raw"), F.lit(WINDOW))
     rows = items.filter(F.size("_raw") >= LEAST_WORDS).withColumn("_length", length).select(
         "*", F.explode(F.sequence(F.lit(1), F.size("_raw") - F.col("_length") + 1)).alias("_at"),
         (F.size("_raw") - F.col("_length") + 1).alias("_of"))
-    slots = F.filter(F.sequence(F.lit(0), F.col("_length") - 1),
-                     lambda k: F.get(F.col("_cut"), k).isin(NAME, UNIT, NUMBER))
-    rows = rows.withColumn("_cut", F.slice("_template", F.col("_at"), F.col("_length"))).withColumn(
-        "_values", F.slice("_raw", F.col("_at"), F.col("_length"))).withColumn("_slots", slots)
-    rows = rows.withColumn("_kind", F.when(F.size("_slots") * 2 > F.col("_length"), "literal").otherwise("template"))
-    hashes = F.when(F.col("_kind") == "literal", _hashes(F.col("_values"))).otherwise(_hashes(F.col("_cut")))
-    return rows.withColumn("_key", F.xxhash64(F.concat("_kind", F.col("_length").cast("string")), hashes)).withColumn(
-        "_slots", F.when(F.col("_kind") == "literal", F.array().cast("array<int>")).otherwise(F.col("_slots"))).select(
+    part = lambda words: F.slice(words, F.col("_at"), F.col("_length"))
+    slots = lambda cut_: F.filter(F.sequence(F.lit(0), F.col("_length") - 1),
+                                  lambda k: F.get(F.col(cut_), k).isin(NAME, UNIT, NUMBER))
+    rows = rows.select("_item", "_at", "_length", "_of", part("_raw").alias("_values"), part("_plain").alias("_words"),
+                       part("_template").alias("_cut"), part("_spaced").alias("_cut2")).select(
+        "*", slots("_cut").alias("_slots"), slots("_cut2").alias("_slots2"))
+    none = F.array().cast("array<int>")
+    many = F.size("_slots") * 2 > F.col("_length")
+    forms = [rows.filter(many).withColumns({"_kind": F.lit("literal"), "_body": F.col("_values"), "_slots": none}),
+             rows.filter(~many).withColumns({"_kind": F.lit("template"), "_body": F.col("_cut")}),
+             rows.withColumns({"_kind": F.lit("plain"), "_body": F.col("_words"), "_slots": none}),
+             rows.filter((F.size("_slots2") > 0) & (F.size("_slots2") * 2 <= F.col("_length"))).withColumns(
+                 {"_kind": F.lit("spaced"), "_body": F.col("_cut2"), "_slots": F.col("_slots2")})]
+    return reduce(DataFrame.unionByName, forms).withColumn(
+        "_key", F.xxhash64(F.concat("_kind", F.col("_length").cast("string")), _hashes(F.col("_body")))).select(
         "_item", "_at", "_length", "_kind", "_key", "_slots", "_values", "_of")
 
 
@@ -111,10 +133,13 @@ def matched_windows(documents: DataFrame, windows: DataFrame, key: str, text: st
     shapes = [(r[0], r[1]) for r in windows.select("_kind", "_length").distinct().collect()]
     small = windows.count() <= BROADCAST_WINDOWS
     marked = marked_text(text_or_empty(text))
+    bodies = {"literal": marked, "template": _steps(marked, TEMPLATE), "plain": plain_text(marked),
+              "spaced": _steps(marked_text(_steps(text_or_empty(text), SPACES)), TEMPLATE)}
     found = None
     for kind, length in sorted(shapes):
-        body = marked if kind == "literal" else _steps(marked, TEMPLATE)
-        hashed = documents.select(F.col(key).alias("_id"), _hashes(_words(body)).alias("_hashes"))
+        body = bodies[kind]
+        hashed = documents.filter(text_or_empty(text).rlike(SPACED)) if kind == "spaced" else documents
+        hashed = hashed.select(F.col(key).alias("_id"), _hashes(_words(body)).alias("_hashes"))
         places = hashed.select("_id", F.posexplode(_windows(F.col("_hashes"), length, kind)).alias("_place", "_key"))
         part = windows.filter((F.col("_kind") == kind) & (F.col("_length") == length))
         rows = places.join(F.broadcast(part) if small else part, "_key")
@@ -133,7 +158,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
         return documents.limit(0).selectExpr(
             f"`{key}`", f"CAST(NULL AS {kind}) AS `{item}`", "0L AS windows", "0L AS matched", "0D AS coverage", "0D AS literal_coverage",
             "0D AS slot_consistency", "0L AS first_word", "0L AS last_word")
-    found = cut(found.drop("_key", "_kind"))
+    found = cut(found.drop("_key"))
 
     slotted = found.filter(F.size("_slots") > 0)
     marked = marked_text(text_or_empty(text))
@@ -141,32 +166,44 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     texts = documents.select(F.col(key).alias("_id"), marked.alias("_marked"))
     texts = texts.join(ids, texts["_id"].eqNullSafe(ids["_id"]), "left_semi").withColumn("_raw", _words(F.col("_marked"))).drop("_marked")
     pairs = slotted.join(texts.withColumnRenamed("_id", "_text_id"), F.col("_id").eqNullSafe(F.col("_text_id"))).select(
-        "_id", "_item", "_at", "_place", (F.col("_place") - F.col("_at")).alias("_line"),
+        "_id", "_item", "_at", "_kind", "_place", (F.col("_place") - F.col("_at")).alias("_line"),
         F.transform("_slots", lambda k: F.struct(
             F.get(F.col("_values"), k).alias("own"), F.get(F.col("_raw"), F.col("_place") + k).alias("other"))).alias("_pairs"))
     pairs = cut(pairs.withColumn("_same", F.forall("_pairs", lambda p: p["own"].eqNullSafe(p["other"]))))
-    values = pairs.select("_id", "_item", "_line", F.explode("_pairs").alias("_p")).groupBy(
-        "_id", "_item", "_line", "_p.own").agg(F.count_distinct("_p.other").alias("_kinds"))
-    lines = values.groupBy("_id", "_item", "_line").agg(F.avg((F.col("_kinds") == 1).cast("double")).alias("_share"))
-    agree = lines.groupBy("_id", "_item").agg(F.avg("_share").alias("_share"))
-    literal = found.filter(F.size("_slots") == 0).select("_id", "_item", "_at").unionByName(
-        pairs.filter("_same").select("_id", "_item", "_at")).groupBy("_id", "_item").agg(
-        F.count_distinct("_at").alias("_literal"))
-    counts = found.groupBy("_id", "_item").agg(
-        F.count_distinct("_at").alias("matched"), F.max("_of").cast("long").alias("windows"),
-        F.min("_place").cast("long").alias("first_word"), (F.max(F.col("_place") + F.col("_length")) - 1).cast("long").alias("last_word"))
-
-    def beside(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-        r = right.select(F.col("_id").alias("_rid"), F.col("_item").alias("_ritem"), name)
-        return left.join(r, F.col("_id").eqNullSafe(F.col("_rid")) & F.col("_item").eqNullSafe(F.col("_ritem")), "left").drop("_rid", "_ritem")
-
-    joined = beside(beside(counts, literal, "_literal"), agree, "_share").select(
-        F.col("_id").alias(key), F.col("_item").alias(item), "windows", "matched",
-        (F.col("matched") / F.col("windows")).alias("coverage"),
-        (F.coalesce("_literal", F.lit(0)) / F.col("windows")).alias("literal_coverage"),
-        F.coalesce("_share", F.lit(1.0)).alias("slot_consistency"), "first_word", "last_word")
-    return joined.filter((F.col("literal_coverage") >= coverage) | (
-        (F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistent)))
+
+    def on(left: DataFrame, right: DataFrame):
+        r = right.withColumnsRenamed({"_id": "_rid", "_item": "_ritem"})
+        return r, F.col("_id").eqNullSafe(F.col("_rid")) & F.col("_item").eqNullSafe(F.col("_ritem"))
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(*on(left, right), "left").drop("_rid", "_ritem")
+
+    def accepted(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Figures of the pairs of document and item that these windows show to be contaminated."""
+        values = pairs.select("_id", "_item", "_line", F.explode("_pairs").alias("_p")).groupBy(
+            "_id", "_item", "_line", "_p.own").agg(F.count_distinct("_p.other").alias("_kinds"))
+        lines = values.groupBy("_id", "_item", "_line").agg(F.avg((F.col("_kinds") == 1).cast("double")).alias("_share"))
+        agree = lines.groupBy("_id", "_item").agg(F.avg("_share").alias("_share"))
+        literal = found.filter(F.size("_slots") == 0).select("_id", "_item", "_at").unionByName(
+            pairs.filter("_same").select("_id", "_item", "_at")).groupBy("_id", "_item").agg(
+            F.count_distinct("_at").alias("_literal"))
+        counts = found.groupBy("_id", "_item").agg(
+            F.count_distinct("_at").alias("matched"), F.max("_of").cast("long").alias("windows"),
+            F.min("_place").cast("long").alias("first_word"), (F.max(F.col("_place") + F.col("_length")) - 1).cast("long").alias("last_word"))
+        joined = beside(beside(counts, literal), agree).select(
+            "_id", "_item", "windows", "matched", (F.col("matched") / F.col("windows")).alias("coverage"),
+            (F.coalesce("_literal", F.lit(0)) / F.col("windows")).alias("literal_coverage"),
+            F.coalesce("_share", F.lit(1.0)).alias("slot_consistency"), "first_word", "last_word")
+        return joined.filter((F.col("literal_coverage") >= coverage) | (
+            (F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistent)))
+
+    marked_form = F.col("_kind").isin("literal", "template")
+    strict = cut(accepted(found.filter(marked_form), pairs.filter(marked_form)))
+    unmarked = pairs.withColumn("_pairs", F.transform("_pairs", lambda p: F.struct(
+        plain_text(p["own"]).alias("own"), plain_text(p["other"]).alias("other"))))
+    wide = accepted(found, unmarked)
+    others = wide.join(*on(wide, strict.select("_id", "_item")), "left_anti")
+    return strict.unionByName(others).withColumnsRenamed({"_id": key, "_item": item})
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

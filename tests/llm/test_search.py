@@ -42,6 +42,14 @@ def test_copies_and_other_parameters_are_found_and_prose_is_not(spark):
     assert got[2, 10].literal_coverage < 0.5 and got[2, 10].slot_consistency == 1.0 and got[2, 10].coverage > 0.9
 
 
+def test_copies_in_other_letter_case_or_line_breaks_are_found(spark):
+    wrapped = OTHER.replace(" ", "\n")
+    rows = [(7, QUESTION.upper()), (8, f"{PROSE} {QUESTION.title()}"), (9, QUESTION.lower()), (10, QUESTION.replace(" ", "\n")), (11, wrapped), (12, PROSE)]
+    got = found(spark, rows, [(10, QUESTION)])
+    assert set(got) == {(7, 10), (8, 10), (9, 10), (10, 10), (11, 10)}
+    assert got[7, 10].literal_coverage == 1.0 and got[11, 10].literal_coverage < 0.5
+
+
 def test_inconsistent_slots_are_refused(spark):
     item = "if 5 boys meet 5 girls and 5 dogs then 5 boys and 5 girls and 5 dogs walk home with 5 more of all"
     values = iter("1 2 3 4 6 7 8".split())
