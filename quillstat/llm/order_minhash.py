@@ -12,18 +12,19 @@ found by aligning equal shingles inside the band that the least similarity leave
 A link is a pair of different texts with a similarity of ``SIMILAR`` or more.
 
 * Texts with equal words are one class; a group of copies counts once from there on.
-* Pairs inside a key's bucket are never all formed. Every member is compared with the
-  bucket's hub, the member that shares the largest buckets (variants of one text all share
-  most keys with it). Then rounds follow over the buckets whose members are still in several
-  components: each of ``CENTRES`` parts of a bucket, dealt anew every round, names its
-  hub, and members of other components are compared with it, until a round finds no link.
-  A bucket of few members is thereby compared in full, and there is no bound on the size of
-  a bucket, on its members or on the number of rounds.
+* Every member of a key's bucket is compared with the bucket's hub, the member that shares
+  the largest buckets (variants of one text all share most keys with it). Then rounds follow
+  over the buckets whose members are still in several components: each of ``CENTRES`` parts
+  of a bucket, dealt anew every round, names its hub, and members of other components are
+  compared with it, until a round finds no link.
+* Hubs only save work. At the end every pair not yet compared whose members share a bucket and
+  are in different components is compared, so the components are those of all pairs that share a
+  key. Pairs are formed in cells of ``BLOCK`` by ``BLOCK`` members, spread over tasks; pairs whose
+  numbers of shingles alone rule a link out are left. Where a large bucket holds many different
+  texts these pairs grow with the square of its size.
 * Tables that a hot key is joined with are read from storage, so adaptive execution may
   split it; nothing is collected but counts.
 
-Measured against all pairs that share a key: see README.
-
 Defined cases: null text is empty; texts without words are one class; a text of fewer words
 than a shingle is one shingle; rows with the same id and text are one document and share one
 mark; null ids sort last; an empty table gives an empty result; other columns play no part.
@@ -50,6 +51,7 @@ SIMILAR = 0.8
 SKETCHES = 20
 PICKED = 4
 CENTRES = 8
+BLOCK = 256  # members of a bucket that one cell has on each side
 WORDS_KEPT = 250_000
 TEXTS_KEPT = 64
 CELLS = 1 << 20  # hashes held at once for one text
@@ -154,16 +156,18 @@ def _sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, keys, counts = [], [], []
             for body in batch["_text"]:
                 words = words_of(body)
                 nodes.append(hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest())
                 keys.append(sketch(shingles(words)) if words else np.zeros(0, np.int64))
-            yield pd.DataFrame({"_id": batch["_id"].astype("Int64"), "_print": batch["_print"], "node": nodes, "keys": keys})
+                counts.append(max(1, len(words) - SHINGLE + 1) if words else 0)
+            yield pd.DataFrame({"_id": batch["_id"].astype("Int64"), "_print": batch["_print"], "node": nodes, "keys": keys,
+                                "shingles": counts})
 
     rows = df.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text_or_empty(text)).alias("_print"),
                      text_or_empty(text).alias("_text"))
-    return rows.mapInPandas(run, "_id long, _print long, node string, keys array<long>")
+    return rows.mapInPandas(run, "_id long, _print long, node string, keys array<long>, shingles long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -205,8 +209,9 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     """(rows, groups): rows have _id, _print, node; groups have node, root for classes that have a link."""
     small_batches(df.sparkSession)
     rows = cut(_sketches(df, key, text))
-    classes = rows.groupBy("node").agg(F.min(F.struct("_id", "_print")).alias("_first"), F.any_value("keys").alias("keys"))
-    classes = cut(classes.select("node", "_first", "keys"))
+    classes = rows.groupBy("node").agg(F.min(F.struct("_id", "_print")).alias("_first"), F.any_value("keys").alias("keys"),
+                                          F.any_value("shingles").alias("shingles"))
+    classes = cut(classes.select("node", "_first", "keys", "shingles"))
     entries = classes.select("node", F.explode("keys").alias("bucket"))
     full = cut(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     members = cut(entries.join(full, "bucket"))
@@ -237,13 +242,39 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
             F.col("bucket"), F.col("_c.node").alias("centre"), F.col("_c.label").alias("_label")))
         pairs = left.join(centres, "bucket").filter("label != _label").select(
             F.greatest("centre", "node").alias("centre"), F.least("centre", "node").alias("member")).distinct()
-        done = tried.select(F.greatest("centre", "member").alias("centre"), F.least("centre", "member").alias("member"))
-        pairs = cut(pairs.join(done, ["centre", "member"], "left_anti"))
+        pairs = cut(_untried(pairs, tried))
         found = cut(_verified(pairs, texts))
         if found.isEmpty():
-            return rows.drop("keys"), groups
+            break
         groups = _with_links(groups, found)
         tried, round_ = cut(tried.unionByName(pairs)), round_ + 1
+    if not split.isEmpty():
+        pairs = _untried(_pairs_between(left.join(classes.select("node", "shingles"), "node")), tried)
+        found = cut(_verified(cut(pairs), texts))
+        if not found.isEmpty():
+            groups = _with_links(groups, found)
+    return rows.drop("keys", "shingles"), groups
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    done = tried.select(F.greatest("centre", "member").alias("centre"), F.least("centre", "member").alias("member"))
+    return pairs.join(done, ["centre", "member"], "left_anti")
+
+
+def _pairs_between(left: DataFrame) -> DataFrame:
+    """centre, member (the lesser node) of all pairs of a bucket in ``left`` (bucket, node, label,
+    shingles) that are in different components and of which the shorter can be similar to the longer."""
+    sizes = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    own = cut(left.join(cut(sizes), "bucket").withColumn(
+        "_block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("_blocks")).cast("int")))
+    upper = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    lower = upper.select("bucket", F.col("_other").alias("_block"), F.col("_block").alias("_other"), F.col("node").alias("member"),
+                         F.col("label").alias("_label"), F.col("shingles").alias("_shingles"))
+    upper = upper.withColumnRenamed("node", "centre")
+    longest, shortest = F.greatest("shingles", "_shingles"), F.least("shingles", "_shingles")
+    return cut(upper).join(cut(lower), ["bucket", "_block", "_other"]).filter(
+        (F.col("centre") > F.col("member")) & (F.col("label") != F.col("_label")) & (shortest >= longest * SIMILAR - 1)).select(
+        "centre", "member").distinct()
 
 
 def _marked(rows: DataFrame, groups: DataFrame) -> DataFrame:

@@ -151,6 +151,20 @@ def test_near_duplicates_match_all_pairs(spark):
     assert all(r.group_size == len(groups[r.group_id]) for r in got)
 
 
+def test_links_inside_large_buckets_are_all_found(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"u{rng.randrange(10 ** 9)}" for _ in range(n)]
+    passage, rows = fresh(88), []
+    for _ in range(60):
+        tail = fresh(12)
+        rows += [(len(rows), " ".join(passage + tail)), (len(rows) + 1, " ".join(passage + tail[:2] + fresh(10)))]
+    want, links = brute_groups(rows)
+    groups = defaultdict(list)
+    for r in order_minhash.near_duplicates(docs(spark, rows)).collect():
+        groups[r.group_id].append(r.doc_id)
+    assert links == 60 and {tuple(sorted(v)) for v in groups.values()} == want
+
+
 def test_reordered_text_is_not_near(spark):
     rng = random.Random(8)
     words = [f"v{rng.randrange(3000)}" for _ in range(200)]
