@@ -2,7 +2,7 @@
 
 Pages of one host are aligned one after another into a union-free expression with optional
 and repeated groups and text slots (``page_trees``). A page is then read along its host's
-wrapper. Its article is the ``article``, ``main`` or named content element, or the body. From
+wrapper, its siblings aligned in order with the wrapper's. Its article is the ``article``, ``main`` or named content element, or the body. From
 it go elements that are page furniture by their element name or by a word of their class, id
 or role; texts that the wrapper shows to be the same on ``EVIDENCE`` or more distinct pages of
 the host, where other texts differ; and lists that are nothing but links.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.llm.common import cut, small_batches, text_or_empty
-from quillstat.llm.page_trees import EVIDENCE, as_wrapper, merge, page_mark, page_tree
+from quillstat.llm.page_trees import EVIDENCE, GROUP_LENGTHS, as_wrapper, merge, page_mark, page_tree
 
 HOSTS_HELD = 500
 PARTS = 64
@@ -106,27 +106,127 @@ def _roots(tree: list) -> list[list]:
     return [tree]
 
 
-def _beside(wrapper: list | None, label: str) -> list | None:
-    """The wrapper's node for a child with this label, also inside groups."""
-    if wrapper is None:
-        return None
-    for kid in wrapper[5]:
-        if kid[0] == label:
-            return kid
-        if kid[0][:1] == "*":
-            found = _beside(kid, label)
-            if found is not None:
-                return found
-    return None
+def _own_text(node: list) -> str | None:
+    """The text of a text node, or of an element that holds nothing else."""
+    while node[0] != "#text" and len(node[5]) == 1:
+        node = node[5][0]
+    return node[3] if node[0] == "#text" else None
+
+
+def _runs(kids: list[list]) -> list[tuple]:
+    """A page's siblings collapsed as ``collapse`` does it: (label, elements, parts of a group)."""
+    out: list[tuple] = []
+    for kid in kids:
+        if out and out[-1][0] == kid[0]:
+            out[-1][1].append(kid)
+        else:
+            out.append((kid[0], [kid], []))
+    for n in GROUP_LENGTHS:
+        k = 0
+        while k + 2 * n <= len(out):
+            names = [x[0] for x in out[k:k + n]]
+            times = 1
+            while [x[0] for x in out[k + times * n:k + (times + 1) * n]] == names:
+                times += 1
+            if times > 1 and len(set(names)) > 1:
+                rows = [out[k + t * n:k + (t + 1) * n] for t in range(times)]
+                parts = [(x[0][0], [e for y in x for e in y[1]], [p for y in x for p in y[2]]) for x in zip(*rows)]
+                out[k:k + times * n] = [("*" + "|".join(names), [], parts)]
+            k += 1
+    return out
+
+
+def _grouped_runs(runs: list[tuple], wrapper: list[list]) -> list[tuple]:
+    """Single occurrences of the wrapper's groups wrapped, as ``align`` does it."""
+    for group in [w[0] for w in wrapper if w[0][:1] == "*"]:
+        names = group[1:].split("|")
+        k = 0
+        while k + len(names) <= len(runs):
+            if [x[0] for x in runs[k:k + len(names)]] == names:
+                runs = [*runs[:k], (group, [], runs[k:k + len(names)]), *runs[k + len(names):]]
+            k += 1
+    return runs
+
+
+def _flat(nodes: list) -> list:
+    return [k for n in nodes for k in (_flat(n[5]) if n[0][:1] == "*" else [n])]
+
+
+def _placed(kids: list[list], wrapper: list | None) -> dict[int, list]:
+    """The wrapper's node of each child of a page's element, by the child's id.
+
+    Both lists of siblings are aligned in order, with a page's runs and groups collapsed as
+    when the wrapper was built. Of equally long alignments one with more equal texts is taken.
+    A child that has no partner may still equal one that stands between its neighbours' partners.
+    """
+    found: dict[int, list] = {}
+    if wrapper is None or not wrapper[5] or not kids:
+        return found
+
+    def put(run: tuple, node: list) -> None:
+        for kid in run[1]:
+            found[id(kid)] = node
+        for part, own in zip(run[2], node[5]):
+            if part[0] == own[0]:
+                put(part, own)
+
+    nodes = wrapper[5]
+    runs = _runs(kids)
+    if [r[0] for r in runs] == [w[0] for w in nodes]:
+        for run, node in zip(runs, nodes):
+            put(run, node)
+        return found
+    runs = _grouped_runs(runs, nodes)
+    n, m = len(runs), len(nodes)
+    texts = [{t for t in map(_own_text, r[1]) if t is not None} for r in runs]
+    fixed = [_own_text(w) for w in nodes]
+    best = [[(0, 0)] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            score = max(best[i + 1][j], best[i][j + 1])
+            if runs[i][0] == nodes[j][0]:
+                long, equal = best[i + 1][j + 1]
+                score = max(score, (long + 1, equal + (fixed[j] in texts[i])))
+            best[i][j] = score
+    i = j = 0
+    last, loose = 0, []
+
+    def put_loose(upto: int) -> None:
+        between = _flat(nodes[last:upto])
+        for kid in (k for r in loose for k in _elements(r)):
+            for node in between:
+                if node[0] == kid[0] and _own_text(kid) is not None and _own_text(kid) == _own_text(node):
+                    found[id(kid)] = node
+                    break
+        loose.clear()
+
+    while i < n:
+        equal = j < m and runs[i][0] == nodes[j][0]
+        if equal and best[i][j] == (best[i + 1][j + 1][0] + 1, best[i + 1][j + 1][1] + (fixed[j] in texts[i])):
+            put_loose(j)
+            put(runs[i], nodes[j])
+            i, j = i + 1, j + 1
+            last = j
+        elif j < m and best[i][j] == best[i][j + 1]:
+            j += 1
+        else:
+            loose.append(runs[i])
+            i += 1
+    put_loose(m)
+    return found
+
+
+def _elements(run: tuple) -> list[list]:
+    return run[1] + [k for part in run[2] for k in _elements(part)]
 
 
 def _varies(wrapper: list) -> bool:
     return (wrapper[0] == "#text" and wrapper[3] is None) or any(_varies(k) for k in wrapper[5])
 
 
-def _repeated(node: list | None) -> bool:
-    """The text stands on enough distinct pages to be the host's and not the article's."""
-    return node is not None and node[3] is not None and len(node[4]) >= EVIDENCE
+def _repeated(text: str, node: list | None) -> bool:
+    """This text stands on enough distinct pages at its place to be the host's and not the article's."""
+    return node is not None and node[3] == text and len(node[4]) >= EVIDENCE
 
 
 def main_text(page: str, wrapper: list | None) -> str:
@@ -136,13 +236,14 @@ def main_text(page: str, wrapper: list | None) -> str:
     blocks: list[str] = []
 
     def walk(node: list, beside: list | None, inside: bool, title_only: bool) -> None:
+        placed = _placed(node[5], beside)
         for kid in node[5]:
             label = kid[0]
             name = label.split(" ", 1)[0]
-            own = _beside(beside, label)
+            own = placed.get(id(kid))
             within = inside or id(kid) in roots
             if label == "#text":
-                if inside and not title_only and not (shared is not None and _repeated(own)):
+                if inside and not title_only and not (shared is not None and _repeated(kid[3], own)):
                     blocks.append(kid[3])
                 continue
             if _is_furniture(label, within):

@@ -63,6 +63,24 @@ def test_host_texts_are_dropped_only_with_evidence():
     assert main_text.main_text(pages[0], few) == "News 0\nSubscribe today\nBody 0"
 
 
+def read_host(pages):
+    whole = None
+    for p in pages:
+        own = page_trees.as_wrapper(page_trees.page_tree(p), page_trees.page_mark(p))
+        whole = own if whole is None else page_trees.merge(whole, own)
+    return [main_text.main_text(p, whole) for p in pages]
+
+
+def test_pages_are_read_along_the_wrapper_in_order():
+    figure = "<figure><img src=x></figure>"
+    got = read_host([f"<article><p>Constant line</p>{figure}<p>Body {k}</p><p>More {k}</p></article>" for k in range(8)])
+    assert got == [f"Body {k}\nMore {k}" for k in range(8)]
+    got = read_host([f"<article><p>Body {k}</p>{figure}<p>Constant line</p></article>" for k in range(8)])
+    assert got == [f"Body {k}" for k in range(8)]
+    got = read_host([f"<article><h2>Stories</h2><p>One {k}</p>{figure if k % 2 else ''}<h2>Part {k}</h2><p>Two {k}</p></article>" for k in range(12)])
+    assert all(f"One {k}" in t and f"Part {k}" in t and f"Two {k}" in t for k, t in enumerate(got))
+
+
 def test_alignment_finds_groups_and_options():
     one = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b<dt>c<dd>d</dl><p>x</p>"), 1)
     two = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b</dl>"), 2)
