@@ -8,12 +8,18 @@ stretch are listed, and short notices must have none of either. Words of a slot
 <holder>) may stand for anything. What a winner covers is cut out and the rest of the block is
 looked at again, so neighbouring notices are all found.
 
+In a long line a notice saves only a small share of the block. Where the whole block confirms
+nothing, every cue word is therefore judged by the stretch around it, for each template as many
+words as a notice of its length needs, and templates are ranked by the bytes they save there. A
+block of more than ``LONGEST_BLOCK_KEPT`` characters is judged in this way from the start.
+
 Blocks repeat a lot, so a block is compressed once per worker and its findings kept, within a
 bound. Whole texts are read; there is no shuffle.
 
 Defined cases: null and empty texts and texts without a cue give no row; a block that no
 template confirms gives one row with ``confirmed`` false and the best-ranked template, if it
-shrinks the block by ``LEAST_REDUCTION`` at least; ties in reduction go to the template that
+shrinks the block by ``LEAST_REDUCTION`` at least, or a row for each stretch that has half of a
+template's words and is shrunk as much; ties in reduction go to the template that
 comes first in the list; repeated rows give repeated findings; other columns play no part.
 """
 
@@ -21,6 +27,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +41,7 @@ LEAST_REDUCTION = 0.25
 SHORT_WORDS = 14
 LOOSE_SHARE = 0.1
 JOIN_LINES = 3
+ROOM = 16  # words beside a notice, or of a slot, in the stretch around a cue
 BLOCKS_KEPT = 20_000
 LONGEST_BLOCK_KEPT = 4000
 
@@ -138,6 +146,7 @@ class Scanner:
     def __init__(self):
         self.plain = _compressor(None)
         self.templates = [(name, words(text), _compressor(text.lower().encode())) for name, text in TEMPLATES.items()]
+        self.wording = {name: ws for name, ws, _ in self.templates}
         self.vocabulary = {w for _, ws, _ in self.templates for w in ws}
         self.blocks = Memo(self._findings, BLOCKS_KEPT, LONGEST_BLOCK_KEPT)
 
@@ -150,30 +159,101 @@ class Scanner:
 
     def _findings(self, block: str) -> list[tuple[int, int, str, float, list[str], list[str], bool]]:
         """(start, end, licence, reduction, missing, extra, confirmed) of a block; offsets within it."""
-        places = [m.span() for m in WORD.finditer(block)]
-        held = words(block)
-        if not held or len(places) != len(held) or not any(c in block.lower() for c in CUES):
-            return []
-        ranked = self.reductions(block)
-        wording = {name: ws for name, ws, _ in self.templates}
-        for gain, name in ranked:
+        out = []
+        todo = [(0, len(block))]
+        while todo:
+            first, last = todo.pop()
+            part = block[first:last]
+            if not any(c in part.lower() for c in CUES):
+                continue
+            places = [m.span() for m in WORD.finditer(part)]
+            held = [w.lower() for w in WORD.findall(part)]
+            if not held:
+                continue
+            found = self._whole(held, places, part) if len(part) <= LONGEST_BLOCK_KEPT else []
+            found = found or self._around_cues(held, places, part)
+            sure = [f for f in found if f[-1]]
+            if not sure:
+                out += [(first + a, first + b, *rest) for a, b, *rest in self._doubtful(held, places, part) or found]
+                continue
+            at = 0
+            for a, b, *rest in sure:
+                out.append((first + a, first + b, *rest))
+                todo.append((first + at, first + a))
+                at = b
+            todo.append((first + at, last))
+        return sorted(out, key=lambda f: f[:2])
+
+    def _whole(self, held: list[str], places: list[tuple[int, int]], part: str) -> list[tuple]:
+        """The notice that the ranking over the whole part confirms, if any."""
+        for gain, name in self.reductions(part):
             if gain < LEAST_REDUCTION / 4:
                 break
-            template = wording[name]
-            missing, extra, first, last = differences(held, template)
-            allowed = 0 if len(template) <= SHORT_WORDS else int(LOOSE_SHARE * len(template))
-            if last > first and len(missing) <= allowed and len(extra) <= allowed:
-                start, end = places[first][0], places[last - 1][1]
-                before = self._findings(block[:start])
-                after = [(a + end, b + end, *rest) for a, b, *rest in self._findings(block[end:])]
-                return [*before, (start, end, name, gain, missing, extra, True), *after]
-        gain, name = ranked[0]
+            sure, missing, extra, first, last = self._wording(held, name)
+            if sure:
+                return [(places[first][0], places[last - 1][1], name, gain, missing, extra, True)]
+        return []
+
+    def _wording(self, held: list[str], name: str) -> tuple[bool, list[str], list[str], int, int]:
+        template = self.wording[name]
+        allowed = 0 if len(template) <= SHORT_WORDS else int(LOOSE_SHARE * len(template))
+        here = set(held)
+        absent = [w for w in template if not w.startswith("<") and w not in here]
+        if len(absent) > allowed:
+            return False, absent, [], 0, 0
+        missing, extra, first, last = differences(held, template)
+        return last > first and len(missing) <= allowed and len(extra) <= allowed, missing, extra, first, last
+
+    def _doubtful(self, held: list[str], places: list[tuple[int, int]], part: str) -> list[tuple]:
+        """The best-ranked template of an unconfirmed part, if it saves enough of the whole."""
+        gain, name = self.reductions(part)[0]
         if gain < LEAST_REDUCTION:
             return []
-        missing, extra, first, last = differences(held, wording[name])
-        if last <= first:
-            return []
-        return [(places[first][0], places[last - 1][1], name, gain, missing, extra, False)]
+        missing, extra, first, last = differences(held, self.wording[name])
+        return [(places[first][0], places[last - 1][1], name, gain, missing, extra, False)] if last > first else []
+
+    def _around_cues(self, held: list[str], places: list[tuple[int, int]], part: str) -> list[tuple]:
+        """Notices around the cue words from left to right, none over another; unconfirmed ones only
+        where the matched stretch alone is shrunk enough and has half of the template's words."""
+        low = part.lower()
+        if len(low) != len(part):
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in part)
+        starts = [a for a, _ in places]
+        cues = sorted({max(0, bisect_right(starts, i) - 1) for c in CUES for i in _all(low, c)})
+        sure, doubtful = [], []
+        done = unsure = 0
+        for cue in cues:
+            if cue < done:
+                continue
+            ranked = []
+            for k, (name, template, compressor) in enumerate(self.templates):
+                reach = 2 * len(template) + ROOM
+                a, b = max(done, cue - reach), min(len(held), cue + reach)
+                here = set(held[a:b])
+                if 2 * sum(w not in here for w in template if not w.startswith("<")) > len(template):
+                    continue
+                body = part[places[a][0]:places[b - 1][1]].lower().encode("utf-8", "surrogatepass")
+                alone = len(self.plain.compress(body))
+                saved = alone - len(compressor.compress(body))
+                ranked.append((saved, saved / alone, -k, name, a, b))
+            ranked.sort(reverse=True)
+            for saved, gain, _, name, a, b in ranked:
+                ok, missing, extra, first, last = self._wording(held[a:b], name)
+                if ok and saved > 0:
+                    sure.append((places[a + first][0], places[a + last - 1][1], name, gain, missing, extra, True))
+                    done = a + last
+                    break
+            else:
+                for saved, gain, _, name, a, b in ranked[:1]:
+                    missing, extra, first, last = differences(held[a:b], self.wording[name])
+                    if last > first and a + first >= unsure and 2 * len(missing) <= len(self.wording[name]):
+                        start, end = places[a + first][0], places[a + last - 1][1]
+                        gain = {n: g for g, n in self.reductions(part[start:end])}[name]
+                        if gain >= LEAST_REDUCTION:
+                            doubtful.append((start, end, name, gain, missing, extra, False))
+                            unsure = a + last
+        clear = [f for f in doubtful if all(f[1] <= s[0] or f[0] >= s[1] for s in sure)]
+        return sorted(sure + clear, key=lambda f: f[:2])
 
     def _candidates(self, text: str) -> Iterator[tuple[int, int]]:
         """Ranges of candidate blocks: runs of cue lines, gaps of few lines filled, with

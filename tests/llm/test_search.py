@@ -217,6 +217,24 @@ def test_notices_are_found_with_their_wording(spark):
     assert license_scan.license_notices(docs(spark, [])).count() == 0
 
 
+def test_short_notices_in_long_lines_of_varied_prose_are_found():
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    scan = license_scan.Scanner()
+    for name in ("MIT-notice", "All-rights-reserved", "Apache-2.0-notice", "Apache-2.0", "MIT"):
+        for around in (40, 150, 1500):
+            text = f"{prose(around)}. {license_scan.TEMPLATES[name]} {prose(around // 4)}"
+            got = [f for f in scan(text) if f[-1]]
+            assert [f[2] for f in got] == [name]
+            assert license_scan.words(text[got[0][0]:got[0][1]]) == license_scan.words(license_scan.TEMPLATES[name])
+    many = " ".join(f"{prose(30)}. {license_scan.TEMPLATES['MIT-notice']}" for _ in range(1200))
+    assert [f[2] for f in scan(many)] == ["MIT-notice"] * 1200
+    assert [f[2:3] + f[-1:] for f in scan(f"{prose(900)} Licensed under the Apache License, Version 3.0. {prose(900)}")] == [("Apache-2.0-notice", False)]
+    assert not scan(f"{prose(300)} he got a driving licence and permission to leave {prose(300)}")
+
+
 def test_reductions_rank_like_plain_compression():
     scan = license_scan.Scanner()
     for name, text in license_scan.TEMPLATES.items():
