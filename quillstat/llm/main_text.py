@@ -3,8 +3,8 @@
 Pages of one host are aligned one after another into a union-free expression with optional
 and repeated groups and text slots (``page_trees``). A page is then read along its host's
 wrapper, its siblings aligned in order with the wrapper's. Its article is the ``article``, ``main`` or named content element, or the body. From
-it go elements that are page furniture by their element name or by a word of their class, id
-or role; texts that the wrapper shows to be the same on ``EVIDENCE`` or more distinct pages of
+it go elements that are page furniture by their element name or by a whole name (or one of a
+closed list of compounds) of their class, id or role, inside an article by few such names only; texts that the wrapper shows to be the same on ``EVIDENCE`` or more distinct pages of
 the host, where other texts differ; and lists that are nothing but links.
 
 Wrappers are made like sums: each task aligns the pages it reads, host by host, and hands on
@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,10 +47,29 @@ FURNITURE_WORDS = frozenset(
     "related recommended recommendations more-articles trending popular pagination pager paging comment comments commentlist "
     "reply replies respond disqus discussion reviews tags taglist byline metadata copyright legal disclaimer complementary "
     "contentinfo skip skiplink".split())
+#: Compounds that say the same; any other compound (has-sidebar, share-price) says nothing.
+FURNITURE_COMPOUNDS = frozenset(
+    [f"{a}-{b}" for a in "main site page top bottom left right primary secondary global mobile header footer side".split()
+     for b in "nav navbar navigation menu menubar sidebar footer banner toolbar breadcrumb breadcrumbs rail".split()]
+    + [f"{a}-{b}" for a in "ad ads advert advertisement sponsor sponsored promo".split()
+       for b in "slot unit box container banner block wrapper label content area".split()]
+    + [f"{a}-{b}" for a in "cookie cookies consent gdpr".split() for b in "notice banner bar popup consent message overlay".split()]
+    + [f"{a}-{b}" for a in "share sharing social follow".split() for b in "bar buttons icons links media tools widget".split()]
+    + [f"{a}-{b}" for a in "related recommended popular trending".split() for b in "posts articles stories links content".split()]
+    + ("site-header page-footer nav-bar nav-menu nav-links footer-links newsletter-signup newsletter-form subscribe-form login-form "
+       "signup-form search-form search-box search-bar skip-link skip-links skip-to-content comment-list comment-form comments-area "
+       "comments-section comments-list side-bar tag-list social-share").split())
+OUTER_WORDS = FURNITURE_WORDS | FURNITURE_COMPOUNDS
+#: Inside an article only these names, of elements that hold others, say so; for the rest the wrapper decides.
+INNER_WORDS = frozenset(
+    "ad ads adbox adslot advert adverts advertisement advertising sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar "
+    "sidebars cookie cookies newsletter pagination comment comments commentlist disqus skiplink".split()) | FURNITURE_COMPOUNDS
+HOLDERS = frozenset("div section ul ol table".split())
 CONTENT_WORDS = frozenset("article content main post entry story body text page-content main-content post-content "
                           "entry-content article-body story-body post-body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORDS = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
+NUMBERED = re.compile(r"-?9+$")
 
 
 def _named(label: str, words: frozenset) -> bool:
@@ -60,12 +80,22 @@ def _named(label: str, words: frozenset) -> bool:
     return False
 
 
+def _called(label: str, words: frozenset) -> bool:
+    """One of the whole names of class, id and role, without a number at its end, is among the words."""
+    names = label.split(" ", 1)[1] if " " in label else ""
+    return any(NUMBERED.sub("", whole) in words for whole in WORDS.findall(names.replace("_", "-")))
+
+
+@lru_cache(maxsize=4096)
 def _is_furniture(label: str, in_article: bool) -> bool:
     name = label.split(" ", 1)[0]
     if name in FURNITURE and not (in_article and name in ("header", "figcaption")):
         return True
-    return name not in ("article", "main", "body", "html", "") and _named(label, FURNITURE_WORDS) or (
-        name == "article" and _named(label, frozenset(("comment", "comments", "reply", "related", "promo", "ad", "sponsored"))))
+    if name == "article":
+        return _called(label, frozenset(("comment", "comments", "reply", "related", "promo", "ad", "sponsored")))
+    if in_article:
+        return name in HOLDERS and _called(label, INNER_WORDS)
+    return name not in ("main", "body", "html", "") and _called(label, OUTER_WORDS)
 
 
 def _length(node: list) -> tuple[int, int]:
@@ -79,31 +109,37 @@ def _length(node: list) -> tuple[int, int]:
     return total, linked
 
 
-def _roots(tree: list) -> list[list]:
-    """The elements that hold the article, in page order."""
-    found: dict[str, list[list]] = {"article": [], "main": [], "named": []}
+def _roots(tree: list) -> tuple[list[list], set[int]]:
+    """The elements that hold the article, in page order, and the ids of the elements around them.
 
-    def walk(node: list, inside: bool) -> None:
+    Those inside page furniture count only where there are none outside of it.
+    """
+    found: dict[tuple[bool, str], list[list]] = {}
+    around: dict[int, list[int]] = {}
+
+    def walk(node: list, hidden: bool, above: list[int]) -> None:
         for kid in node[5]:
             name = kid[0].split(" ", 1)[0]
-            if _is_furniture(kid[0], inside):
-                continue
+            within = hidden or _is_furniture(kid[0], False)
+            around[id(kid)] = above
             if name == "article":
-                found["article"].append(kid)
+                if not _is_furniture(kid[0], False):
+                    found.setdefault((within, "article"), []).append(kid)
                 continue
             if name == "main" or _named(kid[0], frozenset(("main",))):
-                found["main"].append(kid)
+                found.setdefault((within, "main"), []).append(kid)
             elif name in ("div", "section", "td") and _named(kid[0], CONTENT_WORDS):
-                found["named"].append(kid)
-            walk(kid, inside)
+                found.setdefault((within, "named"), []).append(kid)
+            walk(kid, within, [*above, id(kid)])
 
-    walk(tree, False)
-    if found["article"]:
-        return found["article"]
-    for kind in ("main", "named"):
-        if found[kind]:
-            return [max(found[kind], key=lambda n: _length(n)[0])]
-    return [tree]
+    walk(tree, False, [])
+    for hidden, kind in ((False, "article"), (False, "main"), (False, "named"), (True, "article"), (True, "main")):
+        if (hidden, kind) in found:
+            roots = found[hidden, kind]
+            if kind != "article":
+                roots = [max(roots, key=lambda n: _length(n)[0])]
+            return roots, {k for r in roots for k in around[id(r)]}
+    return [tree], set()
 
 
 def _own_text(node: list) -> str | None:
@@ -231,7 +267,8 @@ def _repeated(text: str, node: list | None) -> bool:
 
 def main_text(page: str, wrapper: list | None) -> str:
     tree = page_tree(page)
-    roots = {id(r) for r in _roots(tree)}
+    held, outer = _roots(tree)
+    roots = {id(r) for r in held}
     shared = wrapper if wrapper is not None and _varies(wrapper) else None
     blocks: list[str] = []
 
@@ -246,7 +283,7 @@ def main_text(page: str, wrapper: list | None) -> str:
                 if inside and not title_only and not (shared is not None and _repeated(kid[3], own)):
                     blocks.append(kid[3])
                 continue
-            if _is_furniture(label, within):
+            if id(kid) not in outer and id(kid) not in roots and _is_furniture(label, within):
                 continue
             if within and name in ("ul", "ol"):
                 total, linked = _length(kid)

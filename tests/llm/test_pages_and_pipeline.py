@@ -81,6 +81,19 @@ def test_pages_are_read_along_the_wrapper_in_order():
     assert all(f"One {k}" in t and f"Part {k}" in t and f"Two {k}" in t for k, t in enumerate(got))
 
 
+def test_names_do_not_drop_the_article_or_its_parts():
+    inner = ("<h2 id='related-work'>Related work {0}</h2><section id='search-results'><p>Results {0}</p></section>"
+             "<p class='share-price'>Price {0}</p><h2 id='legal-history'>History {0}</h2><h2 id='discussion'>Discussion {0}</h2>"
+             "<p class='notice'>Note {0}</p><div class='ad-slot-12'>Buy {0}</div><div class='sidebar'>Side {0}</div>")
+    want = "Title {0}\nRelated work {0}\nResults {0}\nPrice {0}\nHistory {0}\nDiscussion {0}\nNote {0}"
+    for outer in ("has-sidebar", "content-with-sidebar", "sidebar", "legal"):
+        got = read_host([f"<nav>Menu</nav><div class='{outer}'><article><h1>Title {k}</h1>{inner.format(k)}</article></div><div class='site-footer'>End {k}</div>"
+                         for k in range(8)])
+        assert got == [want.format(k) for k in range(8)]
+    assert read_host(["<form><article><p>Body</p></article></form>"]) == ["Body"]
+    assert read_host(["<aside><article>Teaser</article></aside><article><p>Body</p></article>"]) == ["Body"]
+
+
 def test_alignment_finds_groups_and_options():
     one = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b<dt>c<dd>d</dl><p>x</p>"), 1)
     two = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b</dl>"), 2)
