@@ -112,12 +112,13 @@ def _length(node: list) -> tuple[int, int]:
 def _roots(tree: list) -> tuple[list[list], set[int]]:
     """The elements that hold the article, in page order, and the ids of the elements around them.
 
+    Of elements named as content those inside another one are a part of it, all others count.
     Those inside page furniture count only where there are none outside of it.
     """
     found: dict[tuple[bool, str], list[list]] = {}
     around: dict[int, list[int]] = {}
 
-    def walk(node: list, hidden: bool, above: list[int]) -> None:
+    def walk(node: list, hidden: bool, above: list[int], inside: frozenset) -> None:
         for kid in node[5]:
             name = kid[0].split(" ", 1)[0]
             within = hidden or _is_furniture(kid[0], False)
@@ -126,18 +127,19 @@ def _roots(tree: list) -> tuple[list[list], set[int]]:
                 if not _is_furniture(kid[0], False):
                     found.setdefault((within, "article"), []).append(kid)
                 continue
-            if name == "main" or _named(kid[0], frozenset(("main",))):
-                found.setdefault((within, "main"), []).append(kid)
-            elif name in ("div", "section", "td") and _named(kid[0], CONTENT_WORDS):
-                found.setdefault((within, "named"), []).append(kid)
-            walk(kid, within, [*above, id(kid)])
-
-    walk(tree, False, [])
+            kinds = inside
+            if name == "main" or _called(kid[0], frozenset(("main",))):
+                kinds |= {(within, "main")}
+            if name in ("main", "div", "section", "td") and _named(kid[0], CONTENT_WORDS) or _named(kid[0], frozenset(("main",))):
+                kinds |= {(within, "named")}
+            for kind in kinds - inside:
+                found.setdefault(kind, []).append(kid)
+            walk(kid, within, [*above, id(kid)], kinds)
+
+    walk(tree, False, [], frozenset())
     for hidden, kind in ((False, "article"), (False, "main"), (False, "named"), (True, "article"), (True, "main")):
         if (hidden, kind) in found:
             roots = found[hidden, kind]
-            if kind != "article":
-                roots = [max(roots, key=lambda n: _length(n)[0])]
             return roots, {k for r in roots for k in around[id(r)]}
     return [tree], set()
 

@@ -94,6 +94,13 @@ def test_names_do_not_drop_the_article_or_its_parts():
     assert read_host(["<aside><article>Teaser</article></aside><article><p>Body</p></article>"]) == ["Body"]
 
 
+def test_all_content_elements_of_a_page_are_kept():
+    part = "<div class='story-body'><p>{}</p></div>"
+    assert read_host([f"{part.format('part 1')}<figure></figure><p>between</p>{part.format('the longer part 2')}<footer>End</footer>"]) == ["part 1\nthe longer part 2"]
+    assert read_host(["<main><p>one</p></main><p>between</p><main><div class='content'><p>two</p></div><p>three</p></main>"]) == ["one\ntwo\nthree"]
+    assert read_host(["<div class='main-image'>Image</div><div class='content'><div class='text'>one</div>two</div>"]) == ["Image\none\ntwo"]
+
+
 def test_alignment_finds_groups_and_options():
     one = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b<dt>c<dd>d</dl><p>x</p>"), 1)
     two = page_trees.as_wrapper(page_trees.page_tree("<dl><dt>a<dd>b</dl>"), 2)
