@@ -17,7 +17,11 @@ items under ``LEAST_WORDS`` words cannot be told from ordinary prose and are not
 For matched windows that hold placeholders, the values behind them are compared: along one
 alignment each value of the item must always stand for the same value in the document. A pair
 counts as contaminated when at least ``COVERAGE`` of the item's windows occur literally, or
-occur as templates whose slots are consistent.
+occur as templates whose slots are consistent. It also counts with a literal run of ``RUN``
+words, or of the whole item if that is shorter, so a passage of a long item is found; and with
+all words but one (replaced, left out or added) of an item of ``WINDOW`` to twice that many
+words, where one word is in most windows. Such items have anchors of half their words, and the
+text around a matched anchor is compared word by word.
 
 The benchmark's windows are broadcast if a count shows at most ``BROADCAST_WINDOWS`` of them,
 and joined by a shuffle beyond that; a window that is very common in documents costs one row
@@ -32,7 +36,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstat.llm.common import cut, text_or_empty
@@ -41,6 +45,7 @@ WINDOW = 8
 LEAST_WORDS = 4
 COVERAGE = 0.5
 CONSISTENT = 0.8
+RUN = 13
 BROADCAST_WINDOWS = 200_000
 
 # Units of measure, currency and time that follow a number.
@@ -123,17 +128,59 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
              rows.withColumns({"_kind": F.lit("plain"), "_body": F.col("_words"), "_slots": none}),
              rows.filter((F.size("_slots2") > 0) & (F.size("_slots2") * 2 <= F.col("_length"))).withColumns(
                  {"_kind": F.lit("spaced"), "_body": F.col("_cut2"), "_slots": F.col("_slots2")})]
-    return reduce(DataFrame.unionByName, forms).withColumn(
+    return reduce(DataFrame.unionByName, [*(f.select(*_FORM) for f in forms), _anchors(items)]).withColumn(
         "_key", F.xxhash64(F.concat("_kind", F.col("_length").cast("string")), _hashes(F.col("_body")))).select(
         "_item", "_at", "_length", "_kind", "_key", "_slots", "_values", "_of")
 
 
+_FORM = ["_item", "_at", "_length", "_of", "_kind", "_body", "_slots", "_values"]
+
+
+def _anchors(items: DataFrame) -> DataFrame:
+    """Runs of half the words of items in which one word may be in most windows."""
+    short = items.filter(F.size("_plain").between(WINDOW, 2 * WINDOW - 1)).withColumn("_length", F.floor(F.size("_plain") / 2).cast("int"))
+    return short.select(
+        "_item", F.explode(F.sequence(F.lit(1), F.size("_plain") - F.col("_length") + 1)).alias("_at"), "_length",
+        (F.size("_plain") - WINDOW + 1).alias("_of"), F.lit("part").alias("_kind"), "_plain").select(
+        "*", F.slice("_plain", F.col("_at"), F.col("_length")).alias("_body"), F.array().cast("array<int>").alias("_slots")).select(
+        *_FORM[:-1], F.col("_body").alias("_values"))
+
+
+def _runs(found: DataFrame) -> DataFrame:
+    """_id, _item of pairs with a literal run of ``RUN`` words or of the whole item."""
+    rows = found.filter("_kind = 'plain'").select("_id", "_item", "_of", "_length", "_at", (F.col("_place") - F.col("_at")).alias("_line")).distinct()
+    nth = F.row_number().over(Window.partitionBy("_id", "_item", "_line").orderBy("_at"))
+    rows = rows.withColumn("_run", F.col("_at") - nth).groupBy("_id", "_item", "_line", "_run").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_of").alias("_of"), F.max("_length").alias("_length"))
+    return rows.filter(F.col("_n") >= F.least(F.lit(RUN) - F.col("_length") + 1, F.col("_of"))).select("_id", "_item").distinct()
+
+
+def _edited(found: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
+    """_id, _item, _of, _first, _last of pairs whose document has all words of the item but one, in order."""
+    rows = found.filter("_kind = 'part'").select("_id", "_item", "_of", (F.col("_place") - F.col("_at") + 1).alias("_line")).distinct()
+    rows = rows.join(texts.withColumnRenamed("_id", "_text_id"), F.col("_id").eqNullSafe(F.col("_text_id"))).join(
+        items.withColumnRenamed("_item", "_of_item"), F.col("_item").eqNullSafe(F.col("_of_item")))
+    size = F.size("_plain")
+
+    def agreeing(step: int, backwards: bool) -> Column:
+        """Words from one end of the item on that the document has, ``step`` words from the anchor's line."""
+        same = F.transform(F.sequence(F.lit(0), size - 1), lambda k: F.coalesce(
+            F.get(F.col("_doc"), (F.col("_line") + k + step).cast("int")) == F.get(F.col("_plain"), k), F.lit(False)))
+        first = F.array_position(F.reverse(same) if backwards else same, False)
+        return F.when(first == 0, size).otherwise((first - 1).cast("int"))
+
+    both = [agreeing(a, False) + agreeing(b, True) for a, b in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0))]
+    rows = rows.filter(F.greatest(*both) >= size - 1)
+    return rows.groupBy("_id", "_item").agg(F.max("_of").cast("long").alias("_windows"), F.min(F.greatest("_line", F.lit(0))).cast("long").alias("_first"),
+                                            F.max(F.col("_line") + size - 1).cast("long").alias("_last"))
+
+
 def matched_windows(documents: DataFrame, windows: DataFrame, key: str, text: str) -> DataFrame:
     """_id, _place, and the columns of ``windows``, for every window of a document that the benchmark has."""
     shapes = [(r[0], r[1]) for r in windows.select("_kind", "_length").distinct().collect()]
     small = windows.count() <= BROADCAST_WINDOWS
     marked = marked_text(text_or_empty(text))
-    bodies = {"literal": marked, "template": _steps(marked, TEMPLATE), "plain": plain_text(marked),
+    bodies = {"literal": marked, "template": _steps(marked, TEMPLATE), "plain": plain_text(marked), "part": plain_text(marked),
               "spaced": _steps(marked_text(_steps(text_or_empty(text), SPACES)), TEMPLATE)}
     found = None
     for kind, length in sorted(shapes):
@@ -160,6 +207,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
             "0D AS slot_consistency", "0L AS first_word", "0L AS last_word")
     found = cut(found.drop("_key"))
 
+    anchored, found = found, found.filter("_kind != 'part'")
     slotted = found.filter(F.size("_slots") > 0)
     marked = marked_text(text_or_empty(text))
     ids = cut(slotted.select("_id").distinct())
@@ -178,8 +226,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.join(*on(left, right), "left").drop("_rid", "_ritem")
 
-    def accepted(found: DataFrame, pairs: DataFrame) -> DataFrame:
-        """Figures of the pairs of document and item that these windows show to be contaminated."""
+    def figures(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Figures of the pairs of document and item that have a window in common."""
         values = pairs.select("_id", "_item", "_line", F.explode("_pairs").alias("_p")).groupBy(
             "_id", "_item", "_line", "_p.own").agg(F.count_distinct("_p.other").alias("_kinds"))
         lines = values.groupBy("_id", "_item", "_line").agg(F.avg((F.col("_kinds") == 1).cast("double")).alias("_share"))
@@ -190,22 +238,40 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
         counts = found.groupBy("_id", "_item").agg(
             F.count_distinct("_at").alias("matched"), F.max("_of").cast("long").alias("windows"),
             F.min("_place").cast("long").alias("first_word"), (F.max(F.col("_place") + F.col("_length")) - 1).cast("long").alias("last_word"))
-        joined = beside(beside(counts, literal), agree).select(
+        return beside(beside(counts, literal), agree).select(
             "_id", "_item", "windows", "matched", (F.col("matched") / F.col("windows")).alias("coverage"),
             (F.coalesce("_literal", F.lit(0)) / F.col("windows")).alias("literal_coverage"),
             F.coalesce("_share", F.lit(1.0)).alias("slot_consistency"), "first_word", "last_word")
-        return joined.filter((F.col("literal_coverage") >= coverage) | (
-            (F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistent)))
+
+    accepted = (F.col("literal_coverage") >= coverage) | (
+        (F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistent))
 
     marked_form = F.col("_kind").isin("literal", "template")
-    strict = cut(accepted(found.filter(marked_form), pairs.filter(marked_form)))
+    strict = cut(figures(found.filter(marked_form), pairs.filter(marked_form)).filter(accepted))
     unmarked = pairs.withColumn("_pairs", F.transform("_pairs", lambda p: F.struct(
         plain_text(p["own"]).alias("own"), plain_text(p["other"]).alias("other"))))
-    wide = accepted(found, unmarked)
-    others = wide.join(*on(wide, strict.select("_id", "_item")), "left_anti")
+    wide = cut(figures(found, unmarked))
+    plain = items_words(benchmark, item, item_text)
+    near = cut(anchored.filter("_kind = 'part'").select("_id").distinct())
+    bodies = documents.select(F.col(key).alias("_id"), _words(plain_text(marked)).alias("_doc"))
+    bodies = bodies.join(near, bodies["_id"].eqNullSafe(near["_id"]), "left_semi")
+    edited = cut(_edited(anchored, bodies, plain))
+    partial = _runs(found).unionByName(edited.select("_id", "_item")).distinct()
+    some = wide.filter(accepted).unionByName(wide.join(*on(wide.filter(~accepted), partial), "left_semi")).distinct()
+    bare = edited.join(*on(edited, wide.select("_id", "_item")), "left_anti").select(
+        "_id", "_item", F.col("_windows").alias("windows"), F.lit(0).cast("long").alias("matched"), F.lit(0.0).alias("coverage"),
+        F.lit(0.0).alias("literal_coverage"), F.lit(1.0).alias("slot_consistency"), F.col("_first").alias("first_word"), F.col("_last").alias("last_word"))
+    others = some.unionByName(bare)
+    others = others.join(*on(others, strict.select("_id", "_item")), "left_anti")
     return strict.unionByName(others).withColumnsRenamed({"_id": key, "_item": item})
 
 
+def items_words(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """_item, _plain (words) of the items that have anchors."""
+    words = _words(plain_text(marked_text(text_or_empty(text))))
+    return benchmark.select(F.col(item).alias("_item"), words.alias("_plain")).filter(F.size("_plain").between(WINDOW, 2 * WINDOW - 1))
+
+
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``documents``, all their columns, whose document holds no benchmark item."""
     names = documents.columns

@@ -50,6 +50,17 @@ def test_copies_in_other_letter_case_or_line_breaks_are_found(spark):
     assert got[7, 10].literal_coverage == 1.0 and got[11, 10].literal_coverage < 0.5
 
 
+def test_passages_and_items_with_one_edited_word_are_found(spark):
+    rng = random.Random(12)
+    long = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(59)]
+    short = long[:15]
+    part, few = " ".join(long[20:45]), " ".join(long[30:42])
+    edits = [short[:7] + ["changed"] + short[8:], short[:7] + short[8:], short[:7] + ["added"] + short[7:], short[:3] + ["two"] + short[4:9] + ["two"] + short[10:]]
+    rows = [(1, f"{PROSE} {part} {PROSE}"), (2, f"{PROSE} {few} {PROSE}")] + [(k + 3, f"{PROSE} {' '.join(e)} {PROSE}") for k, e in enumerate(edits)]
+    got = found(spark, rows, [(1, " ".join(long)), (2, " ".join(short[:15]).upper())])
+    assert {k for k in got if k[1] == 1} == {(1, 1)} and {k for k in got if k[1] == 2} == {(3, 2), (4, 2), (5, 2)}
+
+
 def test_inconsistent_slots_are_refused(spark):
     item = "if 5 boys meet 5 girls and 5 dogs then 5 boys and 5 girls and 5 dogs walk home with 5 more of all"
     values = iter("1 2 3 4 6 7 8".split())
