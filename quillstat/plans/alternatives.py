@@ -41,7 +41,7 @@ def compare_classifiers(
         LINEAR: (train, test, [mo.Candidate({"C": 1.0}, lambda n: mo.linear_svm(n, 1.0, svm_rounds))]),
         KERNEL: (curved.filter("split = 'train'"), curved.filter("split = 'test'"),
                  [mo.Candidate({"C": 1.0, "gamma": "scale"}, lambda n: mo.linear_svm(n, 1.0, svm_rounds))]),
-        FOREST: (train, test, [mo.Candidate({"n_estimators": trees, "max_depth": None}, lambda n: mo.random_forest(trees))]),
+        FOREST: (train, test, [forest_candidate(trees)]),
     }
     found: dict[str, mo.Search | None] = {DUMMY: None}
     parts = []
@@ -66,6 +66,12 @@ def compare_classifiers(
     }
 
 
+def forest_candidate(trees: int) -> mo.Candidate:
+    """The forest with the limits it is grown with."""
+    params = {"n_estimators": trees, "max_depth": mo.MAX_DEPTH, "min_samples_leaf": mo.LEAF_ROWS}
+    return mo.Candidate(params, lambda n: mo.random_forest(trees))
+
+
 def _knn(marked, key, y, features, folds, found) -> list[DataFrame]:
     """Neighbour votes for held-out folds, train rows and test rows."""
     import json

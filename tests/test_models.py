@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillstat.operators import evaluation as ev
 from quillstat.operators import models as mo
 from quillstat.operators import sampling
-from quillstat.plans.alternatives import compare_classifiers
+from quillstat.plans.alternatives import compare_classifiers, forest_candidate
 from quillstat.plans.expanded import expanded_chain
 from quillstat.plans.preparation import prepare
 from quillstat.plans.supervised import supervised
@@ -132,6 +132,13 @@ def test_supervised_and_expanded_plans(spark, entries, tmp_path):
         expanded_chain(grown, "entry_id", "target", width=2210)
 
 
+def test_the_forest_reports_the_limits_it_is_grown_with(spark):
+    candidate = forest_candidate(10)
+    forest = candidate.build(100)
+    assert candidate.params == {"n_estimators": forest.getNumTrees(), "max_depth": forest.getMaxDepth(),
+                                "min_samples_leaf": forest.getMinInstancesPerNode()}
+
+
 def test_comparison_and_unsupervised_plans(spark, entries):
     got = prepare(entries, "entry_id", "word", "target", {"noun": "Thing", "verb": "Action", "adjective": "Property"})
     tables = compare_classifiers(got.data, "entry_id", "target", got.features, folds=2, trees=10, svm_rounds=5)
