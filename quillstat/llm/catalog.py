@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from quillstat.llm import (
-    decontaminate, exact_dedup, license_scan, main_text, order_minhash, piece_codec, quality_model, sharding, token_files, toxic_crf,
+    credential_links, decontaminate, exact_dedup, license_scan, main_text, order_minhash, piece_codec, prefix_trie, quality_model, sharding,
+    token_files, toxic_crf, whitening,
 )
 from quillstat.llm.common import table
 
@@ -62,11 +63,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_notices(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")).drop("turn_md5")
+
+
+def op13_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credential_links.secret_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     runs = (op1_token_files, op2_main_text, op3_quality_model, op4_decontamination, op5_order_minhash, op6_sharding, op7_exact_dedup,
-            op8_toxicity, op9_piece_codec, op10_license_scan)
+            op8_toxicity, op9_piece_codec, op10_license_scan, op11_whitening, op12_prefix_trie, op13_credential_links)
     return {run.__name__: run for run in runs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": decontaminate.SQL, "op6_sharding": sharding.SQL, "op7_exact_dedup": exact_dedup.SQL}
+    return {"op4_decontamination": decontaminate.SQL, "op6_sharding": sharding.SQL, "op7_exact_dedup": exact_dedup.SQL,
+            "op12_prefix_trie": prefix_trie.SQL}
