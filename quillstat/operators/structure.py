@@ -218,8 +218,7 @@ def centroid_row_clusters(df: DataFrame, key: str, vector: str, clusters: Sequen
     the cluster of its centre. The same way at every size; no row is left out."""
     points = df.select(key, F.col(vector).cast("array<double>").alias("x"))
     centres = kmeans_sweep(points, "x", [leaves], 1)[leaves].centres
-    table = pd.DataFrame({"node": range(len(centres)), "x": list(centres)})
-    nodes = df.sparkSession.createDataFrame(table, "node int, x array<double>")
+    nodes = df.sparkSession.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "node int, x array<double>")
     return _cut_columns(nodes, _place(points, key, centres), len(centres), clusters)
 
 
