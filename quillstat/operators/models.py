@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.functions.scalars import NEAR_ZERO
+from quillstat.operators.paths import PathSolver, Point
 from quillstat.operators.sampling import class_weights, with_class_weight
 from quillstat.operators.summaries import majority_class
 
@@ -225,6 +226,8 @@ def macro_f1(cells: Iterable[tuple]) -> float:
         if y == p:
             hits[y] = hits.get(y, 0) + n
     seen = set(truth) | set(guess)
+    if not seen:
+        return 0.0
     return sum(2 * hits.get(c, 0) / (truth.get(c, 0) + guess.get(c, 0)) for c in seen) / len(seen)
 
 
@@ -251,6 +254,15 @@ class Search:
         return spark.createDataFrame(
             table, "model string, params string, fold int, train_score double, test_score double")
 
+    def path_rows(self, spark, model: str) -> DataFrame:
+        """(model, C, l1_ratio, fold, train_score, test_score, active, passes, kkt_gap, converged) of ``penalty_search``:
+        one row per grid point and fold; ``l1_ratio`` is null for a LASSO, ``active`` counts coefficients that are not zero."""
+        table = [(model, r["C"], r["l1_ratio"], r["fold"], r["train"], r["test"], r["active"], r["passes"], r["gap"], r["converged"])
+                 for r in self.rows]
+        return spark.createDataFrame(
+            table, "model string, C double, l1_ratio double, fold int, train_score double, test_score double, active int, "
+                   "passes int, kkt_gap double, converged boolean")
+
 
 def search(
     table: DataFrame, candidates: Sequence[Candidate], folds: int, parallelism: int = 4, refit: bool = True
@@ -285,6 +297,33 @@ def search(
     return out
 
 
+def penalty_search(
+    table: DataFrame, candidates: Sequence[Candidate], folds: int, classes: int, weighted: bool = False, refit: bool = True
+) -> Search:
+    """``search`` for grids of penalties (``lasso_grid``, ``elastic_net_grid``): all grid points and folds are fitted
+    together by ``paths.PathSolver``, a pass over the rows per step, and one more pass counts all predictions."""
+    points = [Point(c.params["C"], 1.0 if c.params["l1_ratio"] is None else c.params["l1_ratio"], fold)
+              for c in candidates for fold in range(folds)]
+    solver = PathSolver(table, classes, points, weighted)
+    fits = solver.solve()
+    counts = solver.confusion(fits)
+    solver.close()
+    cells = lambda m: [(t, p, int(n)) for (t, p), n in np.ndenumerate(m) if n]
+    out = Search()
+    for i, point in enumerate(points):
+        params = candidates[i // folds].params
+        out.rows.append({
+            "at": i // folds, "params": json.dumps(params), **params, "fold": point.fold, "train": macro_f1(cells(counts[i, 0])),
+            "test": macro_f1(cells(counts[i, 1])), "active": int((fits.coefficients[i] != 0).sum()),
+            "passes": int(fits.passes[i]), "gap": float(fits.gaps[i]), "converged": bool(fits.converged[i])})
+    means = [float(np.mean([r["test"] for r in out.rows if r["at"] == at])) for at in range(len(candidates))]
+    first = int(np.argmax(means))
+    out.best, out.best_score = candidates[first], means[first]
+    if refit:
+        out.model = out.best.build(table.filter("label IS NOT NULL").count()).fit(table)
+    return out
+
+
 def score_table(folds: DataFrame) -> DataFrame:
     """Mean, population std and rank per grid point, with its penalty ``C`` and ``l1_ratio`` (null where a
     candidate has none)."""

@@ -41,8 +41,8 @@ def expanded_chain(
     full, slim = shape(prepared.features), shape(names)
     train_of = lambda t: t.filter("split = 'train'")
     ridge = mo.logistic(n, mo.RIDGE_C, weighted=True, tol=1e-6).fit(train_of(full))
-    lasso = mo.search(train_of(slim), mo.lasso_grid(c_grid, weighted=True), folds, parallelism)
-    net = mo.search(train_of(slim), mo.elastic_net_grid(c_grid, ratios, weighted=True), folds, parallelism)
+    lasso = mo.penalty_search(train_of(slim), mo.lasso_grid(c_grid, weighted=True), folds, len(labels.names), True)
+    net = mo.penalty_search(train_of(slim), mo.elastic_net_grid(c_grid, ratios, weighted=True), folds, len(labels.names), True)
     coefs = keep(
         mo.coefficients(lasso.model, spark, "lasso", names, labels)
         .unionByName(mo.coefficients(net.model, spark, "elastic_net", names, labels)))
@@ -67,7 +67,8 @@ def expanded_chain(
         "high_correlation_pairs": co.high_pairs(pairs, co.WIDE_HIGH_PAIR),
         "vif_status": with_size_guides(sizes, "n_observations_train", "n_features_before_screening").withColumn(
             "vif_status", co.vif_status(F.col("n_observations_train"), F.col("n_features_before_screening"))),
-        "selected_features": chosen, "coefficients": coefs, "sparsity": sparsity.wide_summary(coefs),
+        "selected_features": chosen, "cv_rows": lasso.path_rows(spark, "lasso").unionByName(net.path_rows(spark, "elastic_net")),
+        "coefficients": coefs, "sparsity": sparsity.wide_summary(coefs),
         "sparsity_by_class": sparsity.by_class(coefs),
         "selection_counts": sparsity.selection_counts(sparsity.selection_table(coefs, "lasso", "elastic_net")),
         "coefficient_matrix": sparsity.coefficient_matrix(coefs, labels.names, active_only=True),

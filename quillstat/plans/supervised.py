@@ -72,8 +72,8 @@ def supervised(
     train_of = lambda t: t.filter("split = 'train'")
     baseline, kind = mo.fit_baseline(train_of(full), n)
     cv = mo.cross_validate(train_of(full), lambda m: mo.logistic(m, None), labels, folds)
-    lasso = mo.search(train_of(slim), mo.lasso_grid(c_grid), folds, parallelism)
-    net = mo.search(train_of(slim), mo.elastic_net_grid(c_grid, ratios), folds, parallelism)
+    lasso = mo.penalty_search(train_of(slim), mo.lasso_grid(c_grid), folds, len(labels.names))
+    net = mo.penalty_search(train_of(slim), mo.elastic_net_grid(c_grid, ratios), folds, len(labels.names))
     coefs = keep(
         mo.coefficients(lasso.model, spark, "LASSO", names, labels)
         .unionByName(mo.coefficients(net.model, spark, "Elastic Net", names, labels)))
@@ -111,6 +111,7 @@ def supervised(
     tables |= {
         "baseline_cv": cv, "baseline_cv_summary": mo.fold_summary(cv),
         "cv_scores": mo.score_table(lasso.folds(spark, "LASSO").unionByName(net.folds(spark, "Elastic Net"))),
+        "cv_rows": lasso.path_rows(spark, "LASSO").unionByName(net.path_rows(spark, "Elastic Net")),
         "coefficients": coefs, "sparsity_by_model": sparsity.by_model(coefs), "sparsity_by_class": sparsity.by_class(coefs),
         "active_by_model": sparsity.by_feature(coefs).filter("selected"), "active_by_class": sparsity.active_by_class(coefs),
         "shared_and_specific": sparsity.selection_table(coefs, "LASSO", "Elastic Net"),
