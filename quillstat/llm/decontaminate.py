@@ -46,7 +46,11 @@ LEAST_WORDS = 4
 COVERAGE = 0.5
 CONSISTENT = 0.8
 RUN = 13
-BROADCAST_WINDOWS = 200_000
+#: One word is in up to WINDOW windows; of longer items more than half stay.
+EDITED_WORDS = 3 * WINDOW - 2
+#: Words kept on either side of rare words: an item with an anchor lies within.
+AROUND = EDITED_WORDS + WINDOW
+BROADCAST_WINDOWS = 50_000
 
 # Units of measure, currency and time that follow a number.
 UNITS = (
@@ -128,17 +132,39 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
              rows.withColumns({"_kind": F.lit("plain"), "_body": F.col("_words"), "_slots": none}),
              rows.filter((F.size("_slots2") > 0) & (F.size("_slots2") * 2 <= F.col("_length"))).withColumns(
                  {"_kind": F.lit("spaced"), "_body": F.col("_cut2"), "_slots": F.col("_slots2")})]
-    return reduce(DataFrame.unionByName, [*(f.select(*_FORM) for f in forms), _anchors(items)]).withColumn(
-        "_key", F.xxhash64(F.concat("_kind", F.col("_length").cast("string")), _hashes(F.col("_body")))).select(
-        "_item", "_at", "_length", "_kind", "_key", "_slots", "_values", "_of")
-
-
+    rows = reduce(DataFrame.unionByName, [*(f.select(*_FORM) for f in forms), _anchors(items)]).withColumn(
+        "_key", F.xxhash64(F.concat("_kind", F.col("_length").cast("string")), _hashes(F.col("_body"))))
+    return _with_rare_words(rows, items).select(
+        "_item", "_at", "_length", "_kind", "_key", "_slots", "_values", "_of", "_rare", "_offset", "_alone")
+
+
+def _with_rare_words(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """``rows`` with the hash _rare of two neighbouring words of the window, those whose counts in the benchmark have the
+    least product (of several the longest, then the first), and their place _offset. Marks stand for values, so they are
+    no such words; a window without two such neighbours has a single word, with _alone."""
+    known = items.select(F.explode("_plain").alias("_word")).groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
+    each = rows.select("_kind", "_key", "_body").dropDuplicates(["_kind", "_key"]).select(
+        "_kind", "_key", F.posexplode("_body").alias("_offset", "_raw")).filter(~F.col("_raw").isin(NAME, UNIT, NUMBER)).select(
+        "_kind", "_key", "_offset", plain_text(F.col("_raw")).alias("_word")).join(known, "_word")
+    ahead = Window.partitionBy("_kind", "_key").orderBy("_offset")  # one window of words
+    after = lambda c: F.when(F.lead("_offset").over(ahead) == F.col("_offset") + 1, F.lead(c).over(ahead))
+    pairs = each.withColumns({"_next": after("_word"), "_m": after("_n")})
+    alone = F.col("_next").isNull()
+    rare = pairs.select("_kind", "_key", F.struct(
+        alone.alias("alone"), (F.col("_n") * F.coalesce("_m", F.lit(1))).alias("n"), (-F.length("_word")).alias("size"),
+        F.col("_offset").alias("offset"), F.when(alone, F.xxhash64("_word")).otherwise(F.xxhash64("_word", "_next")).alias("hash")).alias("_r"))
+    rare = rare.groupBy("_kind", "_key").agg(F.min("_r").alias("_r")).select(
+        "_kind", "_key", F.col("_r.hash").alias("_rare"), F.col("_r.offset").alias("_offset"), F.col("_r.alone").alias("_alone"))
+    return rows.join(rare, ["_kind", "_key"])
+
+
+_FORMS = ("_raw", "_plain", "_template", "_spaced")
 _FORM = ["_item", "_at", "_length", "_of", "_kind", "_body", "_slots", "_values"]
 
 
 def _anchors(items: DataFrame) -> DataFrame:
     """Runs of half the words of items in which one word may be in most windows."""
-    short = items.filter(F.size("_plain").between(WINDOW, 2 * WINDOW - 1)).withColumn("_length", F.floor(F.size("_plain") / 2).cast("int"))
+    short = items.filter(F.size("_plain").between(WINDOW, EDITED_WORDS)).withColumn("_length", F.floor(F.size("_plain") / 2).cast("int"))
     return short.select(
         "_item", F.explode(F.sequence(F.lit(1), F.size("_plain") - F.col("_length") + 1)).alias("_at"), "_length",
         (F.size("_plain") - WINDOW + 1).alias("_of"), F.lit("part").alias("_kind"), "_plain").select(
@@ -155,17 +181,17 @@ def _runs(found: DataFrame) -> DataFrame:
     return rows.filter(F.col("_n") >= F.least(F.lit(RUN) - F.col("_length") + 1, F.col("_of"))).select("_id", "_item").distinct()
 
 
-def _edited(found: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
+def _edited(found: DataFrame, items: DataFrame) -> DataFrame:
     """_id, _item, _of, _first, _last of pairs whose document has all words of the item but one, in order."""
-    rows = found.filter("_kind = 'part'").select("_id", "_item", "_of", (F.col("_place") - F.col("_at") + 1).alias("_line")).distinct()
-    rows = rows.join(texts.withColumnRenamed("_id", "_text_id"), F.col("_id").eqNullSafe(F.col("_text_id"))).join(
-        items.withColumnRenamed("_item", "_of_item"), F.col("_item").eqNullSafe(F.col("_of_item")))
-    size = F.size("_plain")
+    rows = found.filter("_kind = 'part'").select(
+        "_id", "_item", "_of", (F.col("_place") - F.col("_at") + 1).alias("_line"), "_near").distinct()
+    rows = rows.join(items.withColumnRenamed("_item", "_of_item"), F.col("_item").eqNullSafe(F.col("_of_item")))
+    size, begun = F.size("_plain"), F.greatest(F.col("_line") - 1, F.lit(0))
 
     def agreeing(step: int, backwards: bool) -> Column:
         """Words from one end of the item on that the document has, ``step`` words from the anchor's line."""
         same = F.transform(F.sequence(F.lit(0), size - 1), lambda k: F.coalesce(
-            F.get(F.col("_doc"), (F.col("_line") + k + step).cast("int")) == F.get(F.col("_plain"), k), F.lit(False)))
+            F.get(F.col("_near"), (F.col("_line") + k + step - begun).cast("int")) == F.get(F.col("_plain"), k), F.lit(False)))
         first = F.array_position(F.reverse(same) if backwards else same, False)
         return F.when(first == 0, size).otherwise((first - 1).cast("int"))
 
@@ -175,23 +201,56 @@ def _edited(found: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
                                             F.max(F.col("_line") + size - 1).cast("long").alias("_last"))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once a row: later steps cannot repeat the expression of a generated row."""
+    return df.select("*", F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))).alias("_x")).select(
+        *df.columns, "_x.*")
+
+
 def matched_windows(documents: DataFrame, windows: DataFrame, key: str, text: str) -> DataFrame:
-    """_id, _place, and the columns of ``windows``, for every window of a document that the benchmark has."""
-    shapes = [(r[0], r[1]) for r in windows.select("_kind", "_length").distinct().collect()]
-    small = windows.count() <= BROADCAST_WINDOWS
-    marked = marked_text(text_or_empty(text))
-    bodies = {"literal": marked, "template": _steps(marked, TEMPLATE), "plain": plain_text(marked), "part": plain_text(marked),
-              "spaced": _steps(marked_text(_steps(text_or_empty(text), SPACES)), TEMPLATE)}
-    found = None
-    for kind, length in sorted(shapes):
-        body = bodies[kind]
-        hashed = documents.filter(text_or_empty(text).rlike(SPACED)) if kind == "spaced" else documents
-        hashed = hashed.select(F.col(key).alias("_id"), _hashes(_words(body)).alias("_hashes"))
-        places = hashed.select("_id", F.posexplode(_windows(F.col("_hashes"), length, kind)).alias("_place", "_key"))
-        part = windows.filter((F.col("_kind") == kind) & (F.col("_length") == length))
-        rows = places.join(F.broadcast(part) if small else part, "_key")
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    """_id, _place, and the columns of ``windows``, for every window of a document that the benchmark has; _raw: the
+    document's marked words there where the window has slots; _near: its plain words around the item for an anchor.
+
+    A window is looked up only where its rare words stand. All forms have the same words at the same places, but for
+    marks, so the plain words lead to all of them in one pass; with more than ``BROADCAST_WINDOWS`` windows the pass is
+    made for one part of them after another.
+    """
+    marks = _once(documents.select(F.col(key).alias("_id"), text_or_empty(text).alias("_t")), _m=marked_text(F.col("_t")))
+    spaced = F.when(F.col("_t").rlike(SPACED), _steps(marked_text(_steps(F.col("_t"), SPACES)), TEMPLATE)).otherwise(F.lit(""))
+    forms = {"_raw": _words(F.col("_m")), "_plain": _words(plain_text(F.col("_m"))), "_template": _words(_steps(F.col("_m"), TEMPLATE)),
+             "_spaced": _words(spaced)}
+    parts = max(1, -(-windows.count() // BROADCAST_WINDOWS))
+    found = []
+    for n in range(parts):
+        part = windows.filter(F.pmod("_key", F.lit(parts)) == n)
+        shapes = part.select("_rare", "_kind", "_length", "_offset").distinct()
+        rare = {True: [], False: []}
+        for r in part.select("_alone", "_rare").distinct().collect():  # no more than windows in the part
+            rare[r["_alone"]].append(f"{r['_rare']}L")
+        where = [f"filter(transform(_plain, (w, i) -> named_struct('i', i, 'h', {hash_})), x -> x.h IN ({', '.join(rare[alone])}))"
+                 for alone, hash_ in ((False, "xxhash64(w, get(_plain, i + 1))"), (True, "xxhash64(w)")) if rare[alone]]
+        places = F.expr(f"concat({', '.join(where)})" if where else "CAST(array() AS array<struct<i: int, h: bigint>>)")
+        # Only the words around a place go on, not the whole text.
+        begin = lambda x: F.greatest(x["i"] - AROUND, F.lit(0))
+        near = lambda c, x: F.slice(c, begin(x) + 1, F.lit(2 * AROUND)).alias(c)
+        placed = marks.withColumn("_plain", forms["_plain"]).select("_id", "_t", "_m", F.explode(F.array(places)).alias("_places"))
+        stretches = _once(placed.filter(F.size("_places") > 0), **forms).select(
+            "_id", F.size("_plain").alias("_size"), F.explode(F.transform("_places", lambda x: F.struct(
+                x["h"].alias("_rare"), x["i"].alias("_pos"), begin(x).alias("_from"), *[near(c, x) for c in _FORMS]))).alias("_x")).select(
+            "_id", "_size", "_x.*")
+        size = F.col("_length")
+        hits = stretches.join(F.broadcast(shapes), "_rare").withColumn("_place", F.col("_pos") - F.col("_offset")).filter(
+            (F.col("_place") >= 0) & (F.col("_place") + size <= F.col("_size")))
+        here = lambda c: F.slice(c, F.greatest(F.col("_place") - F.col("_from"), F.lit(0)) + 1, size)
+        body = F.when(F.col("_kind") == "template", here("_template")).when(F.col("_kind") == "spaced", here("_spaced")).when(
+            F.col("_kind") == "literal", here("_raw")).otherwise(here("_plain"))
+        keyed = hits.withColumn("_key", F.xxhash64(F.concat("_kind", size.cast("string")), _hashes(body)))
+        line = F.greatest(F.col("_place") - F.col("_at"), F.lit(0))  # the word before the item's first
+        found.append(keyed.join(F.broadcast(part), ["_key", "_rare", "_kind", "_length", "_offset"]).select(
+            "_id", "_place", *[c for c in windows.columns if c not in ("_key", "_rare", "_offset", "_alone")],
+            F.when(F.size("_slots") > 0, here("_raw")).alias("_raw"),
+            F.when(F.col("_kind") == "part", F.slice("_plain", F.greatest(line - F.col("_from"), F.lit(0)) + 1, F.col("_of") + (WINDOW + 1))).alias("_near")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -199,24 +258,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     """key, item, windows, matched, coverage, literal_coverage, slot_consistency, first_word, last_word of
     each contaminated pair of document and item."""
     windows = cut(benchmark_windows(benchmark, item, item_text))
-    found = matched_windows(documents, windows, key, text)
-    if found is None:
-        kind = benchmark.schema[item].dataType.simpleString()
-        return documents.limit(0).selectExpr(
-            f"`{key}`", f"CAST(NULL AS {kind}) AS `{item}`", "0L AS windows", "0L AS matched", "0D AS coverage", "0D AS literal_coverage",
-            "0D AS slot_consistency", "0L AS first_word", "0L AS last_word")
-    found = cut(found.drop("_key"))
-
+    found = cut(matched_windows(documents, windows, key, text))
     anchored, found = found, found.filter("_kind != 'part'")
     slotted = found.filter(F.size("_slots") > 0)
-    marked = marked_text(text_or_empty(text))
-    ids = cut(slotted.select("_id").distinct())
-    texts = documents.select(F.col(key).alias("_id"), marked.alias("_marked"))
-    texts = texts.join(ids, texts["_id"].eqNullSafe(ids["_id"]), "left_semi").withColumn("_raw", _words(F.col("_marked"))).drop("_marked")
-    pairs = slotted.join(texts.withColumnRenamed("_id", "_text_id"), F.col("_id").eqNullSafe(F.col("_text_id"))).select(
+    pairs = slotted.select(
         "_id", "_item", "_at", "_kind", "_place", (F.col("_place") - F.col("_at")).alias("_line"),
         F.transform("_slots", lambda k: F.struct(
-            F.get(F.col("_values"), k).alias("own"), F.get(F.col("_raw"), F.col("_place") + k).alias("other"))).alias("_pairs"))
+            F.get(F.col("_values"), k).alias("own"), F.get(F.col("_raw"), k).alias("other"))).alias("_pairs"))
     pairs = cut(pairs.withColumn("_same", F.forall("_pairs", lambda p: p["own"].eqNullSafe(p["other"]))))
 
     def on(left: DataFrame, right: DataFrame):
@@ -252,10 +300,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
         plain_text(p["own"]).alias("own"), plain_text(p["other"]).alias("other"))))
     wide = cut(figures(found, unmarked))
     plain = items_words(benchmark, item, item_text)
-    near = cut(anchored.filter("_kind = 'part'").select("_id").distinct())
-    bodies = documents.select(F.col(key).alias("_id"), _words(plain_text(marked)).alias("_doc"))
-    bodies = bodies.join(near, bodies["_id"].eqNullSafe(near["_id"]), "left_semi")
-    edited = cut(_edited(anchored, bodies, plain))
+    edited = cut(_edited(anchored, plain))
     partial = _runs(found).unionByName(edited.select("_id", "_item")).distinct()
     some = wide.filter(accepted).unionByName(wide.join(*on(wide.filter(~accepted), partial), "left_semi")).distinct()
     bare = edited.join(*on(edited, wide.select("_id", "_item")), "left_anti").select(
@@ -269,7 +314,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
 def items_words(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """_item, _plain (words) of the items that have anchors."""
     words = _words(plain_text(marked_text(text_or_empty(text))))
-    return benchmark.select(F.col(item).alias("_item"), words.alias("_plain")).filter(F.size("_plain").between(WINDOW, 2 * WINDOW - 1))
+    return benchmark.select(F.col(item).alias("_item"), words.alias("_plain")).filter(F.size("_plain").between(WINDOW, EDITED_WORDS))
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
