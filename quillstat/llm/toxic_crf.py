@@ -47,6 +47,7 @@ ROUNDS = 40
 RATE = 0.25
 RIDGE = 1e-4
 BLOCK = 256
+TOKENS_AT_ONCE = 200_000  # of whole documents in one forward-backward pass of the fit
 FLOOR = 1e-6
 WORDS_KEPT = 250_000
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -65,11 +66,11 @@ def buckets(word: str) -> np.ndarray:
     return np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) % BUCKETS for f in features(word)], dtype=np.int64)
 
 
-def toxic_marks(documents: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Features found in toxic documents so often that chance would give about one such feature."""
+def toxic_marks(documents: list[np.ndarray], kinds: list[str], labels: np.ndarray) -> set[str]:
+    """Features found in toxic documents so often that chance would give about one such feature; documents hold places in ``kinds``."""
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for words, y in zip(documents, labels):
-        seen[int(y)].update({f for w in set(words) for f in features(w) if f[0] != "s"})
+    for codes, y in zip(documents, labels):
+        seen[int(y)].update({f for k in np.unique(codes) for f in features(kinds[k]) if f[0] != "s"})
     base = float(labels.mean())
     tested = len(seen[1])
     marks = set()
@@ -142,6 +143,16 @@ class Chain:
         beta0, beta1 = np.append(after0[1:], 0.5)[:n], np.append(after1[1:], 0.5)[:n]
         return flat(a0)[:n], flat(a1)[:n], beta0, beta1
 
+    def expected(self, emission: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of all tokens, and the expected number of moves between states (from, to)."""
+        if not len(emission):
+            return np.zeros(0), np.zeros((2, 2))
+        a0, a1, b0, b1 = self.vectors(emission, first)
+        x, later, t = np.exp(np.clip(emission[1:], -30, 30)), ~first[1:], self.moves
+        pairs = [a0[:-1] * t[0, 0] * b0[1:], a0[:-1] * t[0, 1] * x * b1[1:], a1[:-1] * t[1, 0] * b0[1:], a1[:-1] * t[1, 1] * x * b1[1:]]
+        whole = pairs[0] + pairs[1] + pairs[2] + pairs[3]
+        return a1 * b1 / (a0 * b0 + a1 * b1), np.array([np.sum((q / whole)[later]) for q in pairs]).reshape(2, 2)
+
     def marginals(self, emission: np.ndarray, first: np.ndarray) -> np.ndarray:
         if not len(emission):
             return np.zeros(0)
@@ -149,6 +160,15 @@ class Chain:
         return a1 * b1 / (a0 * b0 + a1 * b1)
 
 
+def _spans(lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Runs of whole documents of about ``TOKENS_AT_ONCE`` tokens: their tokens and their lengths."""
+    ends = np.cumsum(lengths)
+    group = (ends - lengths) // TOKENS_AT_ONCE
+    cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(lengths) else np.zeros(0, int)
+    for a, b in zip(cuts, np.append(cuts[1:], len(lengths))):
+        yield slice(int(ends[a] - lengths[a]), int(ends[b - 1])), lengths[a:b]
+
+
 def starts_of(lengths: np.ndarray) -> np.ndarray:
     """Marks of the first token of each non-empty document."""
     first = np.zeros(int(lengths.sum()), dtype=bool)
@@ -190,11 +210,12 @@ class ToxicModel:
             edge = min(max(share, 1e-6), 1 - 1e-6)
             return ToxicModel(np.zeros(BUCKETS, np.float32), -8.0, np.zeros(2), np.zeros((2, 2)),
                               np.array([np.log(edge / (1 - edge)), 0.0, 0.0]))
-        documents = [tokens(t) for t in texts]
-        marks = toxic_marks(documents, labels)
         kinds: dict[str, int] = {}
-        which = np.array([kinds.setdefault(w, len(kinds)) for d in documents for w in d], dtype=np.int64)
+        documents = [np.fromiter((kinds.setdefault(w, len(kinds)) for w in tokens(t)), np.int32) for t in texts]
+        marks = toxic_marks(documents, list(kinds), labels)
         lengths = np.array([len(d) for d in documents])
+        which = np.concatenate(documents)
+        del documents
         marked = np.array([any(f in marks for f in features(w)) for w in kinds], dtype=bool)
         truth = marked[which] & np.repeat(labels.astype(bool), lengths)
         parts = [buckets(w) for w in kinds]
@@ -203,10 +224,10 @@ class ToxicModel:
         first = starts_of(lengths)
         weights, bias = np.zeros(BUCKETS), -4.0
         start, moves = np.zeros(2), np.zeros((2, 2))
-        positive = np.bincount(which, truth, len(kinds))
+        positive = np.bincount(which[truth], minlength=len(kinds)).astype(float)
         later = ~first
-        was, now = truth[:-1][later[1:]], truth[1:][later[1:]]
-        moved = np.array([[np.sum(~was & ~now), np.sum(~was & now)], [np.sum(was & ~now), np.sum(was & now)]], float)
+        pairs = (2 * truth[:-1] + truth[1:])[later[1:]]
+        moved = np.bincount(pairs, minlength=4).astype(float).reshape(2, 2)
         began = np.array([np.sum(~truth[first]), np.sum(truth[first])], float)
         steps: dict[str, list] = {}
 
@@ -218,26 +239,24 @@ class ToxicModel:
 
         scale = 1 / max(1.0, positive.sum())
         for round_ in range(1, ROUNDS + 1):
-            emission = (bias + np.bincount(owner, weights[flat], len(kinds)))[which]
+            words = bias + np.bincount(owner, weights[flat], len(kinds))
             chain = Chain(start, moves)
-            a0, a1, b0, b1 = chain.vectors(emission, first)
-            p = a1 * b1 / (a0 * b0 + a1 * b1)
-            error = positive - np.bincount(which, p, len(kinds))
+            guessed, expected, opened = np.zeros(len(kinds)), np.zeros((2, 2)), np.zeros(2)
+            for part, _ in _spans(lengths):
+                p, moving = chain.expected(words[which[part]], first[part])
+                guessed += np.bincount(which[part], p, len(kinds))
+                expected += moving
+                opened += [np.sum(1 - p[first[part]]), np.sum(p[first[part]])]
+            error = positive - guessed
             slope = np.bincount(flat, error[owner], BUCKETS) * scale - RIDGE * weights
-            x = np.exp(np.clip(emission[1:], -30, 30))
-            pairs = [a * t * y * b for a, t, y, b in (
-                (a0[:-1], chain.moves[0, 0], 1.0, b0[1:]), (a0[:-1], chain.moves[0, 1], x, b1[1:]),
-                (a1[:-1], chain.moves[1, 0], 1.0, b0[1:]), (a1[:-1], chain.moves[1, 1], x, b1[1:]))]
-            whole = pairs[0] + pairs[1] + pairs[2] + pairs[3]
-            expected = np.array([np.sum((q / whole)[later[1:]]) for q in pairs]).reshape(2, 2)
             weights += adam("weights", slope, round_)
             bias += adam("bias", error.sum() * scale, round_)
             moves = moves + adam("moves", (moved - expected) * scale - RIDGE * moves, round_)
-            start = start + adam("start", (began - np.array([np.sum(1 - p[first]), np.sum(p[first])])) * scale
-                                 - RIDGE * start, round_)
+            start = start + adam("start", (began - opened) * scale - RIDGE * start, round_)
         model = ToxicModel(weights.astype(np.float32), float(bias), start, moves, np.zeros(3))
-        p = Chain(start, moves).marginals((bias + np.bincount(owner, weights[flat], len(kinds)))[which], first)
-        evidence, y = _evidence(*document_sums(p, lengths)), labels.astype(float)
+        words, chain = bias + np.bincount(owner, weights[flat], len(kinds)), Chain(start, moves)
+        sums = [document_sums(chain.marginals(words[which[part]], first[part]), sizes_) for part, sizes_ in _spans(lengths)]
+        evidence, y = _evidence(*(np.concatenate(c) for c in zip(*sums))), labels.astype(float)
         curve = np.zeros(3)
         for _ in range(25):
             guess = _sigmoid(evidence @ curve)
@@ -291,7 +310,8 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, learn: Column, label
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = sorted((i, y, body) for batch in batches for i, y, body in zip(batch["_id"], batch["_y"], batch["_text"]))
-        model = ToxicModel.train([r[2] for r in known], np.array([r[1] for r in known]))
+        labels = np.array([r[1] for r in known])
+        model = ToxicModel.train([r[2] for r in known], labels)
         yield pd.DataFrame({"weights": [model.weights], "bias": [model.bias], "start": [model.start],
                             "moves": [model.moves.ravel()], "curve": [model.curve]})
 
