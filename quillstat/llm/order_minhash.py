@@ -13,15 +13,13 @@ A link is a pair of different texts with a similarity of ``SIMILAR`` or more.
 
 * Texts with equal words are one class; a group of copies counts once from there on.
 * Every member of a key's bucket is compared with the bucket's hub, the member that shares
-  the largest buckets (variants of one text all share most keys with it). Then rounds follow
-  over the buckets whose members are still in several components: each of ``CENTRES`` parts
-  of a bucket, dealt anew every round, names its hub, and members of other components are
-  compared with it, until a round finds no link.
-* Hubs only save work. At the end every pair not yet compared whose members share a bucket and
-  are in different components is compared, so the components are those of all pairs that share a
-  key. Pairs are formed in cells of ``BLOCK`` by ``BLOCK`` members, spread over tasks; pairs whose
-  numbers of shingles alone rule a link out are left. Where a large bucket holds many different
-  texts these pairs grow with the square of its size.
+  the largest buckets (variants of one text all share most keys with it).
+* Hubs only save work. For the texts in buckets that still hold several components an exact
+  prefix filter (``_prefixes``) names the rare shingles of which two similar texts must share
+  one; the texts that have such a shingle are compared with one of them, then, where a shingle
+  is still in several components, all of different components with each other. So the
+  components are those of all similar pairs of these texts, and a passage or line that very
+  many documents have makes no pairs. Rare shingles that many different texts share would.
 * Tables that a hot key is joined with are read from storage, so adaptive execution may
   split it; nothing is collected but counts.
 
@@ -40,7 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstat.llm.common import Memo, cut, small_batches, text_or_empty
@@ -50,8 +48,6 @@ SHINGLE = 5
 SIMILAR = 0.8
 SKETCHES = 20
 PICKED = 4
-CENTRES = 8
-BLOCK = 256  # members of a bucket that one cell has on each side
 WORDS_KEPT = 250_000
 TEXTS_KEPT = 64
 CELLS = 1 << 20  # hashes held at once for one text
@@ -225,56 +221,69 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
 
     centres = cut(members.groupBy("bucket").agg(F.max(F.struct("hub", "node")).alias("_c")).select(
         "bucket", F.col("_c.node").alias("centre")))
-    tried = cut(members.join(centres, "bucket").filter("node != centre").select(
-        "centre", F.col("node").alias("member")).distinct())
-    links = cut(_verified(tried, texts))
+    links = cut(_verified(cut(members.join(centres, "bucket").filter("node != centre").select(
+        "centre", F.col("node").alias("member")).distinct()), texts))
     groups = components(links, "centre", "member")
-    round_ = 0
-    while True:
-        labelled = members.join(groups.withColumnRenamed("root", "label"), "node", "left").withColumn(
+    labelled = members.select("bucket", "node").join(groups.withColumnRenamed("root", "label"), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    labelled = cut(labelled)
+    split = labelled.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a != _b").select("bucket")
+    left = cut(labelled.join(split, "bucket", "left_semi").select("node", "label").distinct())
+    first = cut(_prefixes(left, texts))
+    tried = cut(_pairs_of(first, first.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("node"), "node", "label", "count")).alias("_h")).select(
+        "shingle", "_h.*")))
+    found = cut(_verified(tried, texts))
+    if not found.isEmpty():
+        groups = _with_links(groups, found)
+        first = first.drop("label").join(groups.withColumnRenamed("root", "label"), "node", "left").withColumn(
             "label", F.coalesce("label", "node"))
-        labelled = cut(labelled)
-        split = cut(labelled.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter(
-            "_a != _b").select("bucket"))
-        left = cut(labelled.join(split, "bucket", "left_semi"))
-        part = F.pmod(F.xxhash64(F.lit(round_), "node"), F.lit(CENTRES))
-        centres = cut(left.groupBy("bucket", part.alias("_part")).agg(F.max(F.struct("hub", "node", "label")).alias("_c")).select(
-            F.col("bucket"), F.col("_c.node").alias("centre"), F.col("_c.label").alias("_label")))
-        pairs = left.join(centres, "bucket").filter("label != _label").select(
-            F.greatest("centre", "node").alias("centre"), F.least("centre", "node").alias("member")).distinct()
-        pairs = cut(_untried(pairs, tried))
-        found = cut(_verified(pairs, texts))
-        if found.isEmpty():
-            break
+        mixed = first.groupBy("shingle").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a != _b").select("shingle")
+        first = cut(first.join(mixed, "shingle", "left_semi"))
+    pairs = cut(_pairs_of(first, first).join(tried, ["centre", "member"], "left_anti"))
+    found = cut(_verified(pairs, texts))
+    if not found.isEmpty():
         groups = _with_links(groups, found)
-        tried, round_ = cut(tried.unionByName(pairs)), round_ + 1
-    if not split.isEmpty():
-        pairs = _untried(_pairs_between(left.join(classes.select("node", "shingles"), "node")), tried)
-        found = cut(_verified(cut(pairs), texts))
-        if not found.isEmpty():
-            groups = _with_links(groups, found)
     return rows.drop("keys", "shingles"), groups
 
 
-def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
-    done = tried.select(F.greatest("centre", "member").alias("centre"), F.least("centre", "member").alias("member"))
-    return pairs.join(done, ["centre", "member"], "left_anti")
-
-
-def _pairs_between(left: DataFrame) -> DataFrame:
-    """centre, member (the lesser node) of all pairs of a bucket in ``left`` (bucket, node, label,
-    shingles) that are in different components and of which the shorter can be similar to the longer."""
-    sizes = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
-    own = cut(left.join(cut(sizes), "bucket").withColumn(
-        "_block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("_blocks")).cast("int")))
-    upper = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
-    lower = upper.select("bucket", F.col("_other").alias("_block"), F.col("_block").alias("_other"), F.col("node").alias("member"),
-                         F.col("label").alias("_label"), F.col("shingles").alias("_shingles"))
-    upper = upper.withColumnRenamed("node", "centre")
-    longest, shortest = F.greatest("shingles", "_shingles"), F.least("shingles", "_shingles")
-    return cut(upper).join(cut(lower), ["bucket", "_block", "_other"]).filter(
-        (F.col("centre") > F.col("member")) & (F.col("label") != F.col("_label")) & (shortest >= longest * SIMILAR - 1)).select(
-        "centre", "member").distinct()
+def _shingles_of(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, label, count and the shingle hashes of the texts in ``left``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingles(words_of(body)).view(np.int64) for body in batch["_text"]]
+            yield pd.DataFrame({"node": batch["node"], "label": batch["label"], "count": [len(f) for f in found], "shingles": found})
+
+    return left.join(texts, "node").select("node", "label", "_text").mapInPandas(
+        run, "node string, label string, count int, shingles array<long>")
+
+
+def _prefixes(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """shingle, node, label, count: shingles of which two similar texts in ``left`` (node, label) surely share one, where
+    they stand in texts of different components.
+
+    Similar texts of n and m shingles share at least ``SIMILAR`` * max(n, m) of them, so in any common order they share one
+    of the first n - ceil(SIMILAR * n) + 1 of each (an exact prefix filter). The order is by frequency, rarest first, so
+    a passage that many documents have leads to no pair. Shingles all of whose texts are in one component lead to none.
+    """
+    each = cut(_shingles_of(left, texts).select("node", "label", "count", F.explode("shingles").alias("shingle")))
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_n > 1")
+    shared = cut(each.join(common, "shingle"))
+    # Shingles of one text alone are the rarest and come first; they lead to no pair, so only their number counts.
+    alone = F.col("count") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("_n", "shingle")) + alone
+    prefix = F.col("count") - F.ceil(F.col("count") * F.lit(SIMILAR) - 1e-9) + 1
+    return shared.withColumn("_place", place).filter((F.col("_place") <= prefix) & (F.col("_a") != F.col("_b"))).select(
+        "shingle", "node", "label", "count")
+
+
+def _pairs_of(left: DataFrame, right: DataFrame) -> DataFrame:
+    """centre, member (the lesser node) of the rows of two tables of prefixes that share a shingle, are in different
+    components and of which the shorter can be similar to the longer."""
+    other = right.select("shingle", F.col("node").alias("_node"), F.col("label").alias("_label"), F.col("count").alias("_count"))
+    near = F.least("count", "_count") >= F.greatest("count", "_count") * SIMILAR - 1e-9
+    return left.join(other, "shingle").filter((F.col("label") != F.col("_label")) & near).select(
+        F.greatest("node", "_node").alias("centre"), F.least("node", "_node").alias("member")).distinct()
 
 
 def _marked(rows: DataFrame, groups: DataFrame) -> DataFrame:
