@@ -230,8 +230,9 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     split = labelled.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a != _b").select("bucket")
     left = cut(labelled.join(split, "bucket", "left_semi").select("node", "label").distinct())
     first = cut(_prefixes(left, texts))
-    tried = cut(_pairs_of(first, first.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("node"), "node", "label", "count")).alias("_h")).select(
-        "shingle", "_h.*")))
+    # Another hub for every shingle, so a text meets as many texts of other components as it has shingles here.
+    hub = F.min(F.struct(F.xxhash64("node", "shingle"), "node", "label", "count")).alias("_h")
+    tried = cut(_pairs_of(first, first.groupBy("shingle").agg(hub).select("shingle", "_h.*")))
     found = cut(_verified(tried, texts))
     if not found.isEmpty():
         groups = _with_links(groups, found)
@@ -239,7 +240,7 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
             "label", F.coalesce("label", "node"))
         mixed = first.groupBy("shingle").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a != _b").select("shingle")
         first = cut(first.join(mixed, "shingle", "left_semi"))
-    pairs = cut(_pairs_of(first, first).join(tried, ["centre", "member"], "left_anti"))
+    pairs = cut(_pairs_of(first, first, "node > _node").join(tried, ["centre", "member"], "left_anti"))
     found = cut(_verified(pairs, texts))
     if not found.isEmpty():
         groups = _with_links(groups, found)
@@ -277,12 +278,12 @@ def _prefixes(left: DataFrame, texts: DataFrame) -> DataFrame:
         "shingle", "node", "label", "count")
 
 
-def _pairs_of(left: DataFrame, right: DataFrame) -> DataFrame:
+def _pairs_of(left: DataFrame, right: DataFrame, order: str = "true") -> DataFrame:
     """centre, member (the lesser node) of the rows of two tables of prefixes that share a shingle, are in different
     components and of which the shorter can be similar to the longer."""
     other = right.select("shingle", F.col("node").alias("_node"), F.col("label").alias("_label"), F.col("count").alias("_count"))
     near = F.least("count", "_count") >= F.greatest("count", "_count") * SIMILAR - 1e-9
-    return left.join(other, "shingle").filter((F.col("label") != F.col("_label")) & near).select(
+    return left.join(other, "shingle").filter((F.col("label") != F.col("_label")) & near & F.expr(order)).select(
         F.greatest("node", "_node").alias("centre"), F.least("node", "_node").alias("member")).distinct()
 
 
