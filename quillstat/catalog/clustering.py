@@ -248,3 +248,26 @@ def squared_silhouette(spark, sf):
     value = neighbours.squared_silhouette(wide(spark, sf), "x", "label")
     rows = read_table(spark, sf, "embeddings", ["vec_id"]).limit(1)
     return rounded(rows.select(F.lit(value).alias("silhouette")), 8, "silhouette")
+
+
+@query(REGISTRY["nearest_neighbours"].sql)
+def nearest_neighbours_by_cells(spark, sf):
+    test, train = _knn_sides(spark, sf)
+    return rounded(neighbours.nearest_by_cells(test, train, "vec_id", "x", "label"), 8, "distance")
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderkey % 50 = 0 AS asked, o_totalprice / 1000 AS a, o_custkey / 10 AS b FROM orders
+  WHERE o_totalprice IS NOT NULL AND o_custkey IS NOT NULL),
+d AS (SELECT q.o_orderkey, p.o_orderkey AS neighbour, p.o_orderstatus, sqrt((q.a - p.a) ** 2 + (q.b - p.b) ** 2) AS distance
+  FROM o q JOIN o p ON q.asked AND NOT p.asked),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY distance, neighbour) AS rank FROM d)
+SELECT o_orderkey, neighbour, o_orderstatus, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM r WHERE rank <= 5""")
+def nearest_orders_by_cells(spark, sf):
+    """Nearest orders in two columns, where most cells are skipped."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]).dropna(
+        subset=["o_custkey", "o_totalprice"])
+    orders = keep(orders.select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 50 == 0).alias("asked"), F.array(
+        F.col("o_totalprice") / 1000, F.col("o_custkey") / 10).alias("x")))
+    found = neighbours.nearest_by_cells(orders.filter("asked"), orders.filter("NOT asked"), "o_orderkey", "x", "o_orderstatus")
+    return rounded(found, 6, "distance")

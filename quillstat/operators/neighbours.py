@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillstat.session import cut_lineage, keep
+
 # Fixed values.
 NEIGHBOURS = 5
 
@@ -64,7 +66,7 @@ def nearest_neighbours(
 
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"q": [], "b": [], "carry": [], "distance": []})
+            return pd.DataFrame({"q": [], "b": [], "carry": [], "distance": []}, dtype=object)  # becomes any type
         b = b.sort_values("b", kind="stable")
         ids, tags = b["b"].to_numpy(), b["carry"].to_numpy()
         points = np.stack(b["v"].to_numpy())
@@ -85,6 +87,111 @@ def nearest_neighbours(
     return best.select(F.col("q").alias(key), F.col("b").alias("neighbour"), F.col("carry").alias(carry), "distance", "rank")
 
 
+MOST_PIVOTS = 1_024
+_SLACK = 1e-9  # relative; a bound must not lose a tie to rounding
+
+
+def nearest_by_cells(
+    queries: DataFrame, base: DataFrame, key: str, vector: str, carry: str, k: int = NEIGHBOURS,
+    block_rows: int = BLOCK_ROWS, pivots: int | None = None, report: dict | None = None,
+) -> DataFrame:
+    """``nearest_neighbours`` without comparing every pair; the same rows. Keys of ``base`` are unique.
+
+    Base rows belong to the nearest of some pivots (rows picked by hash; about the root of the rows, ``MOST_PIVOTS`` at
+    most). A query first meets the nearest cells that hold k rows, which bounds its k-th distance. From then on a cell is
+    skipped if the triangle inequality rules it out: by the cell's radius, and because its rows are nearer to its pivot
+    than to the query's own nearest one. Cells and the queries of a cell are split into blocks, so a task holds two blocks
+    however many rows are alike. ``report`` gets the pairs compared and all pairs.
+    """
+    n = base.count()
+    points = base.select(F.col(key).alias("b"), F.col(vector).cast("array<double>").alias("v"), F.col(carry).alias("carry"))
+    asked = queries.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("x"))
+    wanted = pivots or max(1, min(MOST_PIVOTS, math.isqrt(n)))
+    marks = np.array([r["v"] for r in points.orderBy(F.xxhash64("b"), "b").limit(wanted).collect()])
+    if not len(marks):
+        return nearest_neighbours(queries, base, key, vector, carry, k, block_rows)
+
+    @F.pandas_udf("cell int, away double")
+    def place(v: pd.Series) -> pd.DataFrame:
+        if v.empty:
+            return pd.DataFrame({"cell": np.zeros(0, np.int32), "away": np.zeros(0)})
+        parts = [(d.argmin(axis=1), d.min(axis=1)) for _, d in _distances(np.stack(v.to_numpy()), marks)]
+        return pd.DataFrame({"cell": np.concatenate([c for c, _ in parts]).astype(np.int32), "away": np.concatenate([a for _, a in parts])})
+
+    placed = keep(points.withColumn("p", place("v")).select("b", "v", "p.cell", "p.away"))
+    sizes, radius = np.zeros(len(marks), np.int64), np.zeros(len(marks))
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).collect():  # one row a cell
+        sizes[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+
+    @F.pandas_udf("array<int>")
+    def home(x: pd.Series) -> pd.Series:
+        out = []
+        for _, d in _distances(np.stack(x.to_numpy()) if len(x) else np.zeros((0, marks.shape[1])), marks):
+            order = np.argsort(np.where(sizes > 0, d, np.inf), axis=1, kind="stable")
+            enough = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+            out += [row[:e].tolist() for row, e in zip(order, enough)]
+        return pd.Series(out, dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def others(x: pd.Series, limit: pd.Series, done: pd.Series) -> pd.Series:
+        out, at_most = [], limit.to_numpy()
+        for at, d in _distances(np.stack(x.to_numpy()) if len(x) else np.zeros((0, marks.shape[1])), marks):
+            reach = at_most[at : at + len(d), None]
+            least = np.maximum(d - radius, (d - d.min(axis=1, keepdims=True)) / 2)
+            open_ = (least <= reach + _SLACK * (d + reach)) & (sizes > 0)
+            for row, seen in zip(open_, done.iloc[at : at + len(d)]):
+                row[np.asarray(seen, dtype=int)] = False
+                out.append(np.flatnonzero(row).tolist())
+        return pd.Series(out, dtype=object)
+
+    q_type, b_type = queries.schema[key].dataType.simpleString(), base.schema[key].dataType.simpleString()
+    number = lambda values: F.array(*[F.lit(int(v)) for v in values])
+    base_blocks = np.maximum(1, -(-sizes // block_rows))
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"q": [], "b": [], "distance": []}, dtype=object)
+        b = b.sort_values("b", kind="stable")
+        ids, found = b["b"].to_numpy(), []
+        for at, d in _distances(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy())):
+            pick = np.argsort(d, axis=1, kind="stable")[:, :k]
+            found.append(pd.DataFrame({"q": np.repeat(a["q"].to_numpy()[at : at + len(d)], pick.shape[1]), "b": ids[pick].ravel(),
+                                       "distance": np.take_along_axis(d, pick, 1).ravel()}))
+        return pd.concat(found)
+
+    def met(pairs: DataFrame) -> DataFrame:
+        """The k nearest rows of every block that the cells in (q, x, cell) have."""
+        count = np.zeros(len(marks), np.int64)
+        for r in pairs.groupBy("cell").count().collect():
+            count[r["cell"]] = r["count"]
+        if report is not None:
+            report["pairs"] = report.get("pairs", 0) + int(count @ sizes)
+        parts = np.maximum(1, -(-count // block_rows))
+        left = pairs.withColumn("part", F.pmod(F.xxhash64("q"), number(parts)[F.col("cell")]).cast("int")).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), number(base_blocks)[F.col("cell")] - 1)))
+        right = placed.withColumn("block", F.pmod(F.xxhash64("b"), number(base_blocks)[F.col("cell")]).cast("int")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), number(parts)[F.col("cell")] - 1)))
+        by = ["cell", "block", "part"]
+        return left.groupBy(*by).cogroup(right.select("b", "v", *by).groupBy(*by)).applyInPandas(
+            nearest, f"q {q_type}, b {b_type}, distance double")
+
+    def best(rows: DataFrame) -> DataFrame:
+        order = W.partitionBy("q").orderBy("distance", "b")  # k rows for each block met
+        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    begun = keep(asked.withColumn("done", home("x")))
+    first = cut_lineage(best(met(begun.select("q", "x", F.explode("done").alias("cell")))).drop("rank"))
+    limits = first.groupBy("q").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("limit"))
+    more = keep(begun.join(limits, "q").withColumn("cell", F.explode(others("x", "limit", "done"))).select("q", "x", "cell"))
+    out = cut_lineage(best(first.unionByName(met(more))))
+    for table in (placed, begun, more):
+        table.unpersist()
+    if report is not None:
+        report["all_pairs"] = n * asked.count()
+    return out.join(points.select("b", "carry"), "b").select(
+        F.col("q").alias(key), F.col("b").alias("neighbour"), F.col("carry").alias(carry), "distance", "rank")
+
+
 def neighbour_votes(found: DataFrame, key: str, label: str) -> DataFrame:
     """Weight and share per (key, label): 1/distance, or only the exact matches if any."""
     exact = F.max((F.col("distance") == 0).cast("int")).over(W.partitionBy(key))  # k rows
@@ -98,7 +205,7 @@ def knn_predict(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, pred, confidence): the label with the largest share, first in order on a tie."""
-    votes = neighbour_votes(nearest_neighbours(queries, base, key, vector, label, k, block_rows), key, label)
+    votes = neighbour_votes(nearest_by_cells(queries, base, key, vector, label, k, block_rows), key, label)
     best = F.min_by(F.col(label), F.struct(-F.round("share", 12), F.col(label)))
     return votes.groupBy(key).agg(best.alias("pred"), F.max("share").alias("confidence"))
 

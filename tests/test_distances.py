@@ -143,3 +143,25 @@ def test_row_clusters_cover_every_row(spark):
 def test_agreement_of_unrelated_single_label(spark):
     df = spark.createDataFrame([("a", "x")] * 5, "p string, q string")
     assert tuple(structure.agreement(df, "p", "q").first()) == (1.0, 1.0)
+
+
+def test_cells_give_the_same_neighbours_with_fewer_pairs(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(15, 3)) * 20
+    x = np.vstack([centres[rng.integers(0, 15, 1500)] + rng.normal(size=(1500, 3)), np.tile(centres[:1], (700, 1))])  # a third alike
+    df = spark.createDataFrame([(i, [float(a) for a in v], f"c{i % 3}") for i, v in enumerate(x)], "id long, x array<double>, tag string").cache()
+    asked, base = df.filter("id % 10 = 0"), df.filter("id % 10 != 0")
+    report = {}
+    found = neighbours.nearest_by_cells(asked, base, "id", "x", "tag", 4, 150, report=report).collect()
+    points, names = x[np.arange(len(x)) % 10 != 0], np.flatnonzero(np.arange(len(x)) % 10 != 0)
+    got = {}
+    for r in sorted(found, key=lambda r: (r.id, r.rank)):
+        assert r.tag == f"c{r.neighbour % 3}"
+        got.setdefault(r.id, []).append(r.neighbour)
+    for i, mine in got.items():
+        d = np.sqrt(((points - x[i]) ** 2).sum(axis=1))
+        assert mine == names[np.lexsort((names, d))[:4]].tolist()
+    assert len(got) == 220 and report["pairs"] < report["all_pairs"] / 4
+    assert neighbours.nearest_by_cells(asked, base.limit(0), "id", "x", "tag").count() == 0
+    assert neighbours.nearest_by_cells(asked.limit(0), base, "id", "x", "tag").count() == 0
+    assert neighbours.nearest_by_cells(asked, base.limit(2), "id", "x", "tag").count() == 440
