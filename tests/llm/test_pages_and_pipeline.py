@@ -144,7 +144,7 @@ def test_pipeline_keeps_clean_rows_and_their_columns(spark, tmp_path):
 def test_queries_match_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     cursor = con.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
