@@ -9,7 +9,7 @@ from quillstat.catalog.fixtures import (
     tall_split, wide, long_sql,
 )
 from quillstat.catalog.registry import REGISTRY, query
-from quillstat.operators import prep, sampling, screening
+from quillstat.operators import moments, prep, sampling, screening
 from quillstat.sources.tables import read_table
 
 
@@ -83,7 +83,7 @@ SELECT feature, round(f, 6) AS anova_f_score, round((1 + 2 * f / (n - k)) ** (-(
        rank() OVER (ORDER BY f DESC) AS anova_rank FROM f""")
 def anova_feature_ranking(spark, sf):
     train = prepared(spark, sf).filter("split = 'train'")
-    scores = screening.anova_scores(prep.to_long(train, [FLAG], FEATURES), FLAG)
+    scores = screening.anova_of(moments.feature_moments(train, [FLAG], FEATURES), FLAG)
     return rounded(scores.select("feature", "anova_f_score", "anova_p_value", "anova_rank"), 6, "anova_f_score").withColumn(
         "anova_p_value", F.round("anova_p_value", 8))
 

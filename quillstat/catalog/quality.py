@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillstat.catalog.fixtures import (
-    CLASSES, DISPLAY, FEATURES, FLAG, IMPUTED, KEYS, PREPARED, TALL, TALL_SPLIT, WIDE_LONG, prepared, rounded, tall,
-    tall_split, wide_long, long_sql,
+    CLASSES, DIMS, DISPLAY, FEATURES, FLAG, IMPUTED, KEYS, PREPARED, TALL, TALL_SPLIT, WIDE_LONG, prepared, rounded, tall,
+    tall_split, wide_columns, long_sql,
 )
 from quillstat.catalog.registry import query
 from quillstat.functions.scalars import clean_text, finite_or, joined_label, label_map, with_size_guides
@@ -105,7 +105,7 @@ c AS (SELECT feature, label, avg(value) AS m FROM wl GROUP BY 1, 2),
 g AS (SELECT feature, avg(value) AS m FROM wl GROUP BY 1)
 SELECT c.feature, round(max(abs(c.m - g.m)), 8) AS class_mean_contrast FROM c JOIN g ON c.feature = g.feature GROUP BY 1""")
 def class_mean_contrast(spark, sf):
-    return rounded(summaries.class_mean_contrast(wide_long(spark, sf), "label"), 8, "class_mean_contrast")
+    return rounded(summaries.class_mean_contrast(wide_columns(spark, sf), "label", DIMS), 8, "class_mean_contrast")
 
 
 @query("""

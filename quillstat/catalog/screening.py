@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillstat.catalog.fixtures import (
-    FEATURES, FLAG, SIX, SIX_SQL, WIDE_LONG, rounded, six, wide_long, long_sql,
+    DIMS, FEATURES, FLAG, KEYS, PREPARED, SIX, SIX_SQL, WIDE_LONG, prepared, rounded, six, wide_columns, wide_long, long_sql,
 )
 from quillstat.catalog.registry import REGISTRY, query
-from quillstat.operators import screening
+from quillstat.operators import sampling, screening
+from quillstat.operators.moments import feature_moments, training_moments
 from quillstat.operators.prep import to_long
 from quillstat.session import keep
 
@@ -66,7 +67,7 @@ _WIDE_LABEL = WIDE_LONG + ", wy AS (SELECT feature, label AS y, value FROM wl)"
 @query(f"""WITH {_WIDE_LABEL}, {_anova_sql("wy", "f")}
 SELECT feature, round(anova_f_score, 6) AS anova_f_score, rank() OVER (ORDER BY anova_f_score DESC) AS anova_rank FROM f""")
 def anova_scores_wide(spark, sf):
-    out = screening.anova_scores(wide_long(spark, sf), "label")
+    out = screening.anova_of(feature_moments(wide_columns(spark, sf), ["label"], DIMS), "label")
     return rounded(out.select("feature", "anova_f_score", "anova_rank"), 6, "anova_f_score")
 
 
@@ -148,7 +149,7 @@ def _sql_scores(spark, sf):
     long = keep(wide_long(spark, sf))
     anova = screening.anova_scores(long, "label").withColumn("anova_f_score", F.round("anova_f_score", 9))
     anova = anova.withColumn("anova_rank", screening.competition_rank(F.col("anova_f_score")))
-    mi = screening.class_mean_contrast(long, "label").select(
+    mi = screening.class_mean_contrast(wide_columns(spark, sf), "label", DIMS).select(
         "feature", F.round("class_mean_contrast", 9).alias("mutual_information"))
     mi = mi.withColumn("mi_rank", screening.competition_rank(F.col("mutual_information")))
     spread = long.groupBy("feature").agg(F.round(-F.stddev_pop("value"), 9).alias("univariate_logistic_neg_log_loss"))
@@ -221,3 +222,70 @@ def mutual_information_small_bins(spark, sf):
     """Many value ranges per feature, as for a large table."""
     out = screening.mutual_information(_six_long(spark, sf), FLAG, rows_per_bin=2000)
     return rounded(out, 6, "mutual_information")
+
+
+# Moments and screening inside folds, on the prepared lineitem features.
+_FOLDS = 3
+_FOLD_LONG = PREPARED + f""",
+fr AS (SELECT *, row_number() OVER (PARTITION BY {FLAG} ORDER BY md5(concat_ws('|', '42', {", ".join(KEYS)}))) AS rn,
+              count(*) OVER (PARTITION BY {FLAG}) AS nc FROM tp WHERE split = 'train'),
+ff AS (SELECT *, CAST(rn > 1 * nc // 3 AS INTEGER) + CAST(rn > 2 * nc // 3 AS INTEGER) AS fold FROM fr),
+{long_sql("ff", "fl", FEATURES, f"fold, {FLAG} AS y")},
+ho AS (SELECT CAST(h AS INTEGER) AS held_out, fl.y, fl.feature, fl.value
+       FROM fl JOIN (SELECT unnest(range(0, {_FOLDS})) AS h) ON fl.fold <> h)"""
+_HELD_KEYED = _FOLD_LONG + ", hk AS (SELECT held_out || ':' || feature AS feature, y, value FROM ho)"
+
+
+def _folded(spark, sf):
+    train = prepared(spark, sf).filter("split = 'train'")
+    return keep(sampling.with_folds(train, FLAG, KEYS, _FOLDS).select("fold", FLAG, *FEATURES))
+
+
+@query(f"""WITH {_FOLD_LONG}
+SELECT fold, y AS l_returnflag, feature, count(value) AS n, round(avg(value), 7) AS mean, round(var_pop(value) * count(value), 4) AS m2
+FROM fl GROUP BY 1, 2, 3""")
+def moments_by_fold(spark, sf):
+    out = feature_moments(_folded(spark, sf), ["fold", FLAG], FEATURES)
+    return rounded(rounded(out, 7, "mean"), 4, "m2")
+
+
+@query(f"""WITH {_FOLD_LONG}
+SELECT held_out, y AS l_returnflag, feature, count(value) AS n, round(avg(value), 7) AS mean,
+       round(var_pop(value) * count(value), 4) AS m2
+FROM ho GROUP BY 1, 2, 3""")
+def training_moments_by_fold(spark, sf):
+    """Merged from the moments of the folds; the SQL reads the rows again."""
+    out = training_moments(feature_moments(_folded(spark, sf), ["fold", FLAG], FEATURES), _FOLDS, [FLAG])
+    return rounded(rounded(out, 7, "mean"), 4, "m2")
+
+
+@query(f"""WITH {_HELD_KEYED}, {_anova_sql("hk", "f")}
+SELECT CAST(split_part(feature, ':', 1) AS INTEGER) AS held_out, split_part(feature, ':', 2) AS feature,
+       round(anova_f_score, 6) AS anova_f_score,
+       rank() OVER (PARTITION BY split_part(feature, ':', 1) ORDER BY anova_f_score DESC) AS anova_rank FROM f""")
+def anova_by_fold(spark, sf):
+    moments = training_moments(feature_moments(_folded(spark, sf), ["fold", FLAG], FEATURES), _FOLDS, [FLAG])
+    out = screening.anova_of(moments, FLAG, ["held_out"])
+    return rounded(out.select("held_out", "feature", "anova_f_score", "anova_rank"), 6, "anova_f_score")
+
+
+@query(f"""WITH {_HELD_KEYED}, {_anova_sql("hk", "f")}, {_mi_sql("hk", "mi")},
+c AS (SELECT feature, y, avg(value) AS m FROM hk GROUP BY 1, 2), g AS (SELECT feature, avg(value) AS m FROM hk GROUP BY 1),
+x AS (SELECT c.feature, max(abs(c.m - g.m)) AS contrast FROM c JOIN g ON c.feature = g.feature GROUP BY 1),
+j AS (SELECT split_part(f.feature, ':', 1) AS h, split_part(f.feature, ':', 2) AS feature,
+             anova_f_score AS a, mutual_information AS b, contrast AS c
+      FROM f JOIN mi ON f.feature = mi.feature JOIN x ON f.feature = x.feature),
+k AS (SELECT *,
+        rank() OVER (PARTITION BY h ORDER BY a DESC) + (count(*) OVER (PARTITION BY h, a) - 1) / 2.0 AS ra,
+        rank() OVER (PARTITION BY h ORDER BY b DESC) + (count(*) OVER (PARTITION BY h, b) - 1) / 2.0 AS rb,
+        rank() OVER (PARTITION BY h ORDER BY c DESC) + (count(*) OVER (PARTITION BY h, c) - 1) / 2.0 AS rc FROM j),
+o AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY (ra + rb + rc) / 3.0, feature) AS position FROM k)
+SELECT CAST(h AS INTEGER) AS held_out, feature, round(a, 6) AS anova_f_score, round(b, 6) AS mutual_information,
+       round(c, 6) AS class_mean_contrast, round((ra + rb + rc) / 3.0, 8) AS combined_rank, position
+FROM o WHERE position <= 3""")
+def screening_inside_folds(spark, sf):
+    """The three best features of every fold's training rows."""
+    out = screening.wide_screening_by_fold(_folded(spark, sf), FLAG, FEATURES, _FOLDS, limit=3)
+    out = rounded(out, 6, "anova_f_score", "mutual_information", "class_mean_contrast")
+    return rounded(out, 8, "combined_rank").select(
+        "held_out", "feature", "anova_f_score", "mutual_information", "class_mean_contrast", "combined_rank", "position")

@@ -7,7 +7,7 @@ sum of losses; the estimators here minimise the mean loss, so regParam is 1/(C n
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -237,6 +237,7 @@ class Candidate:
 
     params: dict
     build: Callable[[int], Estimator]
+    in_fold: Callable[[int, int], Estimator] | None = None  # (training size, fold), where folds differ
 
 
 @dataclass
@@ -248,6 +249,11 @@ class Search:
     best_score: float = float("nan")
     model: Model | None = None
 
+    def active_in_fold(self, fold: int) -> list[int]:
+        """Positions of the features that the best grid point of ``penalty_search`` uses when ``fold`` is left out."""
+        params = json.dumps(self.best.params)
+        return next(r["used"] for r in self.rows if (r["params"], r["fold"]) == (params, fold))
+
     def folds(self, spark, model: str) -> DataFrame:
         """(model, params, fold, train_score, test_score)."""
         table = [(model, r["params"], r["fold"], r["train"], r["test"]) for r in self.rows]
@@ -279,7 +285,9 @@ def search(
     def run(task: tuple[int, int]) -> dict:
         at, fold = task
         candidate = candidates[at]
-        model = candidate.build(total - sizes.get(fold, 0)).fit(table.filter(F.col("fold") != fold))
+        n = total - sizes.get(fold, 0)
+        estimator = candidate.build(n) if candidate.in_fold is None else candidate.in_fold(n, fold)
+        model = estimator.fit(table.filter(F.col("fold") != fold))
         held = F.col("fold") == fold
         cells = model.transform(table).groupBy(held.alias("held"), "label", "prediction").count().collect()
         score = lambda side: macro_f1((r[1], r[2], r[3]) for r in cells if r[0] == side)
@@ -298,13 +306,18 @@ def search(
 
 
 def penalty_search(
-    table: DataFrame, candidates: Sequence[Candidate], folds: int, classes: int, weighted: bool = False, refit: bool = True
+    table: DataFrame, candidates: Sequence[Candidate], folds: int, classes: int, weighted: bool = False, refit: bool = True,
+    allowed: Mapping[int, Sequence[int]] | None = None, refit_table: DataFrame | None = None,
 ) -> Search:
     """``search`` for grids of penalties (``lasso_grid``, ``elastic_net_grid``): all grid points and folds are fitted
-    together by ``paths.PathSolver``, a pass over the rows per step, and one more pass counts all predictions."""
+    together by ``paths.PathSolver``, a pass over the rows per step, and one more pass counts all predictions.
+
+    ``allowed`` names the features (positions in ``table``) that screening inside each fold has kept. The best point
+    is refitted on ``refit_table`` (default ``table``), which may hold other features.
+    """
     points = [Point(c.params["C"], 1.0 if c.params["l1_ratio"] is None else c.params["l1_ratio"], fold)
               for c in candidates for fold in range(folds)]
-    solver = PathSolver(table, classes, points, weighted)
+    solver = PathSolver(table, classes, points, weighted, allowed=allowed)
     fits = solver.solve()
     counts = solver.confusion(fits)
     solver.close()
@@ -315,12 +328,14 @@ def penalty_search(
         out.rows.append({
             "at": i // folds, "params": json.dumps(params), **params, "fold": point.fold, "train": macro_f1(cells(counts[i, 0])),
             "test": macro_f1(cells(counts[i, 1])), "active": int((fits.coefficients[i] != 0).sum()),
+            "used": np.flatnonzero((np.abs(fits.coefficients[i]) > NEAR_ZERO).any(axis=0)).tolist(),
             "passes": int(fits.passes[i]), "gap": float(fits.gaps[i]), "converged": bool(fits.converged[i])})
     means = [float(np.mean([r["test"] for r in out.rows if r["at"] == at])) for at in range(len(candidates))]
     first = int(np.argmax(means))
     out.best, out.best_score = candidates[first], means[first]
     if refit:
-        out.model = out.best.build(table.filter("label IS NOT NULL").count()).fit(table)
+        final = table if refit_table is None else refit_table
+        out.model = out.best.build(final.filter("label IS NOT NULL").count()).fit(final)
     return out
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quillstat.functions.scalars import clean_text, first_names
 from quillstat.functions.skew import excess_rows
+from quillstat.operators.moments import feature_moments
 
 EXPECTED_BASE_WIDTH = 65
 EXPECTED_EXPANDED_WIDTH = 2210
@@ -271,12 +272,11 @@ def dataset_facts(df: DataFrame, split: str, y: str, n_features: int, n_selected
 
 def standardisation_report(df: DataFrame, split: str, features: Sequence[str], zero: float = 1e-12) -> DataFrame:
     """How close each split is to mean 0 and population std 1."""
-    per = df.unpivot([split], list(features), "feature", "value").groupBy(split, "feature").agg(
-        F.avg("value").alias("m"), F.stddev_pop("value").alias("s")
-    )
+    m, s = F.col("mean"), F.col("s")
+    per = feature_moments(df, [split], features).withColumn("s", F.sqrt(F.try_divide("m2", "n")))
     return per.groupBy(split).agg(
-        F.max(F.abs("m")).alias("max_abs_feature_mean"), F.avg(F.abs("m")).alias("mean_abs_feature_mean"),
-        F.min("s").alias("min_feature_std"), F.max("s").alias("max_feature_std"),
-        F.avg("s").alias("mean_feature_std"),
-        F.count(F.when(F.abs("s") <= zero, 1)).alias("n_zero_variance_features"),
+        F.max(F.abs(m)).alias("max_abs_feature_mean"), F.avg(F.abs(m)).alias("mean_abs_feature_mean"),
+        F.min(s).alias("min_feature_std"), F.max(s).alias("max_feature_std"),
+        F.avg(s).alias("mean_feature_std"),
+        F.count(F.when(F.abs(s) <= zero, 1)).alias("n_zero_variance_features"),
     )

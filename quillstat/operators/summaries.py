@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillstat.operators.moments import feature_moments
+
 
 def class_distribution(df: DataFrame, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Count and percent of total per class (and per slice)."""
@@ -71,9 +73,14 @@ def histogram(
     return x.groupBy(*keys, slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_mean_contrast(long: DataFrame, y: str, feature: str = "feature", value: str = "value") -> DataFrame:
-    """Per feature, the largest gap between a class mean and the overall mean."""
-    per = long.groupBy(feature, y).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
-    over = W.partitionBy(feature)  # one row per class
-    gap = F.abs(F.col("s") / F.col("n") - F.sum("s").over(over) / F.sum("n").over(over))
-    return per.select(feature, gap.alias("g")).groupBy(feature).agg(F.max("g").alias("class_mean_contrast"))
+def contrast_of(moments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per feature (in each group of ``by``), the largest gap between a class mean and the overall mean, from moments per class."""
+    over = W.partitionBy(*by, "feature")  # one row per class
+    weighted = F.when(F.col("n") > 0, F.col("n") * F.col("mean"))
+    gap = F.abs(F.col("mean") - F.try_divide(F.sum(weighted).over(over), F.sum("n").over(over)))
+    return moments.select(*by, "feature", gap.alias("g")).groupBy(*by, "feature").agg(F.max("g").alias("class_mean_contrast"))
+
+
+def class_mean_contrast(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
+    """``contrast_of`` for wide rows, which are not unpivoted."""
+    return contrast_of(feature_moments(df, [y], features))

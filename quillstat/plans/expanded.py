@@ -14,6 +14,7 @@ from quillstat.operators import evaluation as ev
 from quillstat.operators import models as mo
 from quillstat.operators import prep, quality, sampling, screening, sparsity
 from quillstat.plans.preparation import Prepared
+from quillstat.plans.supervised import pooled
 from quillstat.plans.tables import Tables
 from quillstat.session import keep
 
@@ -23,7 +24,8 @@ def expanded_chain(
     c_grid: Sequence[float] = mo.WIDE_C_GRID, ratios: Sequence[float] = mo.WIDE_L1_RATIOS, width: int | None = None,
     parallelism: int = 4,
 ) -> tuple[Tables, dict]:
-    """``prepared`` comes from ``prepare(..., expand=True)``; ``width`` enforces its size."""
+    """``prepared`` comes from ``prepare(..., expand=True)``; ``width`` enforces its size. Every fold is screened on
+    its own training rows, so cross-validated scores come from rows that chose none of the features."""
     spark = prepared.data.sparkSession
     if width is not None:
         quality.check_width(prepared.features, width, strict=True)
@@ -36,13 +38,18 @@ def expanded_chain(
     chosen = keep(screening.wide_screening(long, y, limit))
     names = [r["feature"] for r in chosen.orderBy("position").select("feature").collect()]
     folded = sampling.with_folds(prepared.data, y, [key], folds, only=F.col("split") == "train")
+    folded_train = folded.filter("split = 'train'")
+    selected_by_fold = keep(screening.wide_screening_by_fold(folded_train, y, prepared.features, folds, limit))
+    pool, allowed = pooled(names, screening.features_by_fold(selected_by_fold))
     shape = lambda cols: keep(mo.with_balance(
         mo.model_table(folded, y, list(cols), labels, [key, "split", "fold"]), weights))
     full, slim = shape(prepared.features), shape(names)
+    wide = slim if pool == names else shape(pool)
     train_of = lambda t: t.filter("split = 'train'")
     ridge = mo.logistic(n, mo.RIDGE_C, weighted=True, tol=1e-6).fit(train_of(full))
-    lasso = mo.penalty_search(train_of(slim), mo.lasso_grid(c_grid, weighted=True), folds, len(labels.names), True)
-    net = mo.penalty_search(train_of(slim), mo.elastic_net_grid(c_grid, ratios, weighted=True), folds, len(labels.names), True)
+    lasso, net = (
+        mo.penalty_search(train_of(wide), grid, folds, len(labels.names), True, allowed=allowed, refit_table=train_of(slim))
+        for grid in (mo.lasso_grid(c_grid, weighted=True), mo.elastic_net_grid(c_grid, ratios, weighted=True)))
     coefs = keep(
         mo.coefficients(lasso.model, spark, "lasso", names, labels)
         .unionByName(mo.coefficients(net.model, spark, "elastic_net", names, labels)))
@@ -67,7 +74,7 @@ def expanded_chain(
         "high_correlation_pairs": co.high_pairs(pairs, co.WIDE_HIGH_PAIR),
         "vif_status": with_size_guides(sizes, "n_observations_train", "n_features_before_screening").withColumn(
             "vif_status", co.vif_status(F.col("n_observations_train"), F.col("n_features_before_screening"))),
-        "selected_features": chosen, "cv_rows": lasso.path_rows(spark, "lasso").unionByName(net.path_rows(spark, "elastic_net")),
+        "selected_features": chosen, "selected_by_fold": selected_by_fold, "cv_rows": lasso.path_rows(spark, "lasso").unionByName(net.path_rows(spark, "elastic_net")),
         "coefficients": coefs, "sparsity": sparsity.wide_summary(coefs),
         "sparsity_by_class": sparsity.by_class(coefs),
         "selection_counts": sparsity.selection_counts(sparsity.selection_table(coefs, "lasso", "elastic_net")),

@@ -51,6 +51,13 @@ def _modelling_table(prepared: Prepared, key: str, y: str, names: Sequence[str],
     return keep(mo.model_table(both, y, list(names), labels, [key, "split", "fold"]))
 
 
+def pooled(names: Sequence[str], by_fold: dict[int, list[str]]) -> tuple[list[str], dict[int, list[int]]]:
+    """All features that the whole training table or any fold has selected, and each fold's positions among them."""
+    pool = list(dict.fromkeys([*names, *(f for chosen in by_fold.values() for f in chosen)]))
+    place = {f: i for i, f in enumerate(pool)}
+    return pool, {fold: [place[f] for f in chosen] for fold, chosen in by_fold.items()}
+
+
 def supervised(
     prepared: Prepared, key: str, y: str, folds: int = mo.FOLDS, c_grid: Sequence[float] = mo.C_GRID,
     ratios: Sequence[float] = mo.L1_RATIOS, choose_on: str = "cv", parallelism: int = 4,
@@ -59,6 +66,10 @@ def supervised(
 
     ``choose_on="cv"`` picks the final model by cross-validated macro F1; "test" picks
     by test scores. The winner itself is returned, whichever model it is.
+
+    Cross-validated scores of the selected models come from rows that chose none of their features: every fold is
+    screened on its own training rows, and its post-selection model uses what the penalised fits of that fold keep.
+    Only the penalty is chosen by the mean over all folds.
     """
     spark = prepared.data.sparkSession
     train_rows = keep(prepared.data.filter("split = 'train'"))
@@ -66,27 +77,35 @@ def supervised(
     tables = collinearity_tables(train_rows, prepared.features)
     screened, names = screening_tables(train_rows, y, prepared.features)
     tables |= screened
+    folded = keep(sampling.with_folds(train_rows, y, [key], folds))
+    screened_by_fold = keep(screening.screening_by_fold(folded, y, prepared.features, folds))
+    pool, allowed = pooled(names, screening.features_by_fold(screened_by_fold))
     full = _modelling_table(prepared, key, y, prepared.features, labels, folds)
     slim = _modelling_table(prepared, key, y, names, labels, folds)
+    wide = slim if pool == names else _modelling_table(prepared, key, y, pool, labels, folds)
     n = train_rows.count()
     train_of = lambda t: t.filter("split = 'train'")
     baseline, kind = mo.fit_baseline(train_of(full), n)
     cv = mo.cross_validate(train_of(full), lambda m: mo.logistic(m, None), labels, folds)
-    lasso = mo.penalty_search(train_of(slim), mo.lasso_grid(c_grid), folds, len(labels.names))
-    net = mo.penalty_search(train_of(slim), mo.elastic_net_grid(c_grid, ratios), folds, len(labels.names))
+    lasso, net = (
+        mo.penalty_search(train_of(wide), grid, folds, len(labels.names), allowed=allowed, refit_table=train_of(slim))
+        for grid in (mo.lasso_grid(c_grid), mo.elastic_net_grid(c_grid, ratios)))
     coefs = keep(
         mo.coefficients(lasso.model, spark, "LASSO", names, labels)
         .unionByName(mo.coefficients(net.model, spark, "Elastic Net", names, labels)))
     order = spark.createDataFrame([(f, i) for i, f in enumerate(names)], "feature string, position int")
     active = [r["feature"] for r in sparsity.selected_union(coefs, order).orderBy("position").collect()]
-    post_build = lambda m: mo.Pipeline(stages=[
-        mo.selected_columns(names, active), mo.logistic(m, 1.0).setFeaturesCol("selected")])
-    post = mo.search(train_of(slim), [mo.Candidate({"C": 1.0}, post_build)], folds, parallelism)
+    post_of = lambda m, chosen: mo.Pipeline(stages=[
+        mo.selected_columns(pool, chosen), mo.logistic(m, 1.0).setFeaturesCol("selected")])
+    kept = {f: [pool[i] for i in sorted({*lasso.active_in_fold(f), *net.active_in_fold(f)})] or [pool[i] for i in allowed[f]]
+            for f in allowed}
+    candidate = mo.Candidate({"C": 1.0}, lambda m: post_of(m, active or names), lambda m, f: post_of(m, kept[f]))
+    post = mo.search(train_of(wide), [candidate], folds, parallelism)
     fitted = {
         "Baseline multinomial": (baseline, full, len(prepared.features), kind),
         "LASSO": (lasso.model, slim, len(names), "regularized"),
         "Elastic Net": (net.model, slim, len(names), "regularized"),
-        "Post-selection Logistic": (post.model, slim, len(active), "post_selection"),
+        "Post-selection Logistic": (post.model, wide, len(active), "post_selection"),
     }
     parts = [
         mo.predictions(model, table, labels, [key, "split"]).select(
@@ -109,7 +128,10 @@ def supervised(
         winner = ev.choose_model(table)
     name = winner.first()["model"]
     tables |= {
-        "baseline_cv": cv, "baseline_cv_summary": mo.fold_summary(cv),
+        "selected_by_fold": screened_by_fold,
+        "post_selection_by_fold": spark.createDataFrame(
+            [(f, i, name) for f, chosen in kept.items() for i, name in enumerate(chosen)], "held_out int, position int, feature string"),
+        "post_selection_cv": post.folds(spark, "Post-selection Logistic"), "baseline_cv": cv, "baseline_cv_summary": mo.fold_summary(cv),
         "cv_scores": mo.score_table(lasso.folds(spark, "LASSO").unionByName(net.folds(spark, "Elastic Net"))),
         "cv_rows": lasso.path_rows(spark, "LASSO").unionByName(net.path_rows(spark, "Elastic Net")),
         "coefficients": coefs, "sparsity_by_model": sparsity.by_model(coefs), "sparsity_by_class": sparsity.by_class(coefs),
