@@ -12,7 +12,7 @@ what it has when it holds many hosts; partial wrappers are merged in two steps,
 a third of all pages never meets in one task. They are broadcast if their measured size is at
 most ``BROADCAST_BYTES``, and joined by host beyond that.
 
-Defined cases: null html is empty and gives an empty text; a null or odd url has host "" and
+Defined cases: markup may nest to any depth; null html is empty and gives an empty text; a null or odd url has host "" and
 its pages share one wrapper; cut-off and unbalanced markup is read as far as it goes; pages
 that repeat count once as evidence and give repeated rows; an empty table gives an empty
 result; other columns play no part.
@@ -20,7 +20,6 @@ result; other columns play no part.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.llm.common import cut, small_batches, text_or_empty
-from quillstat.llm.page_trees import EVIDENCE, GROUP_LENGTHS, as_wrapper, merge, page_mark, page_tree
+from quillstat.llm.page_trees import EVIDENCE, GROUP_LENGTHS, as_wrapper, from_json, merge, page_mark, page_tree, to_json
 
 HOSTS_HELD = 500
 PARTS = 64
@@ -98,15 +97,20 @@ def _is_furniture(label: str, in_article: bool) -> bool:
     return name not in ("main", "body", "html", "") and _called(label, OUTER_WORDS)
 
 
-def _length(node: list) -> tuple[int, int]:
-    """(characters, characters in links) of a subtree."""
-    if node[0] == "#text":
-        return len(node[3]), min(node[4][0], len(node[3]))
-    total = linked = 0
-    for kid in node[5]:
-        n, k = _length(kid)
-        total, linked = total + n, linked + k
-    return total, linked
+def _lengths(tree: list) -> dict[int, tuple[int, int]]:
+    """(characters, characters in links) of every subtree, by its id."""
+    order, stack = [], [tree]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += node[5]
+    sizes: dict[int, tuple[int, int]] = {}
+    for node in reversed(order):
+        if node[0] == "#text":
+            sizes[id(node)] = len(node[3]), min(node[4][0], len(node[3]))
+        else:
+            sizes[id(node)] = sum(sizes[id(k)][0] for k in node[5]), sum(sizes[id(k)][1] for k in node[5])
+    return sizes
 
 
 def _roots(tree: list) -> tuple[list[list], set[int]]:
@@ -116,31 +120,35 @@ def _roots(tree: list) -> tuple[list[list], set[int]]:
     Those inside page furniture count only where there are none outside of it.
     """
     found: dict[tuple[bool, str], list[list]] = {}
-    around: dict[int, list[int]] = {}
-
-    def walk(node: list, hidden: bool, above: list[int], inside: frozenset) -> None:
-        for kid in node[5]:
-            name = kid[0].split(" ", 1)[0]
-            within = hidden or _is_furniture(kid[0], False)
-            around[id(kid)] = above
-            if name == "article":
-                if not _is_furniture(kid[0], False):
-                    found.setdefault((within, "article"), []).append(kid)
-                continue
-            kinds = inside
-            if name == "main" or _called(kid[0], frozenset(("main",))):
-                kinds |= {(within, "main")}
-            if name in ("main", "div", "section", "td") and _named(kid[0], CONTENT_WORDS) or _named(kid[0], frozenset(("main",))):
-                kinds |= {(within, "named")}
-            for kind in kinds - inside:
-                found.setdefault(kind, []).append(kid)
-            walk(kid, within, [*above, id(kid)], kinds)
-
-    walk(tree, False, [], frozenset())
+    parent: dict[int, int] = {}
+    stack = [(kid, False, frozenset(), id(tree)) for kid in reversed(tree[5])]
+    while stack:
+        kid, hidden, inside, above = stack.pop()
+        name = kid[0].split(" ", 1)[0]
+        within = hidden or _is_furniture(kid[0], False)
+        parent[id(kid)] = above
+        if name == "article":
+            if not _is_furniture(kid[0], False):
+                found.setdefault((within, "article"), []).append(kid)
+            continue
+        kinds = inside
+        if name == "main" or _called(kid[0], frozenset(("main",))):
+            kinds |= {(within, "main")}
+        if name in ("main", "div", "section", "td") and _named(kid[0], CONTENT_WORDS) or _named(kid[0], frozenset(("main",))):
+            kinds |= {(within, "named")}
+        for kind in kinds - inside:
+            found.setdefault(kind, []).append(kid)
+        stack += [(k, within, kinds, id(kid)) for k in reversed(kid[5])]
+
     for hidden, kind in ((False, "article"), (False, "main"), (False, "named"), (True, "article"), (True, "main")):
         if (hidden, kind) in found:
-            roots = found[hidden, kind]
-            return roots, {k for r in roots for k in around[id(r)]}
+            outer: set[int] = set()
+            for root in found[hidden, kind]:
+                above = parent[id(root)]
+                while above in parent and above not in outer:
+                    outer.add(above)
+                    above = parent[above]
+            return found[hidden, kind], outer
     return [tree], set()
 
 
@@ -259,7 +267,13 @@ def _elements(run: tuple) -> list[list]:
 
 
 def _varies(wrapper: list) -> bool:
-    return (wrapper[0] == "#text" and wrapper[3] is None) or any(_varies(k) for k in wrapper[5])
+    stack = [wrapper]
+    while stack:
+        node = stack.pop()
+        if node[0] == "#text" and node[3] is None:
+            return True
+        stack += node[5]
+    return False
 
 
 def _repeated(text: str, node: list | None) -> bool:
@@ -272,29 +286,32 @@ def main_text(page: str, wrapper: list | None) -> str:
     held, outer = _roots(tree)
     roots = {id(r) for r in held}
     shared = wrapper if wrapper is not None and _varies(wrapper) else None
+    lengths: dict[int, tuple[int, int]] = {}
     blocks: list[str] = []
-
-    def walk(node: list, beside: list | None, inside: bool, title_only: bool) -> None:
-        placed = _placed(node[5], beside)
-        for kid in node[5]:
-            label = kid[0]
-            name = label.split(" ", 1)[0]
-            own = placed.get(id(kid))
-            within = inside or id(kid) in roots
-            if label == "#text":
-                if inside and not title_only and not (shared is not None and _repeated(kid[3], own)):
-                    blocks.append(kid[3])
-                continue
-            if id(kid) not in outer and id(kid) not in roots and _is_furniture(label, within):
+    stack = [(iter(tree[5]), _placed(tree[5], wrapper), id(tree) in roots, False)]
+    while stack:
+        kids, placed, inside, title_only = stack[-1]
+        kid = next(kids, None)
+        if kid is None:
+            stack.pop()
+            continue
+        label = kid[0]
+        name = label.split(" ", 1)[0]
+        own = placed.get(id(kid))
+        within = inside or id(kid) in roots
+        if label == "#text":
+            if inside and not title_only and not (shared is not None and _repeated(kid[3], own)):
+                blocks.append(kid[3])
+            continue
+        if id(kid) not in outer and id(kid) not in roots and _is_furniture(label, within):
+            continue
+        if within and name in ("ul", "ol"):
+            lengths = lengths or _lengths(tree)
+            total, linked = lengths[id(kid)]
+            if total and linked >= LINK_SHARE * total and len(kid[5]) > 1:
                 continue
-            if within and name in ("ul", "ol"):
-                total, linked = _length(kid)
-                if total and linked >= LINK_SHARE * total and len(kid[5]) > 1:
-                    continue
-            only = title_only and name not in HEADINGS or within and name == "header"
-            walk(kid, own, within, only)
-
-    walk(tree, wrapper, id(tree) in roots, False)
+        only = title_only and name not in HEADINGS or within and name == "header"
+        stack.append((iter(kid[5]), _placed(kid[5], own), within, only))
     return "\n".join(blocks)
 
 
@@ -324,8 +341,8 @@ def host_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     def combine(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         whole = None
         for body in sorted(rows["wrapper"]):
-            whole = json.loads(body) if whole is None else merge(whole, json.loads(body))
-        return pd.DataFrame({"host": [keys[0]], "wrapper": [json.dumps(whole, ensure_ascii=False)]})
+            whole = from_json(body) if whole is None else merge(whole, from_json(body))
+        return pd.DataFrame({"host": [keys[0]], "wrapper": [to_json(whole)]})
 
     schema = "host string, wrapper string"
     parts = _by_host(pages, url, html).mapInPandas(infer, schema)
@@ -334,7 +351,7 @@ def host_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 
 
 def _frame(held: dict[str, list]) -> pd.DataFrame:
-    return pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w, ensure_ascii=False) for w in held.values()]})
+    return pd.DataFrame({"host": list(held), "wrapper": [to_json(w) for w in held.values()]})
 
 
 def _by_host(pages: DataFrame, url: str, html: str, *others: str) -> DataFrame:
@@ -357,7 +374,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
                 if host not in known:
                     if len(known) >= HOSTS_HELD:
                         known.clear()
-                    known[host] = json.loads(body) if isinstance(body, str) else None
+                    known[host] = from_json(body) if isinstance(body, str) else None
                 texts.append(main_text(page, known[host]))
             yield pd.DataFrame({key: batch[key].astype("Int64"), url: batch[url], "text": texts, "n_chars": [len(t) for t in texts]})
 

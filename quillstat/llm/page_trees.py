@@ -19,8 +19,10 @@ into repeated ones. Wrappers have no alternatives, so two of them align like a p
 from __future__ import annotations
 
 import html as _html
+import json
 import re
 import zlib
+from collections.abc import Generator
 
 EVIDENCE = 5
 GROUP_LENGTHS = (2, 3)
@@ -114,34 +116,60 @@ def page_mark(page: str) -> int:
     return zlib.crc32(page.encode("utf-8", "surrogatepass"))
 
 
+def _done(call: Generator):
+    """The result of a recursive step written as a generator that yields its sub-steps: markup may nest
+    deeper than Python's own calls may."""
+    stack, value = [call], None
+    while stack:
+        try:
+            call = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(call)
+            value = None
+    return value
+
+
 def as_wrapper(node: list, mark: int) -> list:
     """A wrapper that matches the page alone; runs of equal siblings are repeated nodes."""
-    label, _, _, text, _, kids = node
-    return [label, 1, 1, text, [mark] if label == "#text" else [], collapse([as_wrapper(k, mark) for k in kids])]
+    return _done(_as_wrapper(node, mark))
 
 
-def _joined(a: list, b: list, least: int, most: int) -> list:
-    same = a[3] if a[3] == b[3] else None
-    pages = sorted({*a[4], *b[4]})[:EVIDENCE] if same is not None else []
-    return [a[0], least, most, same, pages, align(a[5], b[5])]
+def _as_wrapper(node: list, mark: int) -> Generator:
+    kids = []
+    for k in node[5]:
+        kids.append([*k[:4], [mark], []] if k[0] == "#text" else (yield _as_wrapper(k, mark)))
+    return [node[0], 1, 1, node[3], [mark] if node[0] == "#text" else [], (yield _collapse(kids)) if kids else []]
 
 
 def merge(a: list, b: list) -> list:
     """One node that matches what either matches, at the same place."""
+    return _done(_merge(a, b))
+
+
+def _joined(a: list, b: list, least: int, most: int) -> Generator:
+    same = a[3] if a[3] == b[3] else None
+    pages = sorted({*a[4], *b[4]})[:EVIDENCE] if same is not None else []
+    return [a[0], least, most, same, pages, (yield _align(a[5], b[5])) if a[5] or b[5] else []]
+
+
+def _merge(a: list, b: list) -> Generator:
     return _joined(a, b, min(a[1], b[1]), max(a[2], b[2]))
 
 
-def follow(a: list, b: list) -> list:
+def _follow(a: list, b: list) -> Generator:
     """One node for two equal siblings that follow each other."""
     return _joined(a, b, a[1] + b[1], a[2] + b[2])
 
 
-def collapse(kids: list[list]) -> list[list]:
+def _collapse(kids: list[list]) -> Generator:
     """Siblings with runs of equal labels, and of equal sequences of labels, as repeated nodes."""
     out: list[list] = []
     for kid in kids:
         if out and out[-1][0] == kid[0]:
-            out[-1] = follow(out[-1], kid)
+            out[-1] = yield _follow(out[-1], kid)
         else:
             out.append(kid)
     for n in GROUP_LENGTHS:
@@ -152,10 +180,11 @@ def collapse(kids: list[list]) -> list[list]:
             while [x[0] for x in out[k + times * n:k + (times + 1) * n]] == names:
                 times += 1
             if times > 1 and len(set(names)) > 1:
-                kids_ = out[k:k + n]
+                group = out[k:k + n]
                 for t in range(1, times):
-                    kids_ = [merge(x, y) for x, y in zip(kids_, out[k + t * n:k + (t + 1) * n])]
-                out[k:k + times * n] = [["*" + "|".join(names), times, times, None, [], kids_]]
+                    for i, other in enumerate(out[k + t * n:k + (t + 1) * n]):
+                        group[i] = yield _merge(group[i], other)
+                out[k:k + times * n] = [["*" + "|".join(names), times, times, None, [], group]]
             k += 1
     return out
 
@@ -172,10 +201,13 @@ def _grouped(kids: list[list], groups: list[str]) -> list[list]:
     return kids
 
 
-def align(a: list[list], b: list[list]) -> list[list]:
+def _align(a: list[list], b: list[list]) -> Generator:
     """Two lists of siblings as one: the longest common sequence of labels is merged, the rest is optional."""
+    out: list[list] = []
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [merge(x, y) for x, y in zip(a, b)]
+        for x, y in zip(a, b):
+            out.append((yield _merge(x, y)))
+        return out
     a = _grouped(a, [x[0] for x in b if x[0][:1] == "*"])
     b = _grouped(b, [x[0] for x in a if x[0][:1] == "*"])
     n, m = len(a), len(b)
@@ -184,11 +216,10 @@ def align(a: list[list], b: list[list]) -> list[list]:
         row, below = best[i], best[i + 1]
         for j in range(m - 1, -1, -1):
             row[j] = below[j + 1] + 1 if a[i][0] == b[j][0] else max(below[j], row[j + 1])
-    out: list[list] = []
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(merge(a[i], b[j]))
+            out.append((yield _merge(a[i], b[j])))
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             out.append([a[i][0], 0, *a[i][2:]])
@@ -200,18 +231,42 @@ def align(a: list[list], b: list[list]) -> list[list]:
     merged: list[list] = []
     for kid in out:
         if merged and merged[-1][0] == kid[0]:
-            merged[-1] = follow(merged[-1], kid)
+            merged[-1] = yield _follow(merged[-1], kid)
         else:
             merged.append(kid)
     return merged
 
 
+def to_json(wrapper: list) -> str:
+    """Flat form: one entry per node in reading order, with the number of its kids in place of them."""
+    flat, stack = [], [wrapper]
+    while stack:
+        node = stack.pop()
+        flat.append([*node[:5], len(node[5])])
+        stack += reversed(node[5])
+    return json.dumps(flat, ensure_ascii=False)
+
+
+def from_json(body: str) -> list:
+    stack: list[list] = []
+    for *node, n in reversed(json.loads(body)):
+        stack.append([*node, [stack.pop() for _ in range(n)]])
+    return stack[0]
+
+
 def expression(node: list) -> str:
     """The wrapper as a regular expression over tags and texts, for people."""
+    return _done(_expression(node))
+
+
+def _expression(node: list) -> Generator:
     if node[0] == "#text":
         body = "#PCDATA" if node[3] is None else repr(node[3])
     else:
-        inner = " ".join(expression(k) for k in node[5])
+        parts = []
+        for k in node[5]:
+            parts.append((yield _expression(k)))
+        inner = " ".join(parts)
         body = f"( {inner} )" if node[0][:1] == "*" else f"<{node[0]}> {inner} </>".replace("  ", " ") if node[0] else inner
     sign = {(True, False): "?", (False, True): "+", (True, True): "*"}.get((node[1] == 0, node[2] > 1), "")
     return f"({body}){sign}" if sign else body

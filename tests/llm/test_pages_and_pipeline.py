@@ -1,5 +1,4 @@
 import html as _html
-import json
 import random
 
 import duckdb
@@ -46,7 +45,7 @@ def test_wrappers_and_articles(spark):
         assert texts[k] == text
     assert (texts[100], texts[101], texts[102], texts[103], texts[None]) == ("", "", "cut off", "just text < here", "z")
     assert texts[104] == "a\nb" and texts[105] == ("long " * 30000).strip()
-    wrapper = [json.loads(r.wrapper) for r in main_text.host_wrappers(df).collect() if r.host == "www.one.org"][0]
+    wrapper = [page_trees.from_json(r.wrapper) for r in main_text.host_wrappers(df).collect() if r.host == "www.one.org"][0]
     shape = page_trees.expression(wrapper)
     assert "(<ul> (<li> 'first point' </> <li>" not in shape and "(<ul> (<li> #PCDATA </>)+ </>)?" in shape and ")+" in shape and "#PCDATA" in shape and "'Published by our team'" in shape
     assert main_text.extract_main_text(spark.createDataFrame([], SCHEMA)).count() == 0
@@ -152,3 +151,16 @@ def test_queries_match_sql(spark, name):
     df = queries()[name](spark, folder)
     assert sorted(df.columns) == sorted(columns)
     assert sorted(str(tuple(r)) for r in df.select(*columns).collect()) == want
+
+
+def test_markup_of_any_depth_is_read():
+    for tag in ("div", "ul", "section", "blockquote"):
+        pages = [f"<html><body><article><p>first</p>{f'<{tag}>' * 3000}<p>{w}</p>{f'</{tag}>' * 3000}<p>last</p></article></body></html>"
+                 for w in ("one", "two")]
+        one, two = (page_trees.as_wrapper(page_trees.page_tree(p), k) for k, p in enumerate(pages))
+        wrapper = page_trees.merge(one, two)
+        kept = page_trees.to_json(wrapper)
+        assert page_trees.to_json(page_trees.from_json(kept)) == kept
+        assert page_trees.expression(wrapper).count("#PCDATA") == 1
+        for known in (None, wrapper):
+            assert main_text.main_text(pages[0], known) == "first\none\nlast"
