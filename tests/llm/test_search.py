@@ -253,3 +253,16 @@ def test_reductions_rank_like_plain_compression():
             assert scan.reductions(text)[0][0] >= scan.reductions(text)[1][0]
             assert name in [n for _, n in scan.reductions(text)[:2]]
     assert difflib.SequenceMatcher(None, ["a"], ["a"]).ratio() == 1 and np.isfinite(scan.reductions("x")[0][0])
+
+
+def test_every_template_is_told_from_its_neighbours():
+    """A text of one licence is found once, as that licence: alone, between lines and inside a long line."""
+    rng = np.random.default_rng(8)
+    vocabulary = "river stone walked under morning light garden seven windows paper cloud yellow market teacher".split()
+    prose = lambda n: " ".join(rng.choice(vocabulary, n))
+    scan = license_scan.Scanner()
+    assert len(license_scan.TEMPLATES) > 45
+    for name, template in license_scan.TEMPLATES.items():
+        body = template.replace("<year>", "2021").replace("<holder>", "Some Company")
+        for text in (body, f"{prose(40)}\n{body}\n{prose(40)}", f"{prose(60)}. {body} {prose(60)}"):
+            assert [(f[2], f[-1]) for f in scan(text)] == [(name, True)]
