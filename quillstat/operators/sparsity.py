@@ -117,9 +117,11 @@ def active_features(coefs: DataFrame, model: str) -> DataFrame:
     return by_feature(coefs).filter((F.col("model") == model) & F.col("selected")).select("feature")
 
 
-def selected_union(coefs: DataFrame, order: DataFrame) -> DataFrame:
-    """Features active in any model with their position in ``order``; all when none is."""
+def selected_union(coefs: DataFrame, order: DataFrame, all_if_none: bool = True) -> DataFrame:
+    """Features active in any model with their position in ``order``; when none is, all of them or no row."""
     hit = by_feature(coefs).groupBy("feature").agg(F.max("selected").alias("selected"))
     marked = order.join(hit, "feature", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    if not all_if_none:
+        return marked.filter("selected").select("feature", "position")
     any_hit = marked.agg(F.max("selected").alias("any")).first()["any"]
     return (marked.filter("selected") if any_hit else marked).select("feature", "position")

@@ -97,3 +97,15 @@ def test_sparsity_counts(spark):
     row = sparsity.by_model(coefs).first()
     assert (row["total_coefficients"], row["nonzero_coefficients"], row["zero_share"]) == (195, 172, pytest.approx(0.11794871794871795))
     assert {r["class"]: r["nonzero_coefficients"] for r in sparsity.by_class(coefs).collect()} == {"Action": 50, "Property": 60, "Thing": 62}
+
+
+def test_selected_union_of_models_without_features_is_empty(spark, tmp_path):
+    """As its SQL says; a plan that needs features may ask for all of them."""
+    from quillstat.catalog import load_all
+
+    rows = [(i, [0.1] * 64, i % 10) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert load_all()["selected_union"].run(spark, str(tmp_path)).count() == 0
+    coefs = sparsity.with_flags(spark.createDataFrame([("m", "c", "f", 0.0)], "model string, class string, feature string, coefficient double"))
+    order = spark.createDataFrame([("f", 0), ("g", 1)], "feature string, position int")
+    assert sparsity.selected_union(coefs, order).count() == 2
