@@ -30,7 +30,7 @@ SELECT 1 AS pc, round((1 + r) / 2, 8) AS explained, round((1 + r) / 2, 8) AS cum
 UNION ALL SELECT 2, round((1 - r) / 2, 8), 1.0 FROM r""")
 def pca_variance(spark, sf):
     """Two standardised features, whose shares have the closed form (1 +- |r|) / 2."""
-    parts = structure.fit_pca(_scaled_pair(spark, sf), "x", _PAIR)
+    parts = structure.fit_pca(_scaled_pair(spark, sf), "x", _PAIR, standardised=True)
     return rounded(structure.variance_table(spark, parts), 8, "explained", "cumulative")
 
 
@@ -41,7 +41,7 @@ SELECT round((a + b) / sqrt(CAST(2 AS DOUBLE)), 6) AS pc1, round(abs(a - b) / sq
 FROM s GROUP BY 1, 2""")
 def pca_scores(spark, sf):
     df = _scaled_pair(spark, sf)
-    scored = structure.with_scores(df, "x", structure.fit_pca(df, "x", _PAIR), 2)
+    scored = structure.with_scores(df, "x", structure.fit_pca(df, "x", _PAIR, standardised=True), 2)
     return scored.select(
         F.round(F.col("scores")[0], 6).alias("pc1"), F.round(F.abs(F.col("scores")[1]), 6).alias("pc2_size")
     ).groupBy("pc1", "pc2_size").agg(F.count(F.lit(1)).alias("n"))

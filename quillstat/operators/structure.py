@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,18 +40,24 @@ class Components:
     mean: np.ndarray
 
 
-def fit_pca(df: DataFrame, vector: str, features: Sequence[str]) -> Components:
+def fit_pca(df: DataFrame, vector: str, features: Sequence[str], standardised: bool = False) -> Components:
     """All components from the distributed covariance matrix.
 
-    The sign of a component is fixed: its largest loading in size is positive.
+    The sign of a component is fixed: its largest loading in size is positive. The covariance of
+    ``standardised`` features is their correlation matrix, with a diagonal of exactly 1, and their mean is 0:
+    rounding in their variances would turn the components of nearly uncorrelated features.
     """
     table = df.select(array_to_vector(F.col(vector)).alias("v"))
-    model = PCA(k=len(features), inputCol="v", outputCol="s").fit(table)
-    loadings = model.pc.toArray()
+    if standardised:
+        values, vectors = np.linalg.eigh(Correlation.corr(table, "v").first()[0].toArray())
+        loadings, ratios, mean = vectors[:, ::-1], values[::-1] / len(features), np.zeros(len(features))
+    else:
+        model = PCA(k=len(features), inputCol="v", outputCol="s").fit(table)
+        loadings, ratios = model.pc.toArray(), model.explainedVariance.toArray()
+        mean = table.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
     top = np.abs(loadings).argmax(axis=0)
     loadings = loadings * np.sign(loadings[top, np.arange(loadings.shape[1])])
-    mean = table.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
-    return Components(list(features), loadings, model.explainedVariance.toArray(), mean)
+    return Components(list(features), loadings, ratios, mean)
 
 
 def variance_table(spark, parts: Components) -> DataFrame:

@@ -117,6 +117,16 @@ def test_components_equal_eigenvectors(spark):
     assert structure.components_for(table, 0.75).first()[0] == int(np.argmax(np.cumsum(parts.ratios) >= 0.75)) + 1
 
 
+def test_components_of_standardised_features_are_not_turned_by_rounding(spark):
+    rng = np.random.default_rng(19)
+    x = rng.normal(size=(4000, 2))
+    x[:, 1] -= x[:, 0] * (x[:, 0] @ x[:, 1]) / (x[:, 0] @ x[:, 0])  # nearly uncorrelated
+    x = (x - x.mean(0)) / x.std(0) + 1e-9 * x[:, ::-1] * [1.0, 1.5]
+    parts = structure.fit_pca(_points(spark, x), "x", ["a", "b"], standardised=True)
+    assert np.abs(parts.loadings) == pytest.approx(np.full((2, 2), np.sqrt(0.5)), abs=1e-15)
+    assert (parts.mean == 0).all() and parts.ratios.sum() == pytest.approx(1.0)
+
+
 def test_kmeans_sweep_finds_separate_groups(spark):
     rng = np.random.default_rng(8)
     centres = np.array([[0, 0], [20, 0], [0, 20], [20, 20]])
