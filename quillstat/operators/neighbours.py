@@ -1,9 +1,11 @@
 """Distance work over all pairs of two row sets: nearest neighbours and silhouette.
 
-Both need every distance, so the work is a grid: rows are hashed into even blocks,
-each cell of the grid meets one block of either side, and a cell passes on only what
-its rows need (k candidates, or one sum per cluster), never its pairs. A cell holds
-at most two blocks, whatever the number of rows or the size of a class or cluster.
+Both need every distance, so the work is a grid: rows are hashed into even strips of
+blocks, each cell of the grid meets one strip of either side, block by block, and a cell
+passes on only what its rows need (k candidates, or one sum per cluster), never its pairs.
+A side has about the root of its blocks in strips, so a row is copied that often and not
+once per block; a cell holds at most two strips of ``STRIP_ROWS`` rows, whatever the number
+of rows or the size of a class or cluster.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ from quillstat.session import cut_lineage, keep
 NEIGHBOURS = 5
 
 BLOCK_ROWS = 4_000
+STRIP_ROWS = 48_000
+LEAST_STRIPS = 4
 _CHUNK_CELLS = 4_000_000
+_NEAR = 1e-6  # share of the squared sizes under which a product form of a distance has lost digits
+_DOUBT = 1e-11  # the same for its own error, with room to spare
 
 
 def _block(key: str, blocks: int) -> Column:
@@ -36,8 +42,55 @@ def _every(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
 
-def _blocks(df: DataFrame, rows: int) -> int:
-    return max(1, math.ceil(df.count() / rows))
+def _strips(df: DataFrame, rows: int) -> int:
+    n = df.count()
+    blocks = max(1, math.ceil(n / rows))
+    return max(math.isqrt(blocks - 1) + 1, min(blocks, LEAST_STRIPS), math.ceil(n / max(rows, STRIP_ROWS)))
+
+
+def _slices(a: np.ndarray, b: np.ndarray, rows: int):
+    """Yield (start in a, start in b, squared distances, their sizes) for blocks of both, by one product each."""
+    shift = b.mean(axis=0)
+    a, b = a - shift, b - shift
+    sa, sb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    step = max(1, _CHUNK_CELLS // min(rows, len(b)))
+    for at in range(0, len(a), step):
+        for to in range(0, len(b), rows):
+            size = sa[at : at + step, None] + sb[None, to : to + rows]
+            yield at, to, np.maximum(size - 2.0 * (a[at : at + step] @ b[to : to + rows].T), 0.0), size
+
+
+def _gaps(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of the pairs (a[i], b[j]) from their differences."""
+    out = np.empty(len(i))
+    step = max(1, _CHUNK_CELLS // max(1, a.shape[1]))
+    for at in range(0, len(i), step):
+        gap = a[i[at : at + step]] - b[j[at : at + step]]
+        out[at : at + step] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+    return out
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, k: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of the k nearest b of every a; on equal distances those that come first in b.
+
+    Products only rule pairs out; what is left is measured by differences."""
+    out, bound = [], np.full(len(a), np.inf)
+    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    for at, to, square, size in _slices(a, b, rows):
+        if to == 0:
+            out.append(held)
+            held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        end, room = at + len(square), _DOUBT * size.max()
+        if square.shape[1] >= k:
+            bound[at:end] = np.minimum(bound[at:end], np.partition(square, k - 1, axis=1)[:, k - 1] + room)
+        i, j = np.nonzero(square <= bound[at:end, None] + room)
+        i, j = i + at, j + to
+        i, j, d = (np.concatenate(v) for v in zip(held, (i, j, _gaps(a, b, i, j))))
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i, side="left") < k
+        held = [i[first], j[first], d[first]]
+    return tuple(np.concatenate(v) for v in zip(*out, held))
 
 
 def _distances(a: np.ndarray, b: np.ndarray):
@@ -56,7 +109,7 @@ def nearest_neighbours(
 
     Equal distances are ordered by the neighbour's key.
     """
-    nq, nb = _blocks(queries, block_rows), _blocks(base, block_rows)
+    nq, nb = _strips(queries, block_rows), _strips(base, block_rows)
     left = queries.select(
         F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("x"), _block(key, nq).alias("row"), _every(nb).alias("column"))
     right = base.select(
@@ -68,26 +121,20 @@ def nearest_neighbours(
         if a.empty or b.empty:
             return pd.DataFrame({"q": [], "b": [], "carry": [], "distance": []}, dtype=object)  # becomes any type
         b = b.sort_values("b", kind="stable")
-        ids, tags = b["b"].to_numpy(), b["carry"].to_numpy()
-        points = np.stack(b["v"].to_numpy())
-        found = []
-        for at, d in _distances(np.stack(a["x"].to_numpy()), points):
-            pick = np.argsort(d, axis=1, kind="stable")[:, :k]
-            names = a["q"].to_numpy()[at : at + len(d)]
-            found.append(pd.DataFrame({
-                "q": np.repeat(names, pick.shape[1]), "b": ids[pick].ravel(), "carry": tags[pick].ravel(),
-                "distance": np.take_along_axis(d, pick, 1).ravel(),
-            }))
-        return pd.concat(found)
+        i, j, d = _nearest(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy()), k, block_rows)
+        return pd.DataFrame({
+            "q": a["q"].to_numpy()[i], "b": b["b"].to_numpy()[j], "carry": b["carry"].to_numpy()[j], "distance": d})
 
     cells = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(
         nearest, f"q {q_type}, b {q_type}, carry {carry_type}, distance double")
-    order = W.partitionBy("q").orderBy("distance", "b")  # k rows per block of the base
+    order = W.partitionBy("q").orderBy("distance", "b")  # k rows per strip of the base
     best = cells.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select(F.col("q").alias(key), F.col("b").alias("neighbour"), F.col("carry").alias(carry), "distance", "rank")
 
 
 MOST_PIVOTS = 1_024
+PROBED = 256
+DENSE = 0.2  # of all pairs; from there on cells cost more than they save
 _SLACK = 1e-9  # relative; a bound must not lose a tie to rounding
 
 
@@ -101,7 +148,9 @@ def nearest_by_cells(
     most). A query first meets the nearest cells that hold k rows, which bounds its k-th distance. From then on a cell is
     skipped if the triangle inequality rules it out: by the cell's radius, and because its rows are nearer to its pivot
     than to the query's own nearest one. Cells and the queries of a cell are split into blocks, so a task holds two blocks
-    however many rows are alike. ``report`` gets the pairs compared and all pairs.
+    however many rows are alike. Where the bounds leave more than ``DENSE`` of the pairs to a few probed queries, as in many
+    dimensions, the grid of ``nearest_neighbours`` answers instead. ``report`` gets the pairs compared and all pairs, and
+    keeps to the cells.
     """
     n = base.count()
     points = base.select(F.col(key).alias("b"), F.col(vector).cast("array<double>").alias("v"), F.col(carry).alias("carry"))
@@ -152,12 +201,8 @@ def nearest_by_cells(
         if a.empty or b.empty:
             return pd.DataFrame({"q": [], "b": [], "distance": []}, dtype=object)
         b = b.sort_values("b", kind="stable")
-        ids, found = b["b"].to_numpy(), []
-        for at, d in _distances(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy())):
-            pick = np.argsort(d, axis=1, kind="stable")[:, :k]
-            found.append(pd.DataFrame({"q": np.repeat(a["q"].to_numpy()[at : at + len(d)], pick.shape[1]), "b": ids[pick].ravel(),
-                                       "distance": np.take_along_axis(d, pick, 1).ravel()}))
-        return pd.concat(found)
+        i, j, d = _nearest(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy()), k, block_rows)
+        return pd.DataFrame({"q": a["q"].to_numpy()[i], "b": b["b"].to_numpy()[j], "distance": d})
 
     def met(pairs: DataFrame) -> DataFrame:
         """The k nearest rows of every block that the cells in (q, x, cell) have."""
@@ -182,6 +227,14 @@ def nearest_by_cells(
     begun = keep(asked.withColumn("done", home("x")))
     first = cut_lineage(best(met(begun.select("q", "x", F.explode("done").alias("cell")))).drop("rank"))
     limits = first.groupBy("q").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("limit"))
+    if report is None:
+        # What the bounds leave to some hundred queries tells which exact way is the cheaper one.
+        some = begun.orderBy(F.xxhash64("q"), "q").limit(PROBED).join(limits, "q").select(others("x", "limit", "done").alias("c"))
+        left_open = [int(sizes[r["c"]].sum()) for r in some.collect()]
+        if sum(left_open) > DENSE * n * len(left_open):
+            for table in (placed, begun):
+                table.unpersist()
+            return nearest_neighbours(queries, base, key, vector, carry, k, block_rows)
     more = keep(begun.join(limits, "q").withColumn("cell", F.explode(others("x", "limit", "done"))).select("q", "x", "cell"))
     out = cut_lineage(best(first.unionByName(met(more))))
     for table in (placed, begun, more):
@@ -220,7 +273,7 @@ def silhouette_rows(
     ``a`` is the mean distance to the other rows of the own cluster and ``b`` the
     smallest mean distance to another cluster.
     """
-    blocks = _blocks(df, block_rows)
+    blocks = _strips(df, block_rows)
     rows = df.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("x"), F.col(cluster).alias("c"))
     left = rows.select("*", _block("q", blocks).alias("row"), _every(blocks).alias("column"))
     right = rows.select(
@@ -232,14 +285,16 @@ def silhouette_rows(
             return pd.DataFrame({"q": [], "c": [], "other": [], "s": []})
         names, code = np.unique(b["other"].to_numpy(), return_inverse=True)
         member = np.eye(len(names))[code]
-        out = []
-        for at, d in _distances(np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy())):
-            part = a.iloc[at : at + len(d)]
-            out.append(pd.DataFrame({
-                "q": np.repeat(part["q"].to_numpy(), len(names)), "c": np.repeat(part["c"].to_numpy(), len(names)),
-                "other": np.tile(names, len(d)), "s": (d @ member).ravel(),
-            }))
-        return pd.concat(out)
+        x, v = np.stack(a["x"].to_numpy()), np.stack(b["v"].to_numpy())
+        total = np.zeros((len(x), len(names)))
+        for at, to, square, size in _slices(x, v, block_rows):
+            d = np.sqrt(square)
+            i, j = np.nonzero(square <= _NEAR * size)
+            d[i, j] = _gaps(x, v, i + at, j + to)
+            total[at : at + len(d)] += d @ member[to : to + block_rows]
+        return pd.DataFrame({
+            "q": np.repeat(a["q"].to_numpy(), len(names)), "c": np.repeat(a["c"].to_numpy(), len(names)),
+            "other": np.tile(names, len(x)), "s": total.ravel()})
 
     cells = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(
         sums, f"q {q_type}, c {c_type}, other {c_type}, s double")

@@ -102,6 +102,19 @@ def test_neighbours_equal_brute_force(spark, block_rows):
     assert few.count() == 24
 
 
+def test_copies_are_ordered_by_key_and_measured_by_differences(spark):
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(6, 8)) + 1e4, 7, axis=0)
+    i, j, d = neighbours._nearest(x[:12], x, 5, 4)
+    assert j.reshape(12, 5).tolist() == [list(range(5))] * 7 + [list(range(7, 12))] * 5 and (d == 0).all()
+
+
+def test_small_blocks_do_not_copy_a_row_for_every_block(spark):
+    """The grid once copied each row for each block: 100 times here."""
+    df = spark.range(800)
+    assert neighbours._strips(df, 8) <= 10 and neighbours._strips(df, 1000) == 1
+
+
 def test_components_equal_eigenvectors(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(80, 3)) @ np.diag([3.0, 2.0, 1.0]) + 5.0
