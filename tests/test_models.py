@@ -149,3 +149,34 @@ def test_comparison_and_unsupervised_plans(spark, entries):
     assert explored["crosstab_kmeans_k3"].count() == 3
     fast = unsupervised(got.data, "entry_id", "target", got.features, ks=[2, 3], restarts=2, exact_silhouette=False)
     assert fast["silhouette_curve"].filter(F.col("silhouette").between(-1, 1)).count() == 4
+
+
+def test_threads_have_local_properties_of_their_own(spark):
+    """Shared ones made a fit fail now and then: "Cannot parse null string"."""
+    from threading import Barrier
+
+    from quillstat.session import side_by_side
+
+    meet = Barrier(4)
+
+    def run(i):
+        spark.sparkContext.setLocalProperty("quillstat.mine", str(i))
+        meet.wait(30)
+        return spark.sparkContext.getLocalProperty("quillstat.mine")
+
+    assert side_by_side(spark, run, range(4), 4) == ["0", "1", "2", "3"]
+
+
+def test_margins_equal_those_of_one_vs_rest(spark):
+    from pyspark.ml.classification import OneVsRest
+    from pyspark.ml.linalg import Vectors
+
+    from quillstat.operators.models import linear_svm
+
+    rng = np.random.default_rng(5)
+    rows = [(float(i % 3), 1.0 + i % 2, Vectors.dense(rng.normal(size=2) + i % 3)) for i in range(60)]
+    table = spark.createDataFrame(rows, ["label", "weight", "features"]).coalesce(1)
+    ours = linear_svm(60)
+    theirs = OneVsRest(classifier=ours.getClassifier(), weightCol="weight", parallelism=1).fit(table)
+    for a, b in zip(ours.fit(table).models, theirs.models):
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray())
