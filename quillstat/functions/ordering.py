@@ -14,6 +14,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -193,13 +195,29 @@ def _order_inside(rows: DataFrame, spans: DataFrame) -> dict:
 
 # --- even bins over a value ----------------------------------------------------------
 
+FEW_CUTS = 100
+
+
 def with_value_bins(df: DataFrame, cuts: DataFrame | None, by: str, value: str, name: str = "bin") -> DataFrame:
     """Number of the even bin a value falls in, by the cut table of ``value_cuts``.
 
-    Cuts come in two levels, so a value is compared with about 2 * sqrt(bins) cuts.
+    Few cuts come in two levels, so a value is compared with about 2 * sqrt(bins) of them; many are searched
+    by halving, a batch of values at once.
     """
     if cuts is None:
         return df.withColumn(name, F.lit(0))
+    levels = {r[by]: np.sort(np.concatenate([r["coarse"], *r["fine"]])) for r in cuts.collect()}  # as made by ``value_cuts``
+    if max(map(len, levels.values()), default=0) > FEW_CUTS:
+        @F.pandas_udf("int")
+        def place(group: pd.Series, at: pd.Series) -> pd.Series:
+            codes, names = pd.factorize(group)
+            values, out = at.to_numpy(dtype=float), np.zeros(len(at), np.int32)
+            for code, each in enumerate(names):
+                mine = codes == code
+                out[mine] = np.searchsorted(levels[each], values[mine], side="right")
+            return pd.Series(out)
+
+        return df.join(F.broadcast(cuts.select(by)), by).withColumn(name, place(F.col(by), F.col(value).cast("double")))
     passed = lambda cut_list: F.size(F.filter(cut_list, lambda c: c <= F.col(value)))
     joined = df.join(F.broadcast(cuts), by).withColumn("_c", passed(F.col("coarse")))
     fine = passed(F.element_at("fine", F.col("_c") + 1))

@@ -72,3 +72,19 @@ def test_class_weights_sum_to_rows(spark):
     sums = {r["y"]: r["s"] for r in weighted.groupBy("y").agg(F.sum("weight").alias("s")).collect()}
     assert sums == pytest.approx({"a": 20.0, "b": 20.0})
     assert pd.Series(sums).sum() == pytest.approx(40.0)
+
+
+def test_many_cuts_are_searched_by_halving(spark):
+    """Each value was compared with two rows of cuts, one by one."""
+    import numpy as np
+
+    from quillstat.functions import ordering
+
+    long = spark.range(3000).selectExpr("'f' AS feature", "cast(id % 1500 AS double) AS value")
+    sizes = spark.createDataFrame([("f", 3000)], "feature string, n long")
+    cuts = ordering.value_cuts(long, "feature", "value", sizes, 10)
+    binned = ordering.with_value_bins(long, cuts, "feature", "value")
+    row = cuts.first()
+    edges = np.concatenate([row["coarse"], *row["fine"]])
+    assert all(r["bin"] == (edges <= r["value"]).sum() for r in binned.collect())
+    assert "ArrowEvalPython" in binned._jdf.queryExecution().executedPlan().toString()
