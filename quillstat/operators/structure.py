@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation, Summarizer
@@ -163,22 +164,25 @@ def _assign_round(rows: DataFrame, fits: dict) -> tuple[dict, dict]:
         total = np.zeros_like(centres)
         cost = np.zeros(len(centres))
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            points = np.stack(batch["x"].to_numpy())
+            points = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             for at in range(0, len(points), 1024):
                 x = points[at : at + 1024]
                 square = (x**2).sum(axis=1)
                 gap = np.maximum(square[:, None] - 2.0 * x @ centres.T + (centres**2).sum(axis=1)[None, :], 0.0)
                 for a, z in zip(starts[:-1], starts[1:]):
-                    member = gap[:, a:z].argmin(axis=1)[None, :] == np.arange(z - a)[:, None]
+                    nearest = gap[:, a:z].argmin(axis=1)
+                    member = (nearest[None, :] == np.arange(z - a)[:, None]).astype(float)
                     count[a:z] += member.sum(axis=1)
                     total[a:z] += member @ x
-                    cost[a] += gap[:, a:z].min(axis=1).sum()
+                    cost[a] += gap[np.arange(len(x)), a + nearest].sum()
         hit = np.flatnonzero((count > 0) | (cost > 0))
-        yield pd.DataFrame({"c": hit, "n": count[hit], "cost": cost[hit], "s": list(total[hit])})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hit, pa.int32()), pa.array(count[hit]), pa.array(cost[hit]), pa.array(list(total[hit]), pa.list_(pa.float64()))],
+            ["c", "n", "cost", "s"])
 
-    sums = rows.mapInPandas(partial, "c int, n double, cost double, s array<double>")
+    sums = rows.mapInArrow(partial, "c int, n double, cost double, s array<double>")
     merged = sums.groupBy("c").agg(
         F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("s")).alias("s")).collect()
     new, cost = centres.copy(), np.zeros(len(centres))
