@@ -13,6 +13,7 @@ from quillstat.session import cut_lineage, ensure_checkpoint_dir
 
 #: Rows of one Arrow batch. Documents may be long, so a batch must stay small.
 BATCH_ROWS = 500
+BITS_PER_KEY = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -100,6 +101,21 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, learn: Column, labe
     return texts.join(taken, "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
 
 
+def split_by_keys(df: DataFrame, keys: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """(maybe, rest): rows of ``df`` whose ``names`` may be among those of ``keys`` (a written table), and rows whose surely are not.
+
+    The keys are hashed into 64-bit words, ``BITS_PER_KEY`` bits a key: a broadcast table of about 3 to 6 bytes a key. It also
+    takes about 6 % of the other rows for ``maybe``, so that is what a join of long rows with few keys has to shuffle.
+    """
+    words = 1 + keys.count() * BITS_PER_KEY // 64
+    slot = lambda rows: rows.withColumn("_mark", F.xxhash64(*names)).withColumns({
+        "_word": F.expr(f"pmod(_mark, {words}L)"), "_bit": F.expr(f"shiftleft(1L, cast(pmod(_mark div {words}L, 64L) as int))")})
+    table = cut(slot(keys).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    marked = slot(df).join(F.broadcast(table), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return marked.filter(hit).select(*df.columns), marked.filter(~hit).select(*df.columns)
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

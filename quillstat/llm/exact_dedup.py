@@ -8,7 +8,8 @@ space becomes one space; null counts as empty.
 * The bytes of a group are compared by the least and the greatest text of each group that
   has more than one row: they are the same exactly when all texts of the group are the
   same. Groups that fail are regrouped by their whole text.
-* Joins run against tables read from storage, so adaptive execution may split hot keys.
+* Joins run against tables read from storage, so adaptive execution may split hot keys. Whole
+  rows are joined only where a small bit table of the repeated hashes says they may be repeated.
 
 Defined cases: a null id sorts after all others; rows repeated with the same id and equal
 text are one document, of which one row stays; an empty table gives an empty result; columns
@@ -22,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.llm.common import cut, text_or_empty
+from quillstat.llm.common import cut, split_by_keys, text_or_empty
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 Digest = Callable[[Column], Column]
@@ -51,8 +52,8 @@ def duplicate_groups(df: DataFrame, key: str, text: str, digest: Digest = md5_di
         rows.groupBy("_digest").agg(F.min("_id").alias("keep_id"), F.sum("_copies").alias("group_size"))
         .filter(F.col("group_size") > 1)
     )
-    bodies = df.select(digest(body).alias("_digest"), body.alias("_body")).join(
-        repeated.select("_digest"), "_digest", "left_semi")
+    bodies, _ = split_by_keys(df.select(digest(body).alias("_digest"), body.alias("_body")), repeated, "_digest")
+    bodies = bodies.join(repeated.select("_digest"), "_digest", "left_semi")
     clashing = cut(
         bodies.groupBy("_digest").agg(F.min("_body").alias("_low"), F.max("_body").alias("_high"))
         .filter(F.col("_low") != F.col("_high")).select("_digest")
@@ -107,6 +108,7 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", digest: D
         mine = mine.join(clashing, "_digest", "left_anti")
     else:
         exact = None
+    mine, alone = split_by_keys(mine, repeated, "_digest")
     marked = mine.join(repeated, "_digest", "left").filter(
         F.col("group_size").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
     twice = cut(rows.filter(F.col("_copies") > 1).select("_digest", "_id"))
@@ -116,6 +118,7 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", digest: D
             marked.join(twice, same, "left_semi").dropDuplicates(["_digest"]).select("_row"))
     else:
         marked = marked.select("_row")
+    marked = marked.unionByName(alone.select("_row"))
     if exact is not None:
         marked = marked.unionByName(exact)
     return marked.select(*[F.col("_row").getField(c).alias(c) for c in names])

@@ -19,7 +19,8 @@ A link is a pair of different texts with a similarity of ``SIMILAR`` or more.
   one; the texts that have such a shingle are compared with one of them, then, where a shingle
   is still in several components, all of different components with each other. So the
   components are those of all similar pairs of these texts, and a passage or line that very
-  many documents have makes no pairs. Rare shingles that many different texts share would.
+  many documents have makes no pairs. Nor does a rare shingle that many different texts share,
+  where the rest of two texts can no longer be similar enough.
 * Tables that a hot key is joined with are read from storage, so adaptive execution may
   split it; nothing is collected but counts.
 
@@ -41,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstat.llm.common import Memo, cut, small_batches, text_or_empty
+from quillstat.llm.common import Memo, cut, small_batches, split_by_keys, text_or_empty
 from quillstat.llm.components import components
 
 SHINGLE = 5
@@ -215,8 +216,11 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     members = cut(members.drop("size").join(hubs, "node"))
 
     wanted = cut(hubs.select("node").join(classes.select("node", "_first._id", "_first._print"), "node"))
-    source = df.select(F.col(key).cast("long").alias("_key"), text_or_empty(text).alias("_text"))
-    same = F.xxhash64("_text").eqNullSafe(F.col("_print")) & F.col("_key").eqNullSafe(F.col("_id"))
+    source = df.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text_or_empty(text)).alias("_print"),
+                       text_or_empty(text).alias("_text"))
+    source, _ = split_by_keys(source, wanted, "_id", "_print")
+    source = source.select(F.col("_id").alias("_key"), F.col("_print").alias("_hash"), "_text")
+    same = F.col("_hash").eqNullSafe(F.col("_print")) & F.col("_key").eqNullSafe(F.col("_id"))
     texts = cut(source.join(wanted, same).groupBy("node").agg(F.any_value("_text").alias("_text")))
 
     centres = cut(members.groupBy("bucket").agg(F.max(F.struct("hub", "node")).alias("_c")).select(
@@ -231,7 +235,7 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     left = cut(labelled.join(split, "bucket", "left_semi").select("node", "label").distinct())
     first = cut(_prefixes(left, texts))
     # Another hub for every shingle, so a text meets as many texts of other components as it has shingles here.
-    hub = F.min(F.struct(F.xxhash64("node", "shingle"), "node", "label", "count")).alias("_h")
+    hub = F.min(F.struct(F.xxhash64("node", "shingle"), "node", "label", "count", "at", "place")).alias("_h")
     tried = cut(_pairs_of(first, first.groupBy("shingle").agg(hub).select("shingle", "_h.*")))
     found = cut(_verified(tried, texts))
     if not found.isEmpty():
@@ -260,30 +264,40 @@ def _shingles_of(left: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _prefixes(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """shingle, node, label, count: shingles of which two similar texts in ``left`` (node, label) surely share one, where
-    they stand in texts of different components.
+    """shingle, node, label, count, at, place: shingles of which two similar texts in ``left`` (node, label) surely share
+    one, where they stand in texts of different components; ``at`` in the text, ``place`` by frequency.
 
     Similar texts of n and m shingles share at least ``SIMILAR`` * max(n, m) of them, so in any common order they share one
     of the first n - ceil(SIMILAR * n) + 1 of each (an exact prefix filter). The order is by frequency, rarest first, so
     a passage that many documents have leads to no pair. Shingles all of whose texts are in one component lead to none.
     """
-    each = cut(_shingles_of(left, texts).select("node", "label", "count", F.explode("shingles").alias("shingle")))
+    each = cut(_shingles_of(left, texts).select("node", "label", "count", F.posexplode("shingles").alias("at", "shingle")))
     common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_n > 1")
     shared = cut(each.join(common, "shingle"))
     # Shingles of one text alone are the rarest and come first; they lead to no pair, so only their number counts.
     alone = F.col("count") - F.count(F.lit(1)).over(Window.partitionBy("node"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("_n", "shingle")) + alone
     prefix = F.col("count") - F.ceil(F.col("count") * F.lit(SIMILAR) - 1e-9) + 1
-    return shared.withColumn("_place", place).filter((F.col("_place") <= prefix) & (F.col("_a") != F.col("_b"))).select(
-        "shingle", "node", "label", "count")
+    return shared.withColumn("place", place.cast("int")).filter((F.col("place") <= prefix) & (F.col("_a") != F.col("_b"))).select(
+        "shingle", "node", "label", "count", "at", "place")
 
 
 def _pairs_of(left: DataFrame, right: DataFrame, order: str = "true") -> DataFrame:
     """centre, member (the lesser node) of the rows of two tables of prefixes that share a shingle, are in different
-    components and of which the shorter can be similar to the longer."""
-    other = right.select("shingle", F.col("node").alias("_node"), F.col("label").alias("_label"), F.col("count").alias("_count"))
+    components and can be similar.
+
+    Similar texts of n and m shingles have a common run of ``needed`` = SIMILAR / (1 + SIMILAR) * (n + m) or more. Its rarest
+    shingle has a place of n - needed + 1 at most in one text and m - needed + 1 in the other, and stands no further apart
+    in the texts than the band of the alignment, so two texts without such a shingle are not similar. Places count
+    the shingles of one text alone, so variants of a text with too many words of their own make no pairs.
+    """
+    other = right.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("node", "label", "count", "at", "place")])
     near = F.least("count", "_count") >= F.greatest("count", "_count") * SIMILAR - 1e-9
-    return left.join(other, "shingle").filter((F.col("label") != F.col("_label")) & near & F.expr(order)).select(
+    needed = F.ceil((F.col("count") + F.col("_count")) * (SIMILAR / (1 + SIMILAR)) - 1e-9)
+    early = (F.col("place") + needed <= F.col("count") + 1) & (F.col("_place") + needed <= F.col("_count") + 1)
+    in_band = F.abs(F.col("at") - F.col("_at")) + needed <= F.greatest("count", "_count")
+    return left.join(other, "shingle").filter(
+        (F.col("label") != F.col("_label")) & near & early & in_band & F.expr(order)).select(
         F.greatest("node", "_node").alias("centre"), F.least("node", "_node").alias("member")).distinct()
 
 
@@ -318,8 +332,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     stays = F.col("_id").eqNullSafe(F.col("_keep._id")) & (F.col("_print") == F.col("_keep._print"))
     marks = cut(marked.filter(F.col("group_size") > 1).groupBy("_id", "_print").agg(
         F.max(stays).alias("_stays"), F.count(F.lit(1)).alias("_times")))
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(key).cast("long").alias("_key"),
-                     F.xxhash64(text_or_empty(text)).alias("_hash"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(key).cast("long").alias("_id"),
+                     F.xxhash64(text_or_empty(text)).alias("_print"))
+    rows, alone = split_by_keys(rows, marks, "_id", "_print")
+    rows = rows.withColumnsRenamed({"_id": "_key", "_print": "_hash"})
     same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_print"))
     joined = rows.join(marks, same, "left").filter(F.col("_stays").isNull() | F.col("_stays"))
     kept = joined.select("_row")
@@ -327,4 +343,5 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         once = F.coalesce("_times", F.lit(1)) == 1
         kept = joined.filter(once).select("_row").unionByName(
             joined.filter(~once).dropDuplicates(["_key", "_hash"]).select("_row"))
+    kept = kept.unionByName(alone.select("_row"))
     return kept.select(*[F.col("_row").getField(c).alias(c) for c in names])

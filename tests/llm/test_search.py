@@ -176,6 +176,27 @@ def test_links_inside_large_buckets_are_all_found(spark):
     assert links == 60 and {tuple(sorted(v)) for v in groups.values()} == want
 
 
+def test_variants_with_too_many_edits_make_no_pairs(spark):
+    """Variants of one text, all pairs just below the limit: none is compared; pairs of which one edit more is shared still are."""
+    rng = random.Random(4)
+    base, rows = [f"b{k}" for k in range(150)], []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(5, 145, 10), 4):
+            words[at] = f"n{i}x{at}"
+        rows.append((f"t{i:03}", " ".join(words)))
+    near = list(base)
+    for at in (20, 60):
+        near[at] = f"m{at}"
+    rows += [("u0", " ".join(near)), ("u1", " ".join(near[:100] + ["other"] + near[101:]))]
+    texts = spark.createDataFrame(rows, "node string, _text string")
+    first = order_minhash._prefixes(texts.withColumn("label", texts.node).select("node", "label"), texts).cache()
+    pairs = {(r.centre, r.member) for r in order_minhash._pairs_of(first, first, "node > _node").collect()}
+    shingled = {n: order_minhash.shingles(t.split()) for n, t in rows}
+    similar = {(a, b) for a in shingled for b in shingled if a > b and order_minhash.similarity(shingled[a], shingled[b]) >= order_minhash.SIMILAR}
+    assert ("u1", "u0") in similar and similar <= pairs and len(pairs) < 200
+
+
 def test_reordered_text_is_not_near(spark):
     rng = random.Random(8)
     words = [f"v{rng.randrange(3000)}" for _ in range(200)]
