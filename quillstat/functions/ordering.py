@@ -97,15 +97,20 @@ def exact_quantiles(
     """Interpolated quantile per feature of a long (feature, value) table.
 
     A feature with at most ``order_rows`` values is settled by one aggregate. Any
-    other keeps, per wanted rank, an open interval that holds it. Each round probes
-    the interval with approximate quantiles, counts rows around the probes and
-    keeps the part with the rank; a probe that hits the rank's own run of equal
+    other keeps, per wanted rank, an open interval that holds it. Counts of an even
+    grid between its least and greatest value shrink it first, which is enough unless
+    most values crowd in one cell. Each further round probes the interval with
+    approximate quantiles, counts rows around the probes and keeps the part with the
+    rank; a cell or probe that holds nothing but the rank's own run of equal
     values settles it, so one value may hold any share of the rows.
     """
     spark = long.sparkSession
     rows = long.select(F.col(feature).alias("f"), F.col(value).cast("double").alias("v"))
     present = F.col("v").isNotNull() & ~F.isnan("v")
-    sizes = {r["f"]: r["n"] for r in rows.groupBy("f").agg(F.count(F.when(present, 1)).alias("n")).collect()}
+    held = F.when(present, F.col("v"))
+    ends = {r["f"]: (r["n"], r["lo"], r["hi"]) for r in rows.groupBy("f").agg(
+        F.count(held).alias("n"), F.min(held).alias("lo"), F.max(held).alias("hi")).collect()}
+    sizes = {f: n for f, (n, _, _) in ends.items()}
     rows = rows.filter(present)
     out: dict[str, float | None] = dict.fromkeys(sizes)
     if any(0 < n <= order_rows for n in sizes.values()):
@@ -115,7 +120,14 @@ def exact_quantiles(
         out.update({r["f"]: r["m"] for r in few.groupBy("f").agg(F.percentile("v", F.lit(q)).alias("m")).collect()})
     wanted = {f: _rank_pair(n, q) for f, n in sizes.items() if n > order_rows}
     found: dict[tuple[str, int], float] = {}
-    spans = {(f, r): (None, None, 0, sizes[f]) for f, pair in wanted.items() for r in set(pair)}
+    spans = {}
+    for f, cells in _grid_cells(rows, {f: ends[f][1:] for f in wanted}).items():
+        for rank in set(wanted[f]):
+            value, span = _cell_of(cells, rank)
+            if span is None:
+                found[f, rank] = value
+            else:
+                spans[f, rank] = span
     while spans:
         wide = {k: s for k, s in spans.items() if s[3] > order_rows}
         if not wide:
@@ -154,6 +166,37 @@ def _rank_pair(n: int, q: float) -> tuple[int, int]:
     return math.floor(pos), math.ceil(pos)
 
 
+def _grid_cells(rows: DataFrame, ends: dict) -> dict[str, list]:
+    """(rows, least, greatest) of the cells of an even grid over the values of each feature, in order; rounding
+    keeps the order of values, so cells never overlap. Ends too far apart for doubles make one cell."""
+    if not ends:
+        return {}
+    table = rows.sparkSession.createDataFrame([(f, lo, hi) for f, (lo, hi) in ends.items()], "f string, lo double, hi double")
+    part = F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo"))
+    cell = F.when(part.between(0.0, 1.0), F.floor(part * _GRID)).otherwise(0)
+    whole = F.col("hi") - F.col("lo") < float("inf")
+    cells = rows.join(F.broadcast(table), "f").groupBy("f", F.when(whole, cell).otherwise(0).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    out: dict[str, list] = {}
+    for r in sorted(cells, key=lambda r: (r["f"], r["cell"])):
+        out.setdefault(r["f"], []).append((r["n"], r["lo"], r["hi"]))
+    return out
+
+
+def _cell_of(cells: list, rank: int) -> tuple[float | None, tuple | None]:
+    """(the value, None) where the cell with a rank holds one value, else (None, its open interval)."""
+    below = 0
+    for i, (n, lo, hi) in enumerate(cells):
+        if rank < below + n:
+            if lo == hi:
+                return lo, None
+            before = cells[i - 1][2] if i else None
+            after = cells[i + 1][1] if i + 1 < len(cells) else None
+            return None, (before, after, below, n)
+        below += n
+    raise ValueError("the rank exceeds the values")
+
+
 def _span_table(spark, spans: dict) -> DataFrame:
     return spark.createDataFrame([(*key, *span) for key, span in spans.items()], _SPAN_SCHEMA)
 

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quillstat.functions import ordering
 from quillstat.functions.ordering import exact_quantiles
 from quillstat.operators import sampling
 
@@ -88,3 +89,16 @@ def test_many_cuts_are_searched_by_halving(spark):
     edges = np.concatenate([row["coarse"], *row["fine"]])
     assert all(r["bin"] == (edges <= r["value"]).sum() for r in binned.collect())
     assert "ArrowEvalPython" in binned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_values_are_settled_without_probes_and_crowded_or_endless_ones_with(spark, monkeypatch):
+    probed = []
+    real = ordering._probe
+    monkeypatch.setattr(ordering, "_probe", lambda rows, spans: probed.extend(r["f"] for r in spans.collect()) or real(rows, spans))
+    rng = np.random.default_rng(3)
+    columns = {"even": rng.uniform(-5, 5, 3001), "few": np.repeat([1.0, 2.0, 9.0], 1000), "crowded": np.append(rng.uniform(0, 1, 3000), 1e300),
+               "endless": np.append(rng.normal(size=3000), [np.inf, -np.inf]), "one": np.full(3000, np.inf)}
+    rows = [(f, float(v)) for f, values in columns.items() for v in values]
+    got = ordering.exact_quantiles(spark.createDataFrame(rows, "feature string, value double"), 0.5, order_rows=200)
+    assert got == {f: float(np.median(values)) for f, values in columns.items()}
+    assert set(probed) == {"crowded", "endless"}
