@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from quillstat.session import cut_lineage
 
+MAX_SPLITS = 20  # splits counted side by side for each key
+
+
 def _hash_key(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Two 64-bit hashes of the key; minus zero hashes like zero."""
     floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
@@ -47,13 +50,21 @@ def members_of(df: DataFrame, keys: Sequence[str], at_least: int = 2) -> DataFra
 def excess_rows(df: DataFrame, keys: Sequence[str], split: str, name: str) -> DataFrame:
     """Rows beyond the first of each key, per split and over all splits ("total").
 
-    Keys are counted once per split; the total reuses those counts, so no row is
-    expanded and a repeated key is combined before the shuffle.
+    Up to ``MAX_SPLITS`` splits are counted side by side for each key, so rows are shuffled once, by the key
+    alone, and a repeated key is combined before the shuffle. More splits are counted as rows of their own
+    and shuffled again for the total.
     """
-    per = df.groupBy(F.col(split).alias("split"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
     names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(F.col(split).alias("split"), *[F.col(k).alias(n) for k, n in zip(keys, names)])
+    splits = [r[0] for r in rows.select("split").distinct().filter("split IS NOT NULL").limit(MAX_SPLITS + 1).collect()]
+    if len(splits) <= MAX_SPLITS:
+        per = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), *[
+            F.count(F.when(F.col("split") == s, 1)).alias(f"_n{i}") for i, s in enumerate(splits)])
+        sums = [("total", "_n"), *[(s, f"_n{i}") for i, s in enumerate(splits)]]
+        found = per.agg(*[(F.coalesce(F.sum(c), F.lit(0)) - F.count(F.when(F.col(c) > 0, 1))).alias(c) for _, c in sums])
+        cells = [F.struct(F.lit(s).cast("string").alias("split"), F.col(c).alias(name)) for s, c in sums]
+        return found.select(F.inline(F.array(*cells)))
+    per = rows.groupBy("split", *names).agg(F.count(F.lit(1)).alias("_n"))
     by_split = per.groupBy("split").agg((F.sum("_n") - F.count(F.lit(1))).alias(name))
     overall = per.groupBy(*names).agg(F.sum("_n").alias("_n")).agg(
         F.lit("total").alias("split"), (F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias(name)
