@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,6 +117,23 @@ def split_by_keys(df: DataFrame, keys: DataFrame, *names: str) -> tuple[DataFram
     return marked.filter(hit).select(*df.columns), marked.filter(~hit).select(*df.columns)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(make: Callable, *args: Hashable):
+    """``make(*args)``, made once in a Python worker and kept there until it holds something else.
+
+    A worker outlives the stages of a pipeline, so what each operator kept for good would add up. Readers and their
+    memos refer to each other, so the last one goes with a collection.
+    """
+    key = (make, *args)
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make(*args)
+    return _HELD[key]
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

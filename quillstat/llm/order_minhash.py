@@ -35,14 +35,13 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstat.llm.common import Memo, cut, small_batches, split_by_keys, text_or_empty
+from quillstat.llm.common import Memo, cut, held, small_batches, split_by_keys, text_or_empty
 from quillstat.llm.components import components
 
 SHINGLE = 5
@@ -70,9 +69,8 @@ def _word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-@lru_cache(maxsize=1)
 def _hashes() -> Memo:
-    return Memo(_word_hash, WORDS_KEPT)
+    return held(Memo, _word_hash, WORDS_KEPT)
 
 
 def words_of(text: str) -> list[str]:

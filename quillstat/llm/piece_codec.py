@@ -21,14 +21,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.llm.common import Memo, crc32, small_batches, text_or_empty
+from quillstat.llm.common import Memo, crc32, held, small_batches, text_or_empty
 
 MARK = "▁"
 WORDS_KEPT = 600_000
@@ -227,9 +226,8 @@ class Codec:
         return self.table
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return held(Codec, path)
 
 
 def encode_documents(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.llm.common import Memo, labelled_sample, remainder, small_batches, text_or_empty
+from quillstat.llm.common import Memo, held, labelled_sample, remainder, small_batches, text_or_empty
 
 TRAIN_ROWS = 4000
 TRAIN_CHARACTERS = 16_000_000
@@ -267,7 +267,7 @@ class ToxicModel:
         return model
 
     def reader(self) -> "Reader":
-        return Reader(self)
+        return held(Reader, self)
 
 
 class Reader:
