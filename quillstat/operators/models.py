@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel, RandomForestClassifier,
+    LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.functions.scalars import NEAR_ZERO
+from quillstat.operators.margins import Margins, fit_margins
 from quillstat.operators.paths import PathSolver, Point
 from quillstat.operators.sampling import class_weights, with_class_weight
 from quillstat.operators.summaries import majority_class
-from quillstat.session import keep, side_by_side
+from quillstat.session import side_by_side
 
 # Fixed values.
 C_GRID = tuple(float(c) for c in np.logspace(-3, 2, 10))
@@ -111,29 +112,20 @@ def logistic(
     return model.setWeightCol("weight") if weighted else model
 
 
-class MarginsSideBySide(OneVsRest):
-    """``OneVsRest`` whose classes are fitted by threads with local properties of their own: the library gives
-    all its threads the same ones, and they overwrite each other's execution ids."""
+class MarginsTogether(OneVsRest):
+    """``OneVsRest`` whose linear margins are fitted together: a step of all classes is one pass over the rows."""
 
-    def _fit(self, dataset: DataFrame) -> OneVsRestModel:
-        margin, label, features = self.getClassifier(), self.getLabelCol(), self.getFeaturesCol()
-        rows = keep(dataset.select(label, features, *([self.getWeightCol()] if self.isDefined(self.weightCol) else [])))
-        classes = int(rows.agg(F.max(label)).first()[0]) + 1
+    def _fit(self, dataset: DataFrame) -> Margins:
+        weight = F.col(self.getWeightCol()) if self.isDefined(self.weightCol) else F.lit(1.0)
+        return fit_margins(dataset.select(F.col(self.getLabelCol()).alias("label"), weight.alias("weight"),
+                                          F.col(self.getFeaturesCol()).alias("features")), self.getClassifier())
 
-        def one(c: int) -> Model:
-            marked = rows.withColumn("_own", F.when(F.col(label) == c, 1.0).otherwise(0.0))
-            return margin.fit(marked, {margin.labelCol: "_own", margin.featuresCol: features})
 
-        models = side_by_side(rows.sparkSession, one, range(classes), self.getParallelism())
-        rows.unpersist()
-        return self._copyValues(OneVsRestModel(models=models))
-
-
-def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-3, parallelism: int = 8) -> OneVsRest:
-    """One linear margin per class on balanced weights, the classes side by side."""
+def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, tol: float = 1e-3) -> OneVsRest:
+    """One linear margin per class on balanced weights."""
     margin = LinearSVC(
         regParam=1.0 / (c * n), standardization=False, maxIter=max_iter, tol=tol, weightCol="weight")
-    return MarginsSideBySide(classifier=margin, weightCol="weight", parallelism=parallelism)
+    return MarginsTogether(classifier=margin, weightCol="weight")
 
 
 def random_forest(

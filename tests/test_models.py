@@ -180,3 +180,21 @@ def test_margins_equal_those_of_one_vs_rest(spark):
     theirs = OneVsRest(classifier=ours.getClassifier(), weightCol="weight", parallelism=1).fit(table)
     for a, b in zip(ours.fit(table).models, theirs.models):
         assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray())
+
+
+def test_margins_of_many_classes_share_their_passes(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from quillstat.operators.models import linear_svm
+
+    rng = np.random.default_rng(6)
+    rows = [(float(i % 6), 1.0, Vectors.dense(rng.normal(size=3) + i % 6)) for i in range(90)]
+    table = spark.createDataFrame(rows, ["label", "weight", "features"]).coalesce(1)
+    spark.sparkContext.setJobGroup("margins", "margins")
+    try:
+        linear_svm(90, max_iter=10).fit(table)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("margins"))
+    print(jobs, "jobs")
+    assert 0 < jobs < 6 * 10  # every class for itself: over 20 passes each
