@@ -115,7 +115,8 @@ def nearest_neighbours(
     right = base.select(
         F.col(key).alias("b"), F.col(vector).cast("array<double>").alias("v"), F.col(carry).alias("carry"),
         _every(nq).alias("row"), _block(key, nb).alias("column"))
-    q_type, carry_type = queries.schema[key].dataType.simpleString(), base.schema[carry].dataType.simpleString()
+    q_type, b_type, carry_type = (
+        df.schema[name].dataType.simpleString() for df, name in ((queries, key), (base, key), (base, carry)))
 
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
@@ -126,7 +127,7 @@ def nearest_neighbours(
             "q": a["q"].to_numpy()[i], "b": b["b"].to_numpy()[j], "carry": b["carry"].to_numpy()[j], "distance": d})
 
     cells = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(
-        nearest, f"q {q_type}, b {q_type}, carry {carry_type}, distance double")
+        nearest, f"q {q_type}, b {b_type}, carry {carry_type}, distance double")
     order = W.partitionBy("q").orderBy("distance", "b")  # k rows per strip of the base
     best = cells.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select(F.col("q").alias(key), F.col("b").alias("neighbour"), F.col("carry").alias(carry), "distance", "rank")
@@ -258,7 +259,18 @@ def knn_predict(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, pred, confidence): the label with the largest share, first in order on a tie."""
-    votes = neighbour_votes(nearest_by_cells(queries, base, key, vector, label, k, block_rows), key, label)
+    return predicted_labels(nearest_by_cells(queries, base, key, vector, label, k, block_rows), key, label)
+
+
+def nearest_of_parts(found: DataFrame, key: str, k: int = NEIGHBOURS) -> DataFrame:
+    """The k nearest rows of a base from the k nearest of each of its parts."""
+    order = W.partitionBy(key).orderBy("distance", "neighbour")  # k rows a part
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def predicted_labels(found: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, pred, confidence) of the neighbours found for each key."""
+    votes = neighbour_votes(found, key, label)
     best = F.min_by(F.col(label), F.struct(-F.round("share", 12), F.col(label)))
     return votes.groupBy(key).agg(best.alias("pred"), F.max("share").alias("confidence"))
 

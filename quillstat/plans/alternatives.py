@@ -12,7 +12,7 @@ from quillstat.operators import evaluation as ev
 from quillstat.operators import models as mo
 from quillstat.operators import neighbours, sampling
 from quillstat.operators.quality import require_features, require_numeric
-from quillstat.session import keep
+from quillstat.session import cut_lineage, keep
 
 DUMMY, LOGISTIC, LINEAR, KERNEL, FOREST, KNN = (
     "Dummy majority", "Post-selection Logistic", "SVM linear", "SVM RBF", "Random Forest", "k-NN")
@@ -73,18 +73,26 @@ def forest_candidate(trees: int) -> mo.Candidate:
 
 
 def _knn(marked, key, y, features, folds, found) -> list[DataFrame]:
-    """Neighbour votes for held-out folds, train rows and test rows."""
+    """Neighbour votes for held-out folds, train rows and test rows.
+
+    The nearest rows in every fold are looked for once; leaving a fold out then leaves out what it brought.
+    """
     import json
 
     points = keep(marked.select(key, F.col(y).cast("string").alias("y"), "split", "fold", F.array(*features).alias("x")))
     train = points.filter("split = 'train'")
+    near = _near_by_fold(points, key, folds)
+
+    def predicted(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+        pred = neighbours.predicted_labels(neighbours.nearest_of_parts(pairs, key), key, "y")
+        return pred.join(rows.select(key, "y"), key)
+
     rows = []
     for fold in range(folds):
-        near, held = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
+        left = near.filter((F.col("part") != fold) & F.col("part").isNotNull() & (F.col("split") == "train"))
         scores = {}
-        for side, rows_of in (("train", near), ("test", held)):
-            pred = neighbours.knn_predict(rows_of, near, key, "x", "y").join(rows_of.select(key, "y"), key)
-            cells = ev.confusion_cells(pred, "y", "pred").collect()
+        for side, own in (("train", F.col("fold") != fold), ("test", F.col("fold") == fold)):
+            cells = ev.confusion_cells(predicted(train.filter(own), left.filter(own)), "y", "pred").collect()
             scores[side] = mo.macro_f1((r["y"], r["pred"], r["n"]) for r in cells)
         params = json.dumps({"n_neighbors": neighbours.NEIGHBOURS, "weights": "distance"})
         rows.append({"at": 0, "params": params, "fold": fold, **scores})
@@ -93,7 +101,26 @@ def _knn(marked, key, y, features, folds, found) -> list[DataFrame]:
     found[KNN] = mo.Search(rows=rows, best=candidate, best_score=mean)
     out = []
     for s in ("train", "test"):
-        side = points.filter(F.col("split") == s)
-        pred = neighbours.knn_predict(side, train, key, "x", "y").join(side.select(key, "y"), key)
-        out.append(pred.select(F.lit(KNN).alias("model"), F.lit(s).alias("split"), "y", "pred"))
+        own = F.col("split") == s
+        out.append(predicted(points.filter(own), near.filter(own)).select(F.lit(KNN).alias("model"), F.lit(s).alias("split"), "y", "pred"))
+    return out
+
+
+def _near_by_fold(points: DataFrame, key: str, folds: int) -> DataFrame:
+    """(key, split, fold, part, neighbour, y, distance): the nearest training rows of every fold for each row; ``part`` is the
+    fold of the neighbours, null for training rows without one. A key that stands in several splits or folds stays apart."""
+    own = F.concat_ws(":", "split", F.coalesce("fold", F.lit(-2)), F.col(key).cast("string"))
+    asked = keep(points.withColumn("_id", own))
+    train = points.filter("split = 'train'")
+    parts = [(fold, train.filter(F.col("fold") == fold)) for fold in range(folds)]
+    loose = train.filter(F.col("fold").isNull())
+    if loose.limit(1).count():
+        parts.append((None, loose))
+    tables = []
+    for fold, base in parts:
+        pairs = neighbours.nearest_by_cells(asked.select("_id", "x"), base.select(F.col(key).alias("_id"), "x", "y"), "_id", "x", "y")
+        tables.append(cut_lineage(pairs.select("_id", "neighbour", "y", "distance", F.lit(fold).cast("int").alias("part"))))
+    ids = asked.select("_id", key, "split", "fold").distinct()
+    out = cut_lineage(reduce(DataFrame.unionByName, tables).join(ids, "_id"))
+    asked.unpersist()
     return out

@@ -188,3 +188,38 @@ def test_cells_give_the_same_neighbours_with_fewer_pairs(spark):
     assert neighbours.nearest_by_cells(asked, base.limit(0), "id", "x", "tag").count() == 0
     assert neighbours.nearest_by_cells(asked.limit(0), base, "id", "x", "tag").count() == 0
     assert neighbours.nearest_by_cells(asked, base.limit(2), "id", "x", "tag").count() == 440
+
+
+def test_votes_of_folds_come_from_one_search_a_fold(spark, monkeypatch):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from quillstat.operators import evaluation as ev
+    from quillstat.plans import alternatives
+
+    rng = np.random.default_rng(5)
+    rows = [(i // 2 if i < 6 else i, None if i % 17 == 3 else "abc"[i % 3], "test" if i % 5 == 0 else "train",
+             -1 if i % 5 == 0 else (None if i % 17 == 3 else i % 2), *rng.integers(0, 6, 2).astype(float).tolist()) for i in range(60)]
+    marked = spark.createDataFrame(rows, "id int, y string, split string, fold int, a double, b double").repartition(2)
+    search, met = neighbours.nearest_by_cells, []
+
+    def counted(queries, base, *args, **kw):
+        met.append(base.count())
+        return search(queries, base, *args, **kw)
+
+    monkeypatch.setattr(neighbours, "nearest_by_cells", counted)
+    found = {}
+    parts = alternatives._knn(marked, "id", "y", ["a", "b"], 2, found)
+    got = sorted(map(str, reduce(lambda a, b: a.unionByName(b), parts).collect()))
+    assert sum(met) == sum(r[2] == "train" for r in rows)  # a training row is searched once
+    points = marked.withColumn("x", F.array("a", "b"))
+    train = points.filter("split = 'train'")
+    want = [str(r) for s in ("train", "test") for side in [points.filter(F.col("split") == s)]
+            for r in neighbours.knn_predict(side, train, "id", "x", "y").join(side.select("id", "y"), "id").select(
+                F.lit("k-NN").alias("model"), F.lit(s).alias("split"), "y", "pred").collect()]
+    assert got == sorted(want)
+    held = train.filter("fold = 1")
+    pred = neighbours.knn_predict(held, train.filter("fold <> 1"), "id", "x", "y").join(held.select("id", "y"), "id")
+    from quillstat.operators.models import macro_f1
+    assert found[alternatives.KNN].rows[1]["test"] == macro_f1((r["y"], r["pred"], r["n"]) for r in ev.confusion_cells(pred, "y", "pred").collect())
